@@ -83,22 +83,25 @@ def message_column(
     source_system: Column | str,
     table_name: Column | str,
     count_result: Column | str,
+    fields: list[str] | None = None,
 ) -> Column:
     """the message of each control row plus the three run values.
 
     The run values may be plain strings (one run) or columns (many runs at once).
+    ``fields`` picks the control columns that go into the message (default: all).
     """
-    fields: dict[str, Column] = {}
-    for field in control.schema.fields:
-        fields[field.name] = python_str(F.col(f"`{field.name}`"), field.dataType)
+    pairs: dict[str, Column] = {}
+    chosen = control.schema.fields if fields is None else [control.schema[f] for f in fields]
+    for field in chosen:
+        pairs[field.name] = python_str(F.col(f"`{field.name}`"), field.dataType)
     for key, value in (
         ("source_system", source_system),
         ("table_name", table_name),
         ("count_result", count_result),
     ):
         v = value if isinstance(value, Column) else F.lit(value)
-        fields[key] = F.coalesce(v.cast("string"), F.lit(NONE_TEXT))
-    return json_object(list(fields.items()))
+        pairs[key] = F.coalesce(v.cast("string"), F.lit(NONE_TEXT))
+    return json_object(list(pairs.items()))
 
 
 def status_messages(
@@ -106,9 +109,10 @@ def status_messages(
     source_system: Column | str,
     table_name: Column | str,
     count_result: Column | str,
+    fields: list[str] | None = None,
 ) -> DataFrame:
     """One ``value`` string per control row."""
-    return control.select(message_column(control, source_system, table_name, count_result).alias("value"))
+    return control.select(message_column(control, source_system, table_name, count_result, fields).alias("value"))
 
 
 def utf8_payload(col: Column | str = "value") -> Column:

@@ -127,7 +127,7 @@ def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: boo
     counts["target"] = found
 
 
-def _run(job: Replication, spec: SliceSpec, notify: Notify | None) -> list[ReportRow]:
+def _run(job: Replication, spec: SliceSpec, notify: Notify | None, create_empty: bool) -> list[ReportRow]:
     load_date = job.clock.now().date()  # taken once per job (T10)
     rows: list[ReportRow] = []
     for table in job.tables:
@@ -135,7 +135,7 @@ def _run(job: Replication, spec: SliceSpec, notify: Notify | None) -> list[Repor
         counts = {"source": ZERO, "target": ZERO}
         status, details = FAIL, ""
         try:
-            _copy_table(job, table, spec, create_empty=notify is not None, counts=counts)
+            _copy_table(job, table, spec, create_empty=create_empty, counts=counts)
             status = verdict(counts["source"], counts["target"])
             if status != FAIL:
                 log.info(LOADED_LINE.format(table=table))
@@ -192,11 +192,12 @@ def replicate(job: Replication, raise_on_fail: bool = False) -> DataFrame:
     Day run: replace that day in the target (K2). History run: append every
     dated row (K1); running it twice doubles the target and reports ``Fail``.
     """
-    return _finish(job, _run(job, job.run_mode.day_slice(), None), raise_on_fail)
+    return _finish(job, _run(job, job.run_mode.day_slice(), None, create_empty=False), raise_on_fail)
 
 
-def replicate_and_notify(job: Replication, notify: Notify, raise_on_fail: bool = False) -> DataFrame:
+def replicate_and_notify(job: Replication, notify: Notify | None = None, raise_on_fail: bool = False) -> DataFrame:
     """Copy every day from the run date (replacing them, K3), create an empty
     target for an empty slice (K4), and for a dated run look up the control row,
-    append the process report and publish the status message."""
-    return _finish(job, _run(job, job.run_mode.open_slice(), notify), raise_on_fail)
+    append the process report and publish the status message (skipped when
+    ``notify`` is None)."""
+    return _finish(job, _run(job, job.run_mode.open_slice(), notify, create_empty=True), raise_on_fail)
