@@ -248,7 +248,8 @@ def q_target_reread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- jobs and reports
-def _reconcile_report(spark: SparkSession, sf_dir: str, report_table: bool) -> tuple[DataFrame, str]:
+def _reconcile_setup(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, DataFrame]]:
+    """Sources for a history job over three tables; ``events`` was loaded before."""
     db = fresh_database(spark)
     loads = {
         "events": _standin(spark, sf_dir, "events"),
@@ -256,14 +257,16 @@ def _reconcile_report(spark: SparkSession, sf_dir: str, report_table: bool) -> t
         "part": _read(spark, sf_dir, "part").withColumns({DAY: F.lit(None).cast("date"), YEAR: F.lit(None).cast("int")}),
     }
     _preload(spark, db, "events", loads["events"])  # an earlier history load
-    kw = {"report_table": f"{db}.validation_report"} if report_table else {}
-    report = replicate(_job(spark, db, ["events", "orders", "part"], "0000-01-01", loads.__getitem__, **kw))
-    return report, db
+    return db, loads
+
+
+def _reconcile_run(spark: SparkSession, db: str, loads: dict[str, DataFrame]) -> DataFrame:
+    job = _job(spark, db, ["events", "orders", "part"], "0000-01-01", loads.__getitem__, report_table=f"{db}.validation_report")
+    return replicate(job)
 
 
 def q_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report, _ = _reconcile_report(spark, sf_dir, report_table=False)
-    return _counts(report)
+    return _counts(_reconcile_run(spark, *_reconcile_setup(spark, sf_dir)))
 
 
 def q_validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,182 @@
+"""Composite jobs: replicate (C2), notify (C3), failure isolation (C4), relay (C5), sizes."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from tablesync import (
+    FixedClock,
+    MessageSink,
+    Notify,
+    Replication,
+    ReplicationFailed,
+    relay_files,
+    replicate,
+    replicate_and_notify,
+    resolve_run_mode,
+    size_report,
+    size_total,
+)
+from tablesync.plans.relay import output_path
+from tablesync.session import fresh_database, shared_root
+from tablesync.sources.documents import read_json_documents
+
+CLOCK = FixedClock(dt.datetime(2024, 2, 1, 10, 0, 0))
+
+
+def _events(spark):
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    return ev.withColumns({"cda_dt": F.col("ts").cast("date"), "cda_year": F.year("ts").cast("int")})
+
+
+def _job(spark, db, date, tables=("events",), **kw):
+    src = _events(spark)
+    kw.setdefault("load_source", lambda t: src)
+    return Replication(spark, list(tables), db, "CDA_DT", resolve_run_mode(date), database_name="src", clock=CLOCK, **kw)
+
+
+def test_day_run_reports_pass_and_writes_report(spark):
+    db = fresh_database(spark)
+    report = replicate(_job(spark, db, "2024-01-15", report_table=f"{db}.validation_report")).collect()
+    expected = _events(spark).where("cda_dt = DATE'2024-01-15'").count()
+    assert [(r.table_name, r.source_row_count, r.destination_row_count, r.count_result) for r in report] == [
+        ("events", str(expected), str(expected), "Pass")
+    ]
+    stored = spark.table(f"{db}.validation_report").collect()
+    assert len(stored) == 1 and stored[0].load_date == dt.date(2024, 2, 1)
+    assert stored[0].total_runtime == "0 seconds" and stored[0].log_details == ""
+
+
+def test_history_twice_fails(spark):
+    """T4: history never deletes, so a second load doubles the target."""
+    db = fresh_database(spark)
+    job = _job(spark, db, "0000-01-01")
+    first = replicate(job).first()
+    second = replicate(job).first()
+    assert first.count_result == "Pass"
+    assert second.count_result == "Fail"
+    assert int(second.destination_row_count) == 2 * int(second.source_row_count)
+
+
+def test_empty_slice_on_missing_target_creates_nothing_in_batch(spark):
+    """Batch run on a day without rows: Pass 0/0 and no target."""
+    db = fresh_database(spark)
+    row = replicate(_job(spark, db, "1990-01-01")).first()
+    assert (row.source_row_count, row.destination_row_count, row.count_result) == ("0", "0", "Pass")
+    assert not spark.catalog.tableExists(f"{db}.events")
+
+
+def test_empty_slice_creates_empty_target_in_notify_job(spark):
+    """K4: the notify job creates the empty target."""
+    db = fresh_database(spark)
+    row = replicate_and_notify(_job(spark, db, "2099-01-01")).first()
+    assert row.count_result == "Pass"
+    assert spark.table(f"{db}.events").count() == 0
+
+
+def test_failure_isolation(spark):
+    """A missing source gives a Fail row with the error; the next table runs."""
+    db = fresh_database(spark)
+    src = _events(spark)
+
+    def load(t):
+        if t == "missing":
+            return spark.read.parquet(f"{SF001}/missing.parquet")
+        return src
+
+    rows = {r.table_name: r for r in replicate(_job(spark, db, "2024-01-15", ("missing", "events"), load_source=load)).collect()}
+    assert rows["missing"].count_result == "Fail" and "missing.parquet" in rows["missing"].log_details
+    assert rows["missing"].destination_row_count == "0"
+    assert rows["events"].count_result == "Pass"
+    with pytest.raises(ReplicationFailed) as err:
+        replicate(_job(spark, db, "2024-01-15", ("missing",), load_source=load), raise_on_fail=True)
+    assert err.value.failed == ["missing"]
+
+
+def test_notify_publishes_message_and_process_row(spark):
+    db = fresh_database(spark)
+    control = spark.createDataFrame(
+        [
+            ("events", "src", 20240115, dt.datetime(2024, 1, 15, 19, 10, 36, 120000), None),
+            ("events", "src", 20240115, dt.datetime(2024, 1, 15, 8, 0, 0), dt.datetime(2024, 1, 15, 9, 0, 0)),
+            ("events", "src", 20240116, dt.datetime(2024, 1, 16, 8, 0, 0), None),
+        ],
+        "source_table string, target_db string, cda_date int, business_ts timestamp_ntz, delivery_ts timestamp_ntz",
+    )
+    path = f"{shared_root(spark)}/messages/{db}"
+    notify = Notify(control, process_table=f"{db}.processdb_report", sink=MessageSink("text", path))
+    report = replicate_and_notify(_job(spark, db, "2024-01-15"), notify).collect()
+    assert [r.count_result for r in report] == ["Pass"]
+    messages = [r.value for r in spark.read.text(path).collect()]
+    assert messages == [
+        json.dumps(
+            {
+                "business_ts": "2024-01-15 19:10:36.120000",
+                "delivery_ts": "None",
+                "source_system": "src",
+                "table_name": "events",
+                "count_result": "Pass",
+            }
+        )
+    ]
+    process = spark.table(f"{db}.processdb_report").collect()
+    assert len(process) == 1 and process[0].cda_date == dt.date(2024, 1, 15) and process[0].table_name == "events"
+
+
+def test_history_run_never_notifies(spark):
+    db = fresh_database(spark)
+    control = spark.createDataFrame([("events", "src", 0, None, None)], "source_table string, target_db string, cda_date int, business_ts timestamp, delivery_ts timestamp")
+    path = f"{shared_root(spark)}/messages/{db}"
+    replicate_and_notify(_job(spark, db, "0000-01-01"), Notify(control, sink=MessageSink("text", path)))
+    assert not os.path.exists(path)
+
+
+def test_relay_status_and_paths(spark):
+    """Re-export fails and is reported; the output path has one slash."""
+    root = shared_root(spark)
+    src = f"{root}/landing/{fresh_database(spark)}.csv"
+    spark.createDataFrame([("007", "1.50", "FALSE")], "id string, amt string, b string").coalesce(1).write.option("header", "true").option("sep", "|").csv(src)
+    out = f"{root}/relay/{fresh_database(spark)}/"
+    first = relay_files(spark, [src], out).first()
+    assert first.ok and first.output == output_path(out, src) and "//" not in first.output.replace("file://", "")
+    again = relay_files(spark, [src], out).first()
+    assert not again.ok and again.error
+    back = spark.read.option("header", "true").csv(first.output).first()
+    assert (back.id, back.amt, back.b) == ("7", "1.5", "false")  # T11: inference rewrites values
+    assert len([f for f in os.listdir(first.output.replace("file:", "")) if f.startswith("part-")]) == 1
+
+
+def test_relay_raw_keeps_text(spark):
+    root = shared_root(spark)
+    src = f"{root}/landing/{fresh_database(spark)}.csv"
+    spark.createDataFrame([("007", "1.50")], "id string, amt string").write.option("header", "true").option("sep", "|").csv(src)
+    out = f"{root}/relay/{fresh_database(spark)}"
+    status = relay_files(spark, [src], out, infer=False).first()
+    back = spark.read.option("header", "true").csv(status.output).first()
+    assert (back.id, back.amt) == ("007", "1.50")
+
+
+def test_sizes_match_files_on_disk(spark):
+    tables = {t: f"{SF001}/{t}.parquet" for t in ("orders", "lineitem", "events")}
+    got = {r.table_name: r for r in size_report(spark, tables).collect()}
+    for name, path in tables.items():
+        assert got[name].bytes == os.path.getsize(path)
+        assert got[name].size_gb == pytest.approx(os.path.getsize(path) * 1e-9)
+    total = size_total(size_report(spark, tables)).first()
+    assert total.tables == 3
+    assert total.total_gb == pytest.approx(sum(os.path.getsize(p) for p in tables.values()) * 1e-9)
+
+
+def test_json_documents(spark):
+    path = f"{shared_root(spark)}/documents/{fresh_database(spark)}"
+    os.makedirs(path.replace("file:", ""))
+    with open(path.replace("file:", "") + "/a.json", "w") as f:
+        f.write('{\n  "k": 1,\n  "name": "line\tbreak"\n}\n')
+    with open(path.replace("file:", "") + "/b.json", "w") as f:
+        f.write('{"k": 2, "name": "b"}')
+    rows = sorted(tuple(r) for r in read_json_documents(spark, path, "k long, name string").collect())
+    assert rows == [(1, "line\tbreak"), (2, "b")]
