@@ -45,11 +45,19 @@ class ReplicationFailed(RuntimeError):
         self.failed = failed
 
 
+ControlReader = Callable[[str, str, int], DataFrame]
+
+
 @dataclass
 class Notify:
-    """What the notify job needs beyond replication."""
+    """What the notify job needs beyond replication.
 
-    control: DataFrame
+    ``control`` is the control table (filtered per table by :func:`lookup_control`)
+    or a reader ``(table, database, yyyymmdd) -> DataFrame`` that already returns
+    the wanted row, such as a filled SQL template read over JDBC.
+    """
+
+    control: DataFrame | ControlReader
     process_table: str | None = None
     sink: MessageSink | None = None
 
@@ -167,7 +175,11 @@ def _append_report(job: Replication, rows: list[ReportRow]) -> None:
 
 def _notify(job: Replication, notify: Notify, table: str, status: str) -> None:
     """C3 tail: control row -> process report (K7) + message (K8)."""
-    found = lookup_control(notify.control, table, job.db_name, date_key_of(job.run_mode.date))
+    key = date_key_of(job.run_mode.date)
+    if isinstance(notify.control, DataFrame):
+        found = lookup_control(notify.control, table, job.db_name, key)
+    else:
+        found = notify.control(table, job.db_name, key).limit(1)
     picked = found.take(1)  # A4: at most one row by construction
     if not picked:
         return
