@@ -26,7 +26,7 @@ from tablesync import (
     replicate,
     replicate_and_notify,
     resolve_run_mode,
-    size_report,
+    catalog_size_report,
     size_total,
     survivors,
 )
@@ -389,12 +389,21 @@ def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_documents(spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
+def _catalog_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + S8: register the test tables in a database (metadata only), list ``ALL``
+    of them and size each from its location."""
+    db = fresh_database(spark)
+    for t in TABLES:
+        spark.catalog.createTable(f"{db}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
+    return catalog_size_report(spark, db, "ALL")
+
+
 def q_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return size_report(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES})
+    return _catalog_sizes(spark, sf_dir)
 
 
 def q_table_sizes_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return size_total(size_report(spark, {t: f"{sf_dir}/{t}.parquet" for t in TABLES}))
+    return size_total(_catalog_sizes(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------- contract

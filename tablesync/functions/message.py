@@ -9,7 +9,7 @@ literals. Consumers parse that text, so it is rebuilt exactly, JVM-side:
 * NULL is ``"None"``; booleans ``"True"``/``"False"``;
 * timestamps as Python prints them: ``YYYY-MM-DD HH:MM:SS`` plus ``.ffffff``
   only when the fraction is not zero;
-* strings are JSON-quoted with non-ASCII and control characters escaped as
+* strings are JSON-quoted with non-ASCII, control characters and DEL escaped as
   ``\\uXXXX`` in lower-case hex, as Python does.
 
 Floating point values take Python's ``repr`` through a vectorised pandas UDF:
@@ -62,6 +62,8 @@ def json_quote(col: Column | str) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     encoded = F.to_json(F.named_struct(F.lit("v"), c), _TO_JSON_OPTIONS)
     quoted = F.regexp_extract(encoded, r'^\{"v":(.*)\}$', 1)
+    # Python also escapes DEL (0x7f), which Jackson leaves as it is.
+    quoted = F.regexp_replace(quoted, "\x7f", r"\\u007f")
     for upper in "ABCDEF":
         quoted = F.regexp_replace(quoted, _HEX_IN_ESCAPE + upper, upper.lower())
     return quoted

@@ -117,12 +117,13 @@ class DayTarget:
         if self.exists():
             return False
         pcols = self._partition_columns_for(schema)
-        empty = self.spark.createDataFrame([], schema)
-        (
-            empty.write.format(self.format)
-            .partitionBy(*pcols)
-            .option("partitionOverwriteMode", "dynamic")
-            .saveAsTable(self.table)
+        # Data columns first, partition columns last (their order in the table).
+        fields = [f for f in schema.fields if f.name not in pcols] + [schema[c] for c in pcols]
+        cols = ", ".join(f"{quote_ident(f.name)} {ddl_type(f.dataType)}" for f in fields)
+        parts = ", ".join(quote_ident(c) for c in pcols)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {quote_ident(self.table)} ({cols}) USING {self.format} "
+            f"PARTITIONED BY ({parts}) OPTIONS ('partitionOverwriteMode' = 'dynamic')"
         )
         return True
 

@@ -123,3 +123,9 @@ def test_message_literal_overwrites_in_place(spark):
     df = spark.createDataFrame([("x", 1)], "table_name string, k int")
     got = status_messages(df, "db", "t1", "Fail").first()[0]
     assert got == json.dumps({"table_name": "t1", "k": "1", "source_system": "db", "count_result": "Fail"})
+
+
+def test_json_quote_hard_cases(spark):
+    text = "".join(chr(i) for i in range(0x20)) + '\x7f\x80é 😀 \\u00AB \\\\u00ab "q" /'
+    got = spark.createDataFrame([(text,)], "v string").select(json_quote("v")).first()[0]
+    assert got == json.dumps(text)
