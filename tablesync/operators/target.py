@@ -22,6 +22,7 @@ are retried after an executor loss, so the count stays exact.
 from __future__ import annotations
 
 import contextlib
+import threading
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +36,8 @@ from tablesync.session import quote_ident, sql_string
 OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
 DROP_SPECS_PER_STATEMENT = 200
+AQE_KEY = "spark.sql.adaptive.enabled"
+_SESSION_CONF_LOCK = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -161,28 +164,54 @@ class DayTarget:
         return df.select(*out)
 
     # ------------------------------------------------------------------ writes
+    def _declares_dynamic_overwrite(self) -> bool:
+        """Whether the table itself carries the dynamic overwrite option (ours do)."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(self.table)}").where(
+            "col_name = 'Storage Properties'"
+        ).collect()
+        return bool(rows) and "partitionOverwriteMode=dynamic" in (rows[0]["data_type"] or "")
+
     @contextlib.contextmanager
     def _dynamic_overwrite(self) -> Iterator[None]:
-        """Dynamic overwrite for this write only, also for tables we did not create.
+        """Dynamic overwrite for this write, also for tables we did not create.
 
-        A static overwrite would empty the whole table; never risk it.
+        A static overwrite would empty the whole table; never risk it. Tables we
+        create declare the mode themselves; for any other table the session
+        setting is switched for the duration of the write, under a lock so that
+        concurrent writers in this process cannot undo each other's setting.
         """
-        conf = self.spark.conf
-        old = conf.get(OVERWRITE_MODE_KEY, None)
-        conf.set(OVERWRITE_MODE_KEY, "dynamic")
-        try:
+        if self._declares_dynamic_overwrite():
             yield
-        finally:
-            if old is None:
-                conf.unset(OVERWRITE_MODE_KEY)
-            else:
-                conf.set(OVERWRITE_MODE_KEY, old)
+            return
+        with _SESSION_CONF_LOCK:
+            conf = self.spark.conf
+            old = conf.get(OVERWRITE_MODE_KEY, None)
+            conf.set(OVERWRITE_MODE_KEY, "dynamic")
+            try:
+                yield
+            finally:
+                if old is None:
+                    conf.unset(OVERWRITE_MODE_KEY)
+                else:
+                    conf.set(OVERWRITE_MODE_KEY, old)
+
+    def _layout(self, df: DataFrame, pcols: list[str]) -> DataFrame:
+        """Rebalance on the partition columns when AQE can split hot days.
+
+        Without AQE a hash shuffle would send a whole hot day to one task, so the
+        slice is then written straight from its scan splits (sized by bytes, never
+        by key): more files, but no task holds more than one split.
+        """
+        if not self.rebalance:
+            return df
+        if str(self.spark.conf.get(AQE_KEY, "true")).lower() != "true":
+            return df
+        return df.hint("rebalance", *pcols)
 
     def _observed_write(self, df: DataFrame, overwrite: bool) -> WriteResult:
         aligned = self._prepare(df)
         pcols = self.partition_columns()
-        if self.rebalance:
-            aligned = aligned.hint("rebalance", *pcols)
+        aligned = self._layout(aligned, pcols)
         obs = Observation()
         metrics = [F.count(F.lit(1)).alias("rows")]
         if overwrite:

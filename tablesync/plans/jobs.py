@@ -63,6 +63,7 @@ def replication_from_conf(spark: SparkSession) -> Replication:
         report_table=s.get("report.table"),
         format=s.get("target.format", "parquet"),
         rebalance=s.flag("rebalance", True),
+        parallelism=int(s.get("parallelism", "1")),
     )
 
 

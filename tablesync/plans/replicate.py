@@ -8,7 +8,9 @@ becomes a ``Fail`` row with the error text and the next table still runs.
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,11 @@ log = logging.getLogger("tablesync")
 # Fixed value: schedulers scan the job log for this line; keep its format.
 LOADED_LINE = "Successfully Loaded Table:{table}"
 
+# Appends to destinations shared by all tables (report tables, message folder) run
+# one at a time: concurrent appends to one path in one application would share
+# the output committer's temporary folder.
+_SHARED_WRITES = threading.Lock()
+
 
 class ReplicationFailed(RuntimeError):
     """Raised by ``raise_on_fail=True`` after all tables ran, with the report."""
@@ -85,6 +92,7 @@ class Replication:
     clock: Clock = field(default_factory=Clock)
     format: str = "parquet"
     rebalance: bool = True
+    parallelism: int = 1
 
     def source(self, table: str) -> DataFrame:
         if self.load_source is not None:
@@ -135,40 +143,61 @@ def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: boo
     counts["target"] = found
 
 
-def _run(job: Replication, spec: SliceSpec, notify: Notify | None, create_empty: bool) -> list[ReportRow]:
-    load_date = job.clock.now().date()  # taken once per job (T10)
-    rows: list[ReportRow] = []
-    for table in job.tables:
-        start = job.clock.now()
-        counts = {"source": ZERO, "target": ZERO}
-        status, details = FAIL, ""
+def _table_rows(
+    job: Replication, spec: SliceSpec, notify: Notify | None, create_empty: bool, load_date, table: str
+) -> list[ReportRow]:
+    """Everything for one table; one report row, two if the notify step fails."""
+    start = job.clock.now()
+    counts = {"source": ZERO, "target": ZERO}
+    status, details = FAIL, ""
+    try:
+        _copy_table(job, table, spec, create_empty=create_empty, counts=counts)
+        status = verdict(counts["source"], counts["target"])
+        if status != FAIL:
+            log.info(LOADED_LINE.format(table=table))
+    except Exception as exc:  # C4: the table fails, the job goes on
+        log.error("table %s failed: %s", table, exc)
+        status, details = FAIL, error_text(exc)
+    row = ReportRow(table, counts["source"], counts["target"], status, job.db_name, load_date, start, job.clock.now(), details)
+    rows = [row]
+    _append_report(job, [row])
+    if notify is not None and not spec.appends and not details:
         try:
-            _copy_table(job, table, spec, create_empty=create_empty, counts=counts)
-            status = verdict(counts["source"], counts["target"])
-            if status != FAIL:
-                log.info(LOADED_LINE.format(table=table))
-        except Exception as exc:  # C4: the table fails, the job goes on
-            log.error("table %s failed: %s", table, exc)
-            status, details = FAIL, error_text(exc)
-        row = ReportRow(table, counts["source"], counts["target"], status, job.db_name, load_date, start, job.clock.now(), details)
-        rows.append(row)
-        _append_report(job, [row])
-        if notify is not None and not spec.appends and not details:
-            try:
-                _notify(job, notify, table, status)
-            except Exception as exc:  # T8: a second Fail row for the same table
-                log.error("notify for %s failed: %s", table, exc)
-                late = ReportRow(table, counts["source"], counts["target"], FAIL, job.db_name, load_date, start, job.clock.now(), error_text(exc))
-                rows.append(late)
-                _append_report(job, [late])
+            _notify(job, notify, table, status)
+        except Exception as exc:  # T8: a second Fail row for the same table
+            log.error("notify for %s failed: %s", table, exc)
+            late = ReportRow(table, counts["source"], counts["target"], FAIL, job.db_name, load_date, start, job.clock.now(), error_text(exc))
+            rows.append(late)
+            _append_report(job, [late])
     return rows
 
 
+def _run(job: Replication, spec: SliceSpec, notify: Notify | None, create_empty: bool) -> list[ReportRow]:
+    """Run every table; with ``parallelism > 1`` several tables run at once.
+
+    A daily run is many small slices: running them side by side keeps a large
+    cluster busy instead of waiting on one small job after another. Report rows
+    keep the order of the table list.
+    """
+    load_date = job.clock.now().date()  # taken once per job (T10)
+
+    def step(table: str) -> list[ReportRow]:
+        return _table_rows(job, spec, notify, create_empty, load_date, table)
+
+    if job.parallelism <= 1 or len(job.tables) <= 1:
+        per_table = [step(t) for t in job.tables]
+    else:
+        with ThreadPoolExecutor(max_workers=job.parallelism, thread_name_prefix="tablesync") as pool:
+            per_table = list(pool.map(step, job.tables))
+    return [r for rows in per_table for r in rows]
+
+
 def _append_report(job: Replication, rows: list[ReportRow]) -> None:
     if not job.report_table:
         return
     try:
-        append_report(job.spark, report_frame(job.spark, rows), job.report_table)
+        with _SHARED_WRITES:
+            append_report(job.spark, report_frame(job.spark, rows), job.report_table)
     except Exception as exc:
         log.error("report append failed for %s: %s", [r.table_name for r in rows], exc)
 
@@ -184,10 +213,11 @@ def _notify(job: Replication, notify: Notify, table: str, status: str) -> None:
     if not picked:
         return
     one = job.spark.createDataFrame(picked, found.schema)
-    if notify.process_table:
-        append_process_report(job.spark, process_rows(one, job.db_name, table, status, job.run_mode.date), notify.process_table)
-    if notify.sink is not None:
-        notify.sink.publish(status_messages(one, job.db_name, table, status))
+    with _SHARED_WRITES:
+        if notify.process_table:
+            append_process_report(job.spark, process_rows(one, job.db_name, table, status, job.run_mode.date), notify.process_table)
+        if notify.sink is not None:
+            notify.sink.publish(status_messages(one, job.db_name, table, status))
 
 
 def _finish(job: Replication, rows: list[ReportRow], raise_on_fail: bool) -> DataFrame:

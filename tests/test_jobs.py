@@ -180,3 +180,21 @@ def test_json_documents(spark):
         f.write('{"k": 2, "name": "b"}')
     rows = sorted(tuple(r) for r in read_json_documents(spark, path, "k long, name string").collect())
     assert rows == [(1, "line\tbreak"), (2, "b")]
+
+
+def test_parallel_tables_match_sequential(spark):
+    """Several tables at once give the same report and targets as one after another."""
+    ev = _events(spark)
+    orders = spark.read.parquet(f"{SF001}/orders.parquet").withColumns(
+        {"cda_dt": F.col("o_orderdate").cast("date"), "cda_year": F.year("o_orderdate").cast("int")}
+    )
+    loads = {"e1": ev, "e2": ev.where("event_id % 2 = 0"), "o1": orders, "o2": orders}
+    out = {}
+    for par in (1, 4):
+        db = fresh_database(spark)
+        job = _job(spark, db, "0000-01-01", tuple(loads), load_source=loads.__getitem__, parallelism=par, report_table=f"{db}.validation_report")
+        rows = [tuple(r)[:4] for r in replicate(job).collect()]
+        counts = {t: spark.table(f"{db}.{t}").count() for t in loads}
+        out[par] = (rows, counts, spark.table(f"{db}.validation_report").count())
+    assert out[1] == out[4]
+    assert all(r[3] == "Pass" for r in out[4][0]) and out[4][2] == 4

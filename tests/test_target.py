@@ -157,3 +157,20 @@ def test_replace_from_is_survivors_plus_slice(spark, old, new, cut):
     if sliced.count() == 0:
         expected = _bag(old_df)  # T3: an empty slice deletes nothing
     assert _bag(spark.table(f"{db}.t")) == expected
+
+
+def test_without_aqe_writes_from_scan_splits(spark):
+    """With AQE off there is no rebalance shuffle (a hot day would land in one task)."""
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    df = _frame(spark, [_row(i, D(2024, 1, 1 + i % 3)) for i in range(30)])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = t._layout(df, ["cda_year", "cda_dt"])._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        res = t.replace(df, SliceSpec.from_date("2024-01-01").replace_predicate("cda_dt"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert res.rows == 30 and spark.table(f"{db}.t").count() == 30
+    plan = t._layout(df, ["cda_year", "cda_dt"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
