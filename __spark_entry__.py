@@ -53,7 +53,6 @@ _TS = {"lineitem": "l_shipdate", "orders": "o_orderdate", "events": "ts"}
 
 # Oracle building blocks (DuckDB).
 _SRC = "(SELECT *, CAST(l_shipdate AS DATE) AS cda_dt, CAST(year(l_shipdate) AS INTEGER) AS cda_year FROM lineitem)"
-_EV = "(SELECT *, CAST(ts AS DATE) AS cda_dt, CAST(year(ts) AS INTEGER) AS cda_year FROM events)"
 _EV_NULLS = (
     "(SELECT *, CASE WHEN event_id % 7 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS cda_dt, "
     "CAST(year(ts) AS INTEGER) AS cda_year FROM events)"

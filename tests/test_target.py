@@ -5,7 +5,6 @@ from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from tablesync import DayTarget, SliceSpec, survivors
 from tablesync.session import fresh_database
