@@ -231,22 +231,24 @@ class DayTarget:
         """K1: add the slice's rows; other rows are untouched."""
         return self._observed_write(df, overwrite=False)
 
-    def replace(self, df: DataFrame, predicate: Column) -> WriteResult:
+    def replace(self, df: DataFrame, predicate: Column, day: str | None = None) -> WriteResult:
         """K2 / K3: afterwards the target holds ``df`` where ``predicate`` is TRUE,
         and its old rows everywhere else.
 
         An empty slice changes nothing (T3). The table must be partitioned by the
-        day column; ``predicate`` may only use partition columns.
+        day column; ``predicate`` may only use partition columns. ``day`` (ISO
+        date) says the predicate covers that one day, so only that day's
+        partitions are listed from the catalog instead of all of them.
         """
         if self.exists() and _find(self.partition_columns(), self.day_column) is None:
             raise ValueError(f"target {self.table} is not partitioned by {self.day_column}")
         result = self._observed_write(df, overwrite=True)
         if result.rows == 0:
             return result
-        dropped = self._drop_stale(predicate, result.partitions)
+        dropped = self._drop_stale(predicate, result.partitions, day)
         return WriteResult(result.rows, result.partitions, dropped)
 
-    def _partition_frame(self) -> DataFrame:
+    def _partition_frame(self, day: str | None = None) -> DataFrame:
         """The table's partitions as typed columns, from catalog metadata only."""
         schema = self.schema()
         pcols = self.partition_columns()
@@ -256,12 +258,15 @@ class DayTarget:
             raw = kv[F.lit(c)]
             value = F.when(raw == F.lit(DEFAULT_PARTITION_NAME), F.lit(None)).otherwise(raw)
             cols.append(value.cast(schema[c].dataType).alias(c))
-        return self.spark.sql(f"SHOW PARTITIONS {quote_ident(self.table)}").select(*cols)
+        spec = ""
+        if day is not None:
+            spec = f" PARTITION ({quote_ident(_find(pcols, self.day_column))} = {sql_string(day)})"
+        return self.spark.sql(f"SHOW PARTITIONS {quote_ident(self.table)}{spec}").select(*cols)
 
-    def _drop_stale(self, predicate: Column, written: frozenset) -> tuple:
+    def _drop_stale(self, predicate: Column, written: frozenset, day: str | None = None) -> tuple:
         """Drop partitions the predicate covers that this write did not fill."""
         pcols = self.partition_columns()
-        covered = self._partition_frame().where(predicate).collect()
+        covered = self._partition_frame(day).where(predicate).collect()
         stale = [tuple(r) for r in covered if tuple(r) not in written]
         if not stale:
             return ()

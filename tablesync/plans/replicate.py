@@ -129,7 +129,8 @@ def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: boo
     elif spec.appends:
         rows = target.append(sliced).rows  # K1
     else:
-        rows = target.replace(sliced, spec.replace_predicate(job.day_column)).rows  # K2 / K3
+        day = spec.date if spec.kind == "day" else None
+        rows = target.replace(sliced, spec.replace_predicate(job.day_column), day).rows  # K2 / K3
     counts["source"] = str(rows)
     if rows == 0:
         # An empty slice changes nothing and is not re-counted.

@@ -77,6 +77,11 @@ def test_day_replace_clears_wrong_year_partition(spark):
     t.append(_frame(spark, [(1, "old", 1999, D(1998, 6, 15)), (2, "old", 1998, D(1998, 6, 15))]))
     t.replace(_frame(spark, [(3, "new", 1998, D(1998, 6, 15))]), SliceSpec.day("1998-06-15").replace_predicate("cda_dt"))
     assert _bag(spark.table(f"{db}.t")) == Counter([(3, "new", 1998, D(1998, 6, 15))])
+    # the same through the narrowed partition listing of a day replace
+    t.append(_frame(spark, [(4, "old", 1999, D(1998, 6, 15)), (5, "old", 1998, D(1998, 6, 16))]))
+    res = t.replace(_frame(spark, [(6, "new", 1998, D(1998, 6, 15))]), SliceSpec.day("1998-06-15").replace_predicate("cda_dt"), day="1998-06-15")
+    assert res.dropped == ((1999, D(1998, 6, 15)),)
+    assert _bag(spark.table(f"{db}.t")) == Counter([(6, "new", 1998, D(1998, 6, 15)), (5, "old", 1998, D(1998, 6, 16))])
 
 
 def test_field_addition_and_missing_columns(spark):
