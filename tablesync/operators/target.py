@@ -111,6 +111,12 @@ class DayTarget:
         day = _find(names, self.day_column)
         if day is None:
             raise ValueError(f"slice has no day column {self.day_column!r}")
+        if not isinstance(schema[day].dataType, T.DateType):
+            # A timestamp here would make one partition per distinct instant.
+            raise ValueError(
+                f"day column {day!r} must be DATE, not {schema[day].dataType.simpleString()}; "
+                f"derive it with CAST(<ts> AS DATE)"
+            )
         year = _find(names, self.year_column) if self.year_column else None
         return [year, day] if year else [day]
 

@@ -178,3 +178,14 @@ def test_without_aqe_writes_from_scan_splits(spark):
     assert res.rows == 30 and spark.table(f"{db}.t").count() == 30
     plan = t._layout(df, ["cda_year", "cda_dt"])._jdf.queryExecution().executedPlan().toString()
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_day_column_must_be_a_date(spark):
+    import pytest
+
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 10, 0))], "id long, cda_dt timestamp")
+    with pytest.raises(ValueError, match="must be DATE"):
+        t.append(df)
+    assert not t.exists()
