@@ -88,3 +88,22 @@ def test_observed_count_survives_task_retries(tmp_path):
     out = subprocess.run([sys.executable, str(script)], capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stdout[-2000:] + out.stderr[-4000:]
     assert "OK" in out.stdout
+
+
+def test_replace_reads_the_source_once(spark):
+    """Rows, partitions and the write come from one evaluation of the source."""
+    acc = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(v):
+        acc.add(1)
+        return v
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    src = ev.withColumns({"cda_dt": F.col("ts").cast("date"), "cda_year": F.year("ts").cast("int"), "event_id": seen("event_id")})
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    t.create_empty(src.schema)
+    res = t.replace(src, SliceSpec.from_date("0001-01-01").replace_predicate("cda_dt"))
+    assert res.rows == ev.count()
+    assert acc.value == res.rows
