@@ -62,7 +62,7 @@ def replication_from_conf(spark: SparkSession) -> Replication:
         year_column=s.get("year.column", "cda_year") or None,
         report_table=s.get("report.table"),
         format=s.get("target.format", "parquet"),
-        rebalance=s.flag("rebalance", True),
+        rebalance=None if s.get("rebalance", "auto") == "auto" else s.flag("rebalance", True),
         parallelism=int(s.get("parallelism", "1")),
     )
 

@@ -91,7 +91,7 @@ class Replication:
     report_table: str | None = None
     clock: Clock = field(default_factory=Clock)
     format: str = "parquet"
-    rebalance: bool = True
+    rebalance: bool | None = None
     parallelism: int = 1
 
     def source(self, table: str) -> DataFrame:
@@ -101,14 +101,31 @@ class Replication:
             raise ValueError("either source_database or load_source is required")
         return source_table(self.spark, self.source_database, table)
 
+    def source_laid_out_by_day(self, table: str) -> bool:
+        """Whether the source is a catalog table partitioned by the day column.
+
+        Its scan splits then come from one day's files each, so the slice can be
+        written straight from the scan: no shuffle, and a hot day is already
+        spread over as many tasks as it has splits.
+        """
+        if self.load_source is not None or not self.source_database:
+            return False
+        cols = self.spark.catalog.listColumns(f"{self.source_database}.{table}")
+        return any(c.isPartition and c.name.lower() == self.day_column.lower() for c in cols)
+
     def target(self, table: str) -> DayTarget:
+        """``rebalance=None`` (auto): shuffle on the partition columns unless the
+        source is already laid out by day."""
+        rebalance = self.rebalance
+        if rebalance is None:
+            rebalance = not self.source_laid_out_by_day(table)
         return DayTarget(
             self.spark,
             f"{self.target_database}.{table}",
             self.day_column,
             self.year_column,
             format=self.format,
-            rebalance=self.rebalance,
+            rebalance=rebalance,
         )
 
     @property

@@ -66,3 +66,13 @@ def test_relay_job_from_conf(spark):
 
 def test_main_usage():
     assert jobs.main(["nope"]) == 2
+
+
+def test_auto_layout_skips_the_shuffle_for_day_partitioned_sources(spark, source_db):
+    from tablesync import Replication, resolve_run_mode
+
+    job = Replication(spark, ["events", "orders"], fresh_database(spark), "cda_dt", resolve_run_mode("2024-01-15"), source_database=source_db)
+    assert job.source_laid_out_by_day("events") and not job.target("events").rebalance
+    assert not job.source_laid_out_by_day("orders") and job.target("orders").rebalance
+    forced = Replication(spark, ["events"], "x", "cda_dt", resolve_run_mode("2024-01-15"), source_database=source_db, rebalance=True)
+    assert forced.target("events").rebalance
