@@ -64,6 +64,7 @@ def replication_from_conf(spark: SparkSession) -> Replication:
         format=s.get("target.format", "parquet"),
         rebalance=None if s.get("rebalance", "auto") == "auto" else s.flag("rebalance", True),
         parallelism=int(s.get("parallelism", "1")),
+        report_every=int(s.get("report.every", "1")),
     )
 
 

@@ -93,6 +93,7 @@ class Replication:
     format: str = "parquet"
     rebalance: bool | None = None
     parallelism: int = 1
+    report_every: int = 1
 
     def source(self, table: str) -> DataFrame:
         if self.load_source is not None:
@@ -161,8 +162,43 @@ def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: boo
     counts["target"] = found
 
 
+class _ReportBuffer:
+    """Report rows waiting to be appended.
+
+    ``report_every=1`` appends each table's row as soon as the table is done (a
+    crash loses nothing already reported); a larger value appends rows in
+    groups, so a run over thousands of tables writes a few report files per day
+    instead of one per table. Whatever is left is appended at the end of the job.
+    """
+
+    def __init__(self, job: Replication):
+        self.job = job
+        self.rows: list[ReportRow] = []
+        self.lock = threading.Lock()
+
+    def add(self, rows: list[ReportRow]) -> None:
+        with self.lock:
+            self.rows.extend(rows)
+            if len(self.rows) < max(1, self.job.report_every):
+                return
+            pending, self.rows = self.rows, []
+        _append_report(self.job, pending)
+
+    def flush(self) -> None:
+        with self.lock:
+            pending, self.rows = self.rows, []
+        if pending:
+            _append_report(self.job, pending)
+
+
 def _table_rows(
-    job: Replication, spec: SliceSpec, notify: Notify | None, create_empty: bool, load_date, table: str
+    job: Replication,
+    spec: SliceSpec,
+    notify: Notify | None,
+    create_empty: bool,
+    load_date,
+    report: _ReportBuffer,
+    table: str,
 ) -> list[ReportRow]:
     """Everything for one table; one report row, two if the notify step fails."""
     start = job.clock.now()
@@ -178,7 +214,7 @@ def _table_rows(
         status, details = FAIL, error_text(exc)
     row = ReportRow(table, counts["source"], counts["target"], status, job.db_name, load_date, start, job.clock.now(), details)
     rows = [row]
-    _append_report(job, [row])
+    report.add([row])
     if notify is not None and not spec.appends and not details:
         try:
             _notify(job, notify, table, status)
@@ -186,7 +222,7 @@ def _table_rows(
             log.error("notify for %s failed: %s", table, exc)
             late = ReportRow(table, counts["source"], counts["target"], FAIL, job.db_name, load_date, start, job.clock.now(), error_text(exc))
             rows.append(late)
-            _append_report(job, [late])
+            report.add([late])
     return rows
 
 
@@ -198,15 +234,19 @@ def _run(job: Replication, spec: SliceSpec, notify: Notify | None, create_empty:
     keep the order of the table list.
     """
     load_date = job.clock.now().date()  # taken once per job (T10)
+    report = _ReportBuffer(job)
 
     def step(table: str) -> list[ReportRow]:
-        return _table_rows(job, spec, notify, create_empty, load_date, table)
+        return _table_rows(job, spec, notify, create_empty, load_date, report, table)
 
-    if job.parallelism <= 1 or len(job.tables) <= 1:
-        per_table = [step(t) for t in job.tables]
-    else:
-        with ThreadPoolExecutor(max_workers=job.parallelism, thread_name_prefix="tablesync") as pool:
-            per_table = list(pool.map(step, job.tables))
+    try:
+        if job.parallelism <= 1 or len(job.tables) <= 1:
+            per_table = [step(t) for t in job.tables]
+        else:
+            with ThreadPoolExecutor(max_workers=job.parallelism, thread_name_prefix="tablesync") as pool:
+                per_table = list(pool.map(step, job.tables))
+    finally:
+        report.flush()
     return [r for rows in per_table for r in rows]
 
 

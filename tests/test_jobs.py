@@ -222,3 +222,16 @@ def test_parallel_tables_match_sequential(spark):
         out[par] = (rows, counts, spark.table(f"{db}.validation_report").count())
     assert out[1] == out[4]
     assert all(r[3] == "Pass" for r in out[4][0]) and out[4][2] == 4
+
+
+def test_report_rows_appended_in_groups(spark):
+    """report_every=N: same rows, fewer report files."""
+    ev = _events(spark)
+    loads = {f"e{i}": ev for i in range(5)}
+    db = fresh_database(spark)
+    job = _job(spark, db, "2024-01-15", tuple(loads), load_source=loads.__getitem__, report_table=f"{db}.validation_report", report_every=2)
+    replicate(job)
+    stored = spark.table(f"{db}.validation_report")
+    assert sorted(r.table_name for r in stored.collect()) == sorted(loads)
+    files = stored.select(F.input_file_name()).distinct().count()
+    assert files == 3  # 2 + 2 + the final 1
