@@ -10,15 +10,21 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
-    sc = spark.sparkContext
-    for value in (
-        spark.conf.get(CHECKPOINT_DIR_KEY, None),
-        sc.getConf().get(CHECKPOINT_DIR_KEY, None),
-        sc.getCheckpointDir(),
-    ):
-        if value:
-            return value
+    value = spark.conf.get(CHECKPOINT_DIR_KEY, None)
+    if value:
+        return value
+    sc = _context(spark)
+    if sc is not None:
+        return sc.getConf().get(CHECKPOINT_DIR_KEY, None) or sc.getCheckpointDir()
     return None
 
 
@@ -32,12 +38,16 @@ def shared_root(spark: SparkSession) -> str:
     root = _configured_checkpoint_dir(spark)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError(
             f"set {CHECKPOINT_DIR_KEY} to a shared folder (HDFS/object store) before running"
         )
     root = tempfile.mkdtemp(prefix="tablesync-")
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
+        return sc.getCheckpointDir() or root
     return root
 
 
