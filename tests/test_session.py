@@ -12,4 +12,4 @@ def test_shared_root_is_the_checkpoint_dir(spark):
 
 def test_quoting():
     assert quote_ident("db.t`x") == "`db`.`t``x`"
-    assert sql_string("o'b\\\\") == "'o\\\\'b\\\\\\\\'"
+    assert sql_string(r"o'b\\") == r"'o\'b\\\\'"
