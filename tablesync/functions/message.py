@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.session import quote_ident
+
 NONE_TEXT = "None"
 
 _TO_JSON_OPTIONS = {"writeNonAsciiCharacterAsCodePoint": "true"}
@@ -95,7 +97,7 @@ def message_column(
     pairs: dict[str, Column] = {}
     chosen = control.schema.fields if fields is None else [control.schema[f] for f in fields]
     for field in chosen:
-        pairs[field.name] = python_str(F.col(f"`{field.name}`"), field.dataType)
+        pairs[field.name] = python_str(F.col(quote_ident(field.name)), field.dataType)
     for key, value in (
         ("source_system", source_system),
         ("table_name", table_name),

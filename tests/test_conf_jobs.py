@@ -76,3 +76,35 @@ def test_auto_layout_skips_the_shuffle_for_day_partitioned_sources(spark, source
     assert not job.source_laid_out_by_day("orders") and job.target("orders").rebalance
     forced = Replication(spark, ["events"], "x", "cda_dt", resolve_run_mode("2024-01-15"), source_database=source_db, rebalance=True)
     assert forced.target("events").rebalance
+
+
+def test_main_batch_exit_codes(spark, source_db):
+    target = fresh_database(spark)
+    _set(spark, source_database=source_db, tables="events", target_database=target, run_date="2024-01-15")
+    spark.conf.set(jobs.PREFIX + "day.column", "CDA_DT")
+    spark.conf.set(jobs.PREFIX + "fail.exit", "true")
+    try:
+        assert jobs.main(["batch"]) == 0
+        spark.conf.set(jobs.PREFIX + "tables", "events,missing_table")
+        assert jobs.main(["batch"]) == 1
+    finally:
+        spark.conf.unset(jobs.PREFIX + "fail.exit")
+
+
+def test_odd_column_names_survive(spark):
+    import datetime as dt
+
+    from tablesync import Replication, replicate, resolve_run_mode
+
+    db = fresh_database(spark)
+    src = spark.createDataFrame(
+        [(1, "x", dt.date(2024, 1, 1), 2024), (2, "y", dt.date(2024, 1, 2), 2024)],
+        "`id` long, `a b` string, `CDA_DT` date, `cda_year` int",
+    )
+    job = Replication(spark, ["odd"], db, "cda_dt", resolve_run_mode("0000-01-01"), load_source=lambda t: src)
+    assert replicate(job).first().count_result == "Pass"
+    wider = src.withColumn("we`ird", F.lit(1.5))
+    job2 = Replication(spark, ["odd"], db, "cda_dt", resolve_run_mode("2024-01-02"), load_source=lambda t: wider)
+    assert replicate(job2).first().count_result == "Pass"
+    rows = sorted(tuple(r) for r in spark.table(f"{db}.odd").select("id", "`a b`", "`we``ird`").collect())
+    assert rows == [(1, "x", None), (2, "y", 1.5)]
