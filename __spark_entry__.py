@@ -322,8 +322,8 @@ def q_process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = process_rows(best, F.col("target_db"), F.col("source_table"), "Pass", run_date).select(
         "business_ts", "delivery_ts", "source_system", "table_name", "count_result", "cda_date"
     )
-    append_process_report(spark, rows, f"{db}.processdb_report")
-    return spark.table(f"{db}.processdb_report")
+    append_process_report(spark, rows, f"{db}.process_report")
+    return spark.table(f"{db}.process_report")
 
 
 def q_status_message(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,7 +342,7 @@ def q_notify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = fresh_database(spark)
     control = _control(spark, sf_dir, F.lit("lineitem"), F.lit(DB_NAME))
     path = f"{shared_root(spark)}/messages/{db}"
-    notify = Notify(control, process_table=f"{db}.processdb_report", sink=MessageSink("text", path))
+    notify = Notify(control, process_table=f"{db}.process_report", sink=MessageSink("text", path))
     loads = {t: _standin(spark, sf_dir, t) for t in ("lineitem", "events")}
     report = replicate_and_notify(_job(spark, db, ["lineitem", "events"], "2001-06-01", loads.__getitem__), notify)
     messages = spark.read.schema("value string").text(path)

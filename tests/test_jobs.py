@@ -108,7 +108,7 @@ def test_notify_publishes_message_and_process_row(spark):
         "source_table string, target_db string, cda_date int, business_ts timestamp_ntz, delivery_ts timestamp_ntz",
     )
     path = f"{shared_root(spark)}/messages/{db}"
-    notify = Notify(control, process_table=f"{db}.processdb_report", sink=MessageSink("text", path))
+    notify = Notify(control, process_table=f"{db}.process_report", sink=MessageSink("text", path))
     report = replicate_and_notify(_job(spark, db, "2024-01-15"), notify).collect()
     assert [r.count_result for r in report] == ["Pass"]
     messages = [r.value for r in spark.read.text(path).collect()]
@@ -123,7 +123,7 @@ def test_notify_publishes_message_and_process_row(spark):
             }
         )
     ]
-    process = spark.table(f"{db}.processdb_report").collect()
+    process = spark.table(f"{db}.process_report").collect()
     assert len(process) == 1 and process[0].cda_date == dt.date(2024, 1, 15) and process[0].table_name == "events"
 
 
