@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -41,8 +42,13 @@ def export_csv(
 
 
 def output_path(root: str, file: str) -> str:
-    """The relay target of ``file`` under ``root`` with exactly one slash."""
-    return root.rstrip("/") + "/" + file.lstrip("/")
+    """The relay target of ``file`` under ``root`` with exactly one slash.
+
+    Only the path of ``file`` is used, so ``hdfs://nn/data/a.csv`` and
+    ``/data/a.csv`` both land at ``<root>/data/a.csv``.
+    """
+    path = urlparse(file).path if "://" in file or file.startswith("file:") else file
+    return root.rstrip("/") + "/" + path.lstrip("/")
 
 
 def relay_files(

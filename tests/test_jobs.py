@@ -235,3 +235,10 @@ def test_report_rows_appended_in_groups(spark):
     assert sorted(r.table_name for r in stored.collect()) == sorted(loads)
     files = stored.select(F.input_file_name()).distinct().count()
     assert files == 3  # 2 + 2 + the final 1
+
+
+def test_output_path_forms():
+    assert output_path("/out/", "/data/a.csv") == "/out/data/a.csv"
+    assert output_path("/out", "data/a.csv") == "/out/data/a.csv"
+    assert output_path("gs://b/", "hdfs://nn:8020/data/a.csv") == "gs://b/data/a.csv"
+    assert output_path("/out", "file:/data/a.csv") == "/out/data/a.csv"
