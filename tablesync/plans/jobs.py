@@ -104,6 +104,7 @@ def run_relay(spark: SparkSession) -> DataFrame:
         s.require("relay.output"),
         sep=s.get("relay.sep", PIPE),
         infer=s.flag("relay.infer", True),
+        parallelism=int(s.get("relay.parallelism", "1")),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,18 +59,27 @@ def relay_files(
     sep: str = PIPE,
     infer: bool = True,
     mode: str = "errorifexists",
+    parallelism: int = 1,
 ) -> DataFrame:
     """Relay each file; a failing file is reported and the next one runs.
 
-    Returns one status row per file (the original only logged failures).
+    Returns one status row per file, in input order (the original only logged
+    failures). Every file is its own Spark job writing its own folder, so with
+    ``parallelism > 1`` several files are relayed at once.
     """
-    status = []
-    for file in files:
+
+    def relay(file: str) -> tuple:
         target = output_path(output_root, file)
         try:
             export_csv(read_delimited(spark, file, sep=sep, infer=infer), target, mode=mode)
-            status.append((file, target, True, None))
+            return (file, target, True, None)
         except Exception as exc:
             log.error("relay of %s failed: %s", file, exc)
-            status.append((file, target, False, error_text(exc)))
+            return (file, target, False, error_text(exc))
+
+    if parallelism <= 1 or len(files) <= 1:
+        status = [relay(f) for f in files]
+    else:
+        with ThreadPoolExecutor(max_workers=parallelism, thread_name_prefix="tablesync-relay") as pool:
+            status = list(pool.map(relay, files))
     return spark.createDataFrame(status, RELAY_STATUS)

@@ -242,3 +242,19 @@ def test_output_path_forms():
     assert output_path("/out", "data/a.csv") == "/out/data/a.csv"
     assert output_path("gs://b/", "hdfs://nn:8020/data/a.csv") == "gs://b/data/a.csv"
     assert output_path("/out", "file:/data/a.csv") == "/out/data/a.csv"
+
+
+def test_relay_many_files_in_parallel(spark):
+    root = shared_root(spark)
+    srcs = []
+    for i in range(4):
+        src = f"{root}/landing/{fresh_database(spark)}.csv"
+        spark.createDataFrame([(str(i), "x")], "id string, n string").write.option("header", "true").option("sep", "|").csv(src)
+        srcs.append(src)
+    srcs.insert(2, f"{root}/landing/missing.csv")
+    out = f"{root}/relay/{fresh_database(spark)}"
+    status = relay_files(spark, srcs, out, parallelism=3).collect()
+    assert [s.file for s in status] == srcs
+    assert [s.ok for s in status] == [True, True, False, True, True]
+    got = sorted(int(spark.read.option("header", "true").csv(s.output).first().id) for s in status if s.ok)
+    assert got == [0, 1, 2, 3]
