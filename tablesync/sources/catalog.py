@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import split_list
 from tablesync.session import quote_ident
 
+log = logging.getLogger("tablesync")
+
 # Fixed value: this table list means every table of the database.
 ALL_TABLES = "ALL"
 
@@ -44,13 +48,14 @@ def file_sizes(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame:
     them. A location without files yields no row (such a table is skipped,
     as tables without a size are).
     """
-    frames = [
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select(F.lit(name).alias("table_name"), F.col("length"))
-        for name, path in locations.items()
-    ]
+    frames = []
+    for name, path in locations.items():
+        try:
+            listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        except AnalysisException as exc:  # no folder yet: the table has no size
+            log.info("no files for %s at %s: %s", name, path, exc.getCondition() if hasattr(exc, "getCondition") else exc)
+            continue
+        frames.append(listing.select(F.lit(name).alias("table_name"), F.col("length")))
     if not frames:
         return spark.createDataFrame([], "table_name string, bytes long")
     files = frames[0]

@@ -258,3 +258,10 @@ def test_relay_many_files_in_parallel(spark):
     assert [s.ok for s in status] == [True, True, False, True, True]
     got = sorted(int(spark.read.option("header", "true").csv(s.output).first().id) for s in status if s.ok)
     assert got == [0, 1, 2, 3]
+
+
+def test_sizes_skip_tables_without_files(spark):
+    tables = {"orders": f"{SF001}/orders.parquet", "gone": f"{shared_root(spark)}/no/such/folder"}
+    got = {r.table_name: r.bytes for r in size_report(spark, tables).collect()}
+    assert set(got) == {"orders"}
+    assert size_total(size_report(spark, tables)).first().tables == 1
