@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesync.functions.text import split_list
@@ -14,6 +15,8 @@ from tablesync.session import quote_ident
 
 log = logging.getLogger("tablesync")
 
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
+
 # Fixed value: this table list means every table of the database.
 ALL_TABLES = "ALL"
 
@@ -39,31 +42,70 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows[0]["data_type"]
 
 
+def _bare(path: str) -> str:
+    """A path without scheme and authority, without a trailing slash."""
+    return re.sub(_SCHEME, "", path).rstrip("/") or "/"
+
+
+def _listing(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """One ``binaryFile`` listing over all paths (Spark lists many roots in a
+    distributed job); paths without a folder are left out."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        return reader.load(paths)
+    except AnalysisException:
+        kept = []
+        for path in paths:
+            try:
+                reader.load(path)
+                kept.append(path)
+            except AnalysisException as exc:  # no folder yet: the table has no size
+                log.info("no files at %s: %s", path, exc)
+        return reader.load(kept) if kept else None
+
+
 def file_sizes(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame:
     """Bytes on disk per table, ``table_name string, bytes long``.
 
-    Each location (a file or a directory tree) is listed by the ``binaryFile``
-    source with only the ``length`` column selected, so file contents are never
+    All locations (files or directory trees) are listed in one ``binaryFile``
+    scan with only ``path`` and ``length`` selected, so file contents are never
     read; hidden and ``_``-prefixed files are skipped like any Spark scan skips
-    them. A location without files yields no row (such a table is skipped,
-    as tables without a size are).
+    them. Each file belongs to the deepest location that contains it (found by
+    joining the file's ancestor paths with the locations), so nested table
+    folders are not counted twice. A location without files yields no row
+    (such a table is skipped, as tables without a size are).
     """
-    frames = []
-    for name, path in locations.items():
-        try:
-            listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        except AnalysisException as exc:  # no folder yet: the table has no size
-            log.info("no files for %s at %s: %s", name, path, exc.getCondition() if hasattr(exc, "getCondition") else exc)
-            continue
-        frames.append(listing.select(F.lit(name).alias("table_name"), F.col("length")))
-    if not frames:
-        return spark.createDataFrame([], "table_name string, bytes long")
-    files = frames[0]
-    for frame in frames[1:]:
-        files = files.unionByName(frame)
-    return files.groupBy("table_name").agg(F.sum("length").cast("long").alias("bytes"))
+    empty = spark.createDataFrame([], "table_name string, bytes long")
+    if not locations:
+        return empty
+    listing = _listing(spark, list(dict.fromkeys(locations.values())))
+    if listing is None:
+        return empty
+    files = listing.select(F.regexp_replace("path", _SCHEME, "").alias("file"), "length")
+    parts = F.split("file", "/")
+    ancestors = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
+    candidates = files.select("file", "length", F.explode(ancestors).alias("location"))
+    owners = spark.createDataFrame(
+        [(name, _bare(path)) for name, path in locations.items()], "table_name string, location string"
+    )
+    # One row per table, so its size is bounded by the table list: broadcast it
+    # (never the listing, which grows with the number of files).
+    matched = candidates.join(F.broadcast(owners), "location").withColumn("depth", F.length("location"))
+    deepest = F.max("depth").over(Window.partitionBy("file"))  # a handful of rows per file
+    owned = matched.withColumn("deepest", deepest).where(F.col("depth") == F.col("deepest"))
+    return owned.groupBy("table_name").agg(F.sum("length").cast("long").alias("bytes"))
 
 
 def catalog_locations(spark: SparkSession, database: str, tables: str | list[str]) -> dict[str, str]:
-    """S7 + locations: ``{table: location}`` for catalog tables."""
-    return {t: table_location(spark, f"{database}.{t}") for t in list_tables(spark, database, tables)}
+    """S7 + locations: ``{table: location}`` for catalog tables.
+
+    One ``SHOW TABLE EXTENDED`` call reads every table's location, instead of a
+    metastore call per table. The result has one entry per table (metadata).
+    """
+    names = list_tables(spark, database, tables)
+    info = spark.sql(f"SHOW TABLE EXTENDED IN {quote_ident(database)} LIKE '*'").where(~F.col("isTemporary"))
+    found = {
+        r["tableName"]: r["location"]
+        for r in info.select("tableName", F.regexp_extract("information", r"(?m)^Location: (.*)$", 1).alias("location")).collect()
+    }
+    return {t: found[t] for t in names if found.get(t)}

@@ -265,3 +265,16 @@ def test_sizes_skip_tables_without_files(spark):
     got = {r.table_name: r.bytes for r in size_report(spark, tables).collect()}
     assert set(got) == {"orders"}
     assert size_total(size_report(spark, tables)).first().tables == 1
+
+
+def test_sizes_nested_folders_counted_once(spark):
+    root = f"{shared_root(spark)}/sizes/{fresh_database(spark)}"
+    spark.range(10).write.parquet(f"{root}/outer")
+    spark.range(1000).write.parquet(f"{root}/outer/inner")
+    local = root.replace("file:", "")
+
+    def size(d):
+        return sum(os.path.getsize(os.path.join(d, f)) for f in os.listdir(d) if f.endswith(".parquet"))
+
+    got = {r.table_name: r.bytes for r in size_report(spark, {"outer": f"{root}/outer", "inner": f"{root}/outer/inner/"}).collect()}
+    assert got == {"outer": size(f"{local}/outer"), "inner": size(f"{local}/outer/inner")}
