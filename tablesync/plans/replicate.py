@@ -240,7 +240,10 @@ def _run(job: Replication, spec: SliceSpec, notify: Notify | None, create_empty:
         return _table_rows(job, spec, notify, create_empty, load_date, report, table)
 
     try:
-        if job.parallelism <= 1 or len(job.tables) <= 1:
+        # A table named twice runs twice, one run after the other (two concurrent
+        # writers of one target would conflict).
+        repeated = len(set(job.tables)) != len(job.tables)
+        if job.parallelism <= 1 or len(job.tables) <= 1 or repeated:
             per_table = [step(t) for t in job.tables]
         else:
             with ThreadPoolExecutor(max_workers=job.parallelism, thread_name_prefix="tablesync") as pool:

@@ -278,3 +278,10 @@ def test_sizes_nested_folders_counted_once(spark):
 
     got = {r.table_name: r.bytes for r in size_report(spark, {"outer": f"{root}/outer", "inner": f"{root}/outer/inner/"}).collect()}
     assert got == {"outer": size(f"{local}/outer"), "inner": size(f"{local}/outer/inner")}
+
+
+def test_repeated_table_runs_twice_in_order(spark):
+    db = fresh_database(spark)
+    job = _job(spark, db, "0000-01-01", ("events", "events"), parallelism=4)
+    results = [r.count_result for r in replicate(job).collect()]
+    assert results == ["Pass", "Fail"]  # the second history load doubles the target (T4)
