@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.functions.status import count_text
 from tablesync.operators.predicates import DEFAULT_YEAR_COLUMN
 from tablesync.session import quote_ident, sql_string
 
@@ -301,7 +302,7 @@ class DayTarget:
         """S5 / A2 as a one-row frame ``size string``; NULL when the table is missing."""
         if not self.exists():
             return self.spark.range(1).select(F.lit(None).cast("string").alias("size"))
-        return self.read(predicate).agg(F.count(F.lit(1)).cast("string").alias("size"))
+        return self.read(predicate).agg(count_text(F.count(F.lit(1))).alias("size"))
 
     def count(self, predicate: Column) -> str | None:
         """The count as text, ``None`` when the table is missing."""
