@@ -85,17 +85,25 @@ def file_sizes(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame:
     parts = F.split("file", "/")
     ancestors = F.transform(F.sequence(F.lit(2), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     candidates = files.select("file", "length", F.explode(ancestors).alias("location"))
-    owners = spark.createDataFrame(
-        [(name, _bare(path)) for name, path in locations.items()], "table_name string, location string"
-    )
+    bare = {name: _bare(path) for name, path in locations.items()}
+    owners = spark.createDataFrame(list(bare.items()), "table_name string, location string")
     # One row per table, so its size is bounded by the table list: broadcast it
     # (never the listing, which grows with the number of files).
-    matched = candidates.join(F.broadcast(owners), "location").withColumn("depth", F.length("location"))
-    deepest = F.max("depth").over(Window.partitionBy("file"))  # a handful of rows per file
-    owned = matched.withColumn("deepest", deepest).where(F.col("depth") == F.col("deepest"))
+    owned = candidates.join(F.broadcast(owners), "location")
+    if _nested(set(bare.values())):
+        # A file under nested folders matches several tables; the deepest owns it.
+        depth = F.length("location")
+        deepest = F.max(depth).over(Window.partitionBy("file"))  # a handful of rows per file
+        owned = owned.withColumn("deepest", deepest).where(depth == F.col("deepest"))
     return owned.groupBy("table_name").agg(F.sum("length").cast("long").alias("bytes"))
 
 
+def _nested(locations: set[str]) -> bool:
+    """Whether one location lies inside another (decided on the table list)."""
+    ordered = sorted(loc.rstrip("/") + "/" for loc in locations)
+    return any(b.startswith(a) for a, b in zip(ordered, ordered[1:]))
+
+
 def catalog_locations(spark: SparkSession, database: str, tables: str | list[str]) -> dict[str, str]:
     """S7 + locations: ``{table: location}`` for catalog tables.
 
