@@ -94,6 +94,7 @@ class DayTarget:
         self.year_column = year_column
         self.format = format
         self.rebalance = rebalance
+        self._info: tuple[list[str], str] | None = None  # (partition columns, storage properties)
 
     # ------------------------------------------------------------------ metadata
     def exists(self) -> bool:
@@ -103,9 +104,34 @@ class DayTarget:
     def schema(self) -> T.StructType:
         return self.spark.table(self.table).schema
 
+    def _describe(self) -> tuple[list[str], str]:
+        """Partition columns and storage properties, read once per target.
+
+        Neither can change while the table exists, and one ``DESCRIBE`` is much
+        cheaper than listing the columns through the catalog API each time.
+        """
+        if self._info is None:
+            rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(self.table)}").collect()
+            pcols: list[str] = []
+            props = ""
+            section = ""
+            for r in rows:
+                name = (r["col_name"] or "").strip()
+                if name.startswith("#"):
+                    section = name if name != "# col_name" else section
+                    continue
+                if not name:
+                    section = ""
+                    continue
+                if section == "# Partition Information":
+                    pcols.append(name)
+                elif name == "Storage Properties":
+                    props = r["data_type"] or ""
+            self._info = (pcols, props)
+        return self._info
+
     def partition_columns(self) -> list[str]:
-        cols = self.spark.catalog.listColumns(self.table)
-        return [c.name for c in cols if c.isPartition]
+        return list(self._describe()[0])
 
     def _partition_columns_for(self, schema: T.StructType) -> list[str]:
         names = schema.fieldNames()
@@ -173,10 +199,7 @@ class DayTarget:
     # ------------------------------------------------------------------ writes
     def _declares_dynamic_overwrite(self) -> bool:
         """Whether the table itself carries the dynamic overwrite option (ours do)."""
-        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(self.table)}").where(
-            "col_name = 'Storage Properties'"
-        ).collect()
-        return bool(rows) and "partitionOverwriteMode=dynamic" in (rows[0]["data_type"] or "")
+        return "partitionOverwriteMode=dynamic" in self._describe()[1]
 
     @contextlib.contextmanager
     def _dynamic_overwrite(self) -> Iterator[None]:

@@ -29,6 +29,7 @@ from tablesync.operators.report import (
 from tablesync.operators.target import DayTarget
 from tablesync.plans.notify import lookup_control
 from tablesync.plans.runmode import RunMode
+from tablesync.sources.catalog import partition_columns
 from tablesync.sources.slices import read_slice, resolve_column, source_table
 from tablesync.streaming.publish import MessageSink
 
@@ -111,8 +112,8 @@ class Replication:
         """
         if self.load_source is not None or not self.source_database:
             return False
-        cols = self.spark.catalog.listColumns(f"{self.source_database}.{table}")
-        return any(c.isPartition and c.name.lower() == self.day_column.lower() for c in cols)
+        pcols = partition_columns(self.spark, f"{self.source_database}.{table}")
+        return any(c.lower() == self.day_column.lower() for c in pcols)
 
     def target(self, table: str) -> DayTarget:
         """``rebalance=None`` (auto): shuffle on the partition columns unless the

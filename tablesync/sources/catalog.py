@@ -34,6 +34,21 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The partition columns of a catalog table, from one ``DESCRIBE``."""
+    out: list[str] = []
+    section = ""
+    for r in spark.sql(f"DESCRIBE TABLE {quote_ident(name)}").collect():
+        col = (r["col_name"] or "").strip()
+        if col.startswith("#"):
+            section = col if col != "# col_name" else section
+        elif not col:
+            section = ""
+        elif section == "# Partition Information":
+            out.append(col)
+    return out
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     """The storage location of a catalog table."""
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").where("col_name = 'Location'").collect()
