@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from tablesync.functions.status import count_text
 from tablesync.operators.predicates import DEFAULT_YEAR_COLUMN
 from tablesync.session import quote_ident, sql_string
+from tablesync.sources.catalog import describe_table
 
 OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
@@ -105,29 +106,10 @@ class DayTarget:
         return self.spark.table(self.table).schema
 
     def _describe(self) -> tuple[list[str], str]:
-        """Partition columns and storage properties, read once per target.
-
-        Neither can change while the table exists, and one ``DESCRIBE`` is much
-        cheaper than listing the columns through the catalog API each time.
-        """
+        """Partition columns and storage properties, read once per target
+        (neither can change while the table exists)."""
         if self._info is None:
-            rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(self.table)}").collect()
-            pcols: list[str] = []
-            props = ""
-            section = ""
-            for r in rows:
-                name = (r["col_name"] or "").strip()
-                if name.startswith("#"):
-                    section = name if name != "# col_name" else section
-                    continue
-                if not name:
-                    section = ""
-                    continue
-                if section == "# Partition Information":
-                    pcols.append(name)
-                elif name == "Storage Properties":
-                    props = r["data_type"] or ""
-            self._info = (pcols, props)
+            self._info = describe_table(self.spark, self.table)
         return self._info
 
     def partition_columns(self) -> list[str]:

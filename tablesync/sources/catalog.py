@@ -34,19 +34,28 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def partition_columns(spark: SparkSession, name: str) -> list[str]:
-    """The partition columns of a catalog table, from one ``DESCRIBE``."""
-    out: list[str] = []
+def describe_table(spark: SparkSession, name: str) -> tuple[list[str], str]:
+    """Partition columns and storage properties of a catalog table, from one
+    ``DESCRIBE TABLE EXTENDED`` (cheaper than listing columns via the catalog API)."""
+    pcols: list[str] = []
+    props = ""
     section = ""
-    for r in spark.sql(f"DESCRIBE TABLE {quote_ident(name)}").collect():
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").collect():
         col = (r["col_name"] or "").strip()
         if col.startswith("#"):
             section = col if col != "# col_name" else section
         elif not col:
             section = ""
         elif section == "# Partition Information":
-            out.append(col)
-    return out
+            pcols.append(col)
+        elif col == "Storage Properties":
+            props = r["data_type"] or ""
+    return pcols, props
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    """The partition columns of a catalog table."""
+    return describe_table(spark, name)[0]
 
 
 def table_location(spark: SparkSession, name: str) -> str:
