@@ -254,12 +254,26 @@ class DayTarget:
         """
         if self.exists() and _find(self.partition_columns(), self.day_column) is None:
             raise ValueError(f"target {self.table} is not partitioned by {self.day_column}")
-        result = self._observed_write(df, overwrite=True)
+        result = self._observed_write(self._inside(df, predicate), overwrite=True)
         if result.rows == 0:
             return result
         dropped = self._drop_stale(predicate, result.partitions, day)
         return WriteResult(result.rows, result.partitions, dropped)
 
+    def _inside(self, df: DataFrame, predicate: Column) -> DataFrame:
+        """Fail the write (before anything is committed) on a row outside the range.
+
+        Such a row would overwrite a day the predicate does not cover and lose that
+        day's other rows, unlike delete-then-append. Rows are never dropped.
+        """
+        day = _find(df.columns, self.day_column)
+        if day is None:
+            return df  # reported by the write itself
+        checked = F.when(F.coalesce(predicate, F.lit(False)), F.col(quote_ident(day))).otherwise(
+            F.raise_error(F.lit(f"row outside the replaced range of {self.table}"))
+        )
+        return df.withColumn(day, checked)
+
     def _partition_frame(self, day: str | None = None) -> DataFrame:
         """The table's partitions as typed columns, from catalog metadata only."""
         schema = self.schema()

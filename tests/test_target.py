@@ -189,3 +189,15 @@ def test_day_column_must_be_a_date(spark):
     with pytest.raises(ValueError, match="must be DATE"):
         t.append(df)
     assert not t.exists()
+
+
+def test_replace_refuses_rows_outside_the_range(spark):
+    import pytest
+
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    t.append(_frame(spark, [_row(1, D(2024, 1, 1)), _row(2, D(2024, 1, 5))]))
+    bad = _frame(spark, [_row(3, D(2024, 1, 5), "new"), _row(4, D(2024, 1, 1), "new")])
+    with pytest.raises(Exception, match="outside the replaced range"):
+        t.replace(bad, SliceSpec.from_date("2024-01-03").replace_predicate("cda_dt"))
+    assert _bag(spark.table(f"{db}.t")) == Counter([(1, "old", 2024, D(2024, 1, 1)), (2, "old", 2024, D(2024, 1, 5))])
