@@ -201,3 +201,21 @@ def test_replace_refuses_rows_outside_the_range(spark):
     with pytest.raises(Exception, match="outside the replaced range"):
         t.replace(bad, SliceSpec.from_date("2024-01-03").replace_predicate("cda_dt"))
     assert _bag(spark.table(f"{db}.t")) == Counter([(1, "old", 2024, D(2024, 1, 1)), (2, "old", 2024, D(2024, 1, 5))])
+
+
+def test_nested_values_survive_and_nested_columns_can_be_added(spark):
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    first = spark.createDataFrame(
+        [(1, [1.5, None], {"a": 1}, 2024, D(2024, 1, 1))],
+        "id long, arr array<double>, m map<string,int>, cda_year int, cda_dt date",
+    )
+    t.append(first)
+    second = spark.createDataFrame(
+        [(2, [2.0], {"b": 2}, (7, ["x"]), 2024, D(2024, 1, 2))],
+        "id long, arr array<double>, m map<string,int>, s struct<`odd name`: int, tags: array<string>>, cda_year int, cda_dt date",
+    )
+    t.append(second)
+    rows = {r["id"]: r for r in spark.table(f"{db}.t").collect()}
+    assert rows[1]["arr"] == [1.5, None] and rows[1]["m"] == {"a": 1} and rows[1]["s"] is None
+    assert rows[2]["s"]["odd name"] == 7 and rows[2]["s"]["tags"] == ["x"] and rows[2]["m"] == {"b": 2}
