@@ -32,9 +32,25 @@ def lookup_control(
 def lookup_all(control: DataFrame, columns: tuple[str, ...] = CONTROL_COLUMNS) -> DataFrame:
     """L1 for every key at once: one row per (table, database, day).
 
-    ``max`` of a struct orders by its fields left to right with NULL lowest, the
-    same choice as :func:`lookup_control`. It is a partial aggregate, combined
-    map-side, so a key holding a large share of the rows costs no skew.
+    The same choice as :func:`lookup_control` (newest first, NULL last, column
+    by column), built from plain ``max`` / ``max_by`` aggregates, one stage per
+    column from the last to the first:
+
+    * per key and leading values, the newest value of the last column;
+    * then, per key and fewer leading values, the row with the newest value of
+      the next column (rows are unique on it by now); if that column is NULL
+      everywhere, only one row is left and it is taken as it is.
+
+    Every stage is a partial aggregate, combined map-side, so a key holding a
+    large share of the rows costs no skew; on fixed-width columns (the control
+    timestamps) every stage is a hash aggregate.
     """
-    best = F.max(F.struct(*[F.col(c) for c in columns])).alias("best")
-    return control.groupBy(*CONTROL_KEY).agg(best).select(*CONTROL_KEY, *[F.col(f"best.{c}").alias(c) for c in columns])
+    keys = list(CONTROL_KEY)
+    cols = list(columns)
+    picked = control.groupBy(*keys, *cols[:-1]).agg(F.max(cols[-1]).alias(cols[-1]))
+    for j in range(len(cols) - 2, -1, -1):
+        lead, rest = cols[j], cols[j + 1 :]
+        newest = F.max(lead)
+        others = [F.when(newest.isNull(), F.max(c)).otherwise(F.max_by(c, lead)).alias(c) for c in rest]
+        picked = picked.groupBy(*keys, *cols[:j]).agg(newest.alias(lead), *others)
+    return picked.select(*keys, *cols)

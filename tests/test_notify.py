@@ -71,3 +71,29 @@ def test_control_reader_callable(spark):
         "count_result": "Pass",
     }
     assert message.startswith('{"business_ts": "2024-01-15 06:30:00", "note": "late", ')
+
+
+def _newest_first(rows, width):
+    """Brute force: sort each key's rows newest first, NULL last, column by column."""
+    best = {}
+    for r in rows:
+        key, vals = r[:3], r[3:]
+        rank = tuple((v is not None, v if v is not None else 0) for v in vals[:width])
+        if key not in best or rank > best[key][0]:
+            best[key] = (rank, vals[:width])
+    return {k: v[1] for k, v in best.items()}
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_small = st.one_of(st.none(), st.integers(min_value=0, max_value=3))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), _small, _small, _small), max_size=25))
+def test_lookup_all_matches_brute_force(spark, raw):
+    rows = [(t, "db", 1, b, d, e) for t, b, d, e in raw]
+    df = spark.createDataFrame(rows, "source_table string, target_db string, cda_date int, b int, d int, e int")
+    got = {tuple(r[:3]): tuple(r[3:]) for r in lookup_all(df, ("b", "d", "e")).collect()}
+    assert got == _newest_first(rows, 3)
