@@ -17,12 +17,20 @@ be started here).
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync import (
+# This file may be loaded by path from another working directory: make the
+# package next to it importable.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
+from tablesync import (  # noqa: E402
     DayTarget,
     FixedClock,
     MessageSink,
@@ -38,13 +46,13 @@ from tablesync import (
     size_total,
     survivors,
 )
-from tablesync.functions.dates import date_key
-from tablesync.functions.message import status_messages
-from tablesync.functions.runtime import runtime_text
-from tablesync.operators.report import REPORT_SCHEMA, append_process_report, process_rows
-from tablesync.plans.notify import lookup_all
-from tablesync.session import fresh_database, shared_root
-from tablesync.sources.documents import read_json_documents
+from tablesync.functions.dates import date_key  # noqa: E402
+from tablesync.functions.message import status_messages  # noqa: E402
+from tablesync.functions.runtime import runtime_text  # noqa: E402
+from tablesync.operators.report import REPORT_SCHEMA, append_process_report, process_rows  # noqa: E402
+from tablesync.plans.notify import lookup_all  # noqa: E402
+from tablesync.session import fresh_database, shared_root  # noqa: E402
+from tablesync.sources.documents import read_json_documents  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 TABLES = (

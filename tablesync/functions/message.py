@@ -35,10 +35,15 @@ _TO_JSON_OPTIONS = {"writeNonAsciiCharacterAsCodePoint": "true"}
 _HEX_IN_ESCAPE = r"(?<=(?<!\\)(?:\\\\){0,32}\\u[0-9a-fA-F]{0,3})"
 
 
-@F.pandas_udf(T.StringType())
-def _python_float_text(values: pd.Series) -> pd.Series:
-    # NULL arrives as NaN; callers decide NULL before this helper runs.
-    return values.map(lambda v: repr(float(v)))
+def _python_float_text():
+    """A vectorised ``repr`` of floats. Built as a nested function so Spark ships
+    it to the Python workers by value: they need not import this package."""
+
+    def text(values: pd.Series) -> pd.Series:
+        # NULL arrives as NaN; callers decide NULL before this helper runs.
+        return values.map(lambda v: repr(float(v)))
+
+    return F.pandas_udf(text, T.StringType())
 
 
 def python_str(col: Column | str, data_type: T.DataType) -> Column:
@@ -53,7 +58,7 @@ def python_str(col: Column | str, data_type: T.DataType) -> Column:
     elif isinstance(data_type, T.BooleanType):
         text = F.when(c, F.lit("True")).otherwise(F.lit("False"))
     elif isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.when(c.isNull(), F.lit(NONE_TEXT)).otherwise(_python_float_text(c.cast("double")))
+        return F.when(c.isNull(), F.lit(NONE_TEXT)).otherwise(_python_float_text()(c.cast("double")))
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit(NONE_TEXT))
