@@ -108,3 +108,25 @@ def test_odd_column_names_survive(spark):
     assert replicate(job2).first().count_result == "Pass"
     rows = sorted(tuple(r) for r in spark.table(f"{db}.odd").select("id", "`a b`", "`we``ird`").collect())
     assert rows == [(1, "x", None), (2, "y", 1.5)]
+
+
+def test_notify_settings_build_a_template_reader_and_sink(spark):
+    keys = {
+        "control.url": "jdbc:unused://host/db",
+        "control.query": "select business_ts, delivery_ts from log where source_table = <SOURCE_TABLE>",
+        "process.table": "v.process_report",
+        "publish.format": "kafka",
+        "publish.topic": "process",
+        "publish.option.kafka.bootstrap.servers": "broker:9092",
+    }
+    for k, v in keys.items():
+        spark.conf.set(jobs.PREFIX + k, v)
+    try:
+        notify = jobs.notify_from_conf(spark)  # builds, reads nothing yet
+    finally:
+        for k in keys:
+            spark.conf.unset(jobs.PREFIX + k)
+    assert callable(notify.control)
+    assert notify.process_table == "v.process_report"
+    assert (notify.sink.format, notify.sink.topic) == ("kafka", "process")
+    assert notify.sink.options == {"kafka.bootstrap.servers": "broker:9092"}
