@@ -14,9 +14,11 @@ the partitions of the slice, never the whole table:
 * the row count and the written partitions come from an ``Observation`` on the
   write itself: one pass over the source instead of a count and a write (T14).
 
-The observation sits above the ``rebalance`` shuffle, in the result stage of the
-write job. Spark applies result-task metrics once per partition even when tasks
-are retried after an executor loss, so the count stays exact.
+The observation sits in the result stage of the write job: above the
+``rebalance`` shuffle when there is one, in the only stage when the slice is
+written straight from its scan. Spark applies result-task metrics once per
+partition even when tasks are retried after an executor loss, so the count stays
+exact (tested with injected task failures).
 """
 
 from __future__ import annotations
