@@ -219,3 +219,16 @@ def test_nested_values_survive_and_nested_columns_can_be_added(spark):
     rows = {r["id"]: r for r in spark.table(f"{db}.t").collect()}
     assert rows[1]["arr"] == [1.5, None] and rows[1]["m"] == {"a": 1} and rows[1]["s"] is None
     assert rows[2]["s"]["odd name"] == 7 and rows[2]["s"]["tags"] == ["x"] and rows[2]["m"] == {"b": 2}
+
+
+def test_replace_into_a_table_created_elsewhere_keeps_other_days(spark):
+    """A table without the dynamic option: the write still swaps only its days,
+    and the session setting is restored afterwards."""
+    db = fresh_database(spark)
+    spark.sql(f"CREATE TABLE {db}.t (id long, v string, cda_year int, cda_dt date) USING parquet PARTITIONED BY (cda_year, cda_dt)")
+    spark.sql(f"INSERT INTO {db}.t VALUES (1, 'old', 2024, DATE'2024-01-01'), (2, 'old', 2024, DATE'2024-01-02')")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    t.replace(_frame(spark, [_row(3, D(2024, 1, 2), "new")]), SliceSpec.day("2024-01-02").replace_predicate("cda_dt"))
+    assert _bag(spark.table(f"{db}.t")) == Counter([(1, "old", 2024, D(2024, 1, 1)), (3, "new", 2024, D(2024, 1, 2))])
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
