@@ -204,6 +204,8 @@ def test_json_documents(spark):
         f.write('{"k": 2, "name": "b"}')
     rows = sorted(tuple(r) for r in read_json_documents(spark, path, "k long, name string").collect())
     assert rows == [(1, "line\tbreak"), (2, "b")]
+    with_path = {r.k: r.file_path for r in read_json_documents(spark, path, "k long, name string", keep_path=True).collect()}
+    assert with_path[1].endswith("/a.json") and with_path[2].endswith("/b.json")
 
 
 def test_parallel_tables_match_sequential(spark):
