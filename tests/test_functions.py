@@ -129,3 +129,22 @@ def test_json_quote_hard_cases(spark):
     text = "".join(chr(i) for i in range(0x20)) + '\x7f\x80é 😀 \\u00AB \\\\u00ab "q" /'
     got = spark.createDataFrame([(text,)], "v string").select(json_quote("v")).first()[0]
     assert got == json.dumps(text)
+
+
+def test_split_list_col(spark):
+    from tablesync.functions.text import split_list_col
+
+    df = spark.createDataFrame([(" a, b ,,c ",)], "v string")
+    assert df.select(split_list_col("v")).first()[0] == ["a", "b", "c"]
+
+
+def test_message_sink_needs_a_destination(spark):
+    import pytest
+
+    from tablesync import MessageSink
+
+    df = spark.createDataFrame([("m",)], "value string")
+    with pytest.raises(ValueError):
+        MessageSink("kafka").publish(df)
+    with pytest.raises(ValueError):
+        MessageSink("text").publish(df)
