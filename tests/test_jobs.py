@@ -287,3 +287,8 @@ def test_repeated_table_runs_twice_in_order(spark):
     job = _job(spark, db, "0000-01-01", ("events", "events"), parallelism=4)
     results = [r.count_result for r in replicate(job).collect()]
     assert results == ["Pass", "Fail"]  # the second history load doubles the target (T4)
+
+
+def test_size_total_of_nothing(spark):
+    total = size_total(size_report(spark, {})).first()
+    assert (total.tables, total.total_gb) == (0, 0.0)
