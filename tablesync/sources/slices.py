@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tablesync.operators.predicates import DEFAULT_YEAR_COLUMN, SliceSpec
 from tablesync.session import quote_ident
@@ -34,6 +35,11 @@ def read_slice(
     day = resolve_column(source, day_column)
     if day is None:
         raise ValueError(f"source has no day column {day_column!r}; columns: {source.columns}")
+    day_type = source.schema[day].dataType
+    if not isinstance(day_type, T.DateType):
+        # Compared with a DATE, a timestamp matches midnight only: an almost always
+        # empty slice would be reported as a clean 0 = 0.
+        raise ValueError(f"day column {day!r} must be DATE, not {day_type.simpleString()}; derive it with CAST(<ts> AS DATE)")
     year = resolve_column(source, year_column)
     return source.where(spec.source_filter(day, year))
 

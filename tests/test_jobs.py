@@ -292,3 +292,11 @@ def test_repeated_table_runs_twice_in_order(spark):
 def test_size_total_of_nothing(spark):
     total = size_total(size_report(spark, {})).first()
     assert (total.tables, total.total_gb) == (0, 0.0)
+
+
+def test_timestamp_day_column_fails_the_table(spark):
+    """A timestamp day column would match midnight only; the table fails instead of a silent 0 = 0."""
+    db = fresh_database(spark)
+    ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("cda_dt", F.col("ts"))
+    row = replicate(_job(spark, db, "2024-01-15", load_source=lambda t: ev)).first()
+    assert row.count_result == "Fail" and "must be DATE" in row.log_details
