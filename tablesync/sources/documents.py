@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Control characters inside strings are accepted, like a non-strict JSON parser.
-_JSON_OPTIONS = {"allowUnquotedControlChars": "true", "mode": "PERMISSIVE"}
+_JSON_OPTIONS = {"allowUnquotedControlChars": "true"}
 
 
 def read_json_documents(
@@ -15,15 +15,17 @@ def read_json_documents(
     path: str,
     schema: T.StructType | str,
     keep_path: bool = False,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Each file is read whole and parsed as one JSON document.
 
     Files are spread over tasks; each document is parsed on an executor, so no
-    file content passes through the driver. A file that does not parse gives a
-    row of NULLs.
+    file content passes through the driver. With ``mode="PERMISSIVE"`` a file
+    that does not parse gives a row of NULLs; ``mode="FAILFAST"`` fails the read
+    instead, as a strict parser would.
     """
     raw = spark.read.text(path, wholetext=True)
-    doc = F.from_json(F.col("value"), schema, _JSON_OPTIONS).alias("doc")
+    doc = F.from_json(F.col("value"), schema, {**_JSON_OPTIONS, "mode": mode}).alias("doc")
     cols = [doc]
     if keep_path:
         cols.append(F.col("_metadata.file_path").alias("file_path"))

@@ -300,3 +300,16 @@ def test_timestamp_day_column_fails_the_table(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("cda_dt", F.col("ts"))
     row = replicate(_job(spark, db, "2024-01-15", load_source=lambda t: ev)).first()
     assert row.count_result == "Fail" and "must be DATE" in row.log_details
+
+
+def test_json_documents_failfast(spark):
+    import pytest
+
+    path = f"{shared_root(spark)}/documents/{fresh_database(spark)}"
+    os.makedirs(path.replace("file:", ""))
+    with open(path.replace("file:", "") + "/bad.json", "w") as f:
+        f.write('{"k": 1, "name": ')
+    lenient = read_json_documents(spark, path, "k long, name string").collect()
+    assert [tuple(r) for r in lenient] == [(None, None)]
+    with pytest.raises(Exception):
+        read_json_documents(spark, path, "k long, name string", mode="FAILFAST").collect()
