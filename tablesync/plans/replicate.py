@@ -1,8 +1,9 @@
 """Replication jobs: batch (C2), replicate-and-notify (C3), failure isolation (C4).
 
-The driver loops over table names only; every step of a table is a Spark job:
-the observed slice write, the re-count, the report append. One table's failure
-becomes a ``Fail`` row with the error text and the next table still runs.
+The driver loops over table names only (one at a time, or ``parallelism`` at
+once); every step of a table is a Spark job: the observed slice write, the
+re-count, the report append. One table's failure becomes a ``Fail`` row with the
+error text and the other tables still run.
 """
 
 from __future__ import annotations
