@@ -17,6 +17,7 @@ be started here).
 from __future__ import annotations
 
 import datetime as dt
+import importlib
 import os
 import sys
 from collections.abc import Callable
@@ -435,7 +436,30 @@ def entry(spark: SparkSession) -> DataFrame:
     return spark.table(report_table).select(*REPORT_SCHEMA.fieldNames())
 
 
+def _optional(module: str):
+    """A module that may have been removed, or None; any other import error is raised."""
+    try:
+        return importlib.import_module(module)
+    except ModuleNotFoundError as e:
+        if e.name is None or not f"{module}.".startswith(f"{e.name}."):
+            raise
+        return None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    registry, pipeline = _optional("tablesync.llm.registry"), _optional("corpus_pipeline")
+    llm = dict(registry.QUERIES) if registry else {}
+    return _own_queries() | llm | ({"pipeline": pipeline.run} if registry and pipeline else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    registry, pipeline = _optional("tablesync.llm.registry"), _optional("corpus_pipeline")
+    llm = dict(registry.ORACLE_SQL) if registry else {}
+    whole = {"pipeline": pipeline.ORACLE_SQL} if registry and pipeline and pipeline.ORACLE_SQL else {}
+    return _own_oracle_sql() | llm | whole
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "slice_day": q_slice_day,
         "slice_from": q_slice_from,
@@ -483,7 +507,7 @@ def _quoted(expr: str) -> str:
     return "'\"' || replace(replace({e}, '\\', '\\\\'), '\"', '\\\"') || '\"'".format(e=expr)
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_oracle_sql() -> dict[str, str]:
     return {
         "slice_day": f"SELECT l_orderkey, l_linenumber, l_quantity, cda_dt FROM {_SRC} s "
         "WHERE cda_year = 1998 AND cda_dt = DATE '1998-06-15'",
