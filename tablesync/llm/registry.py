@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, warc
+from . import chat, forest, langid, linededup, mixing, packing, pivots, simhash, urls, warc
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_warc": warc.op2_warc,
+    "op3_packing": packing.op3_packing,
+    "op4_urls": urls.op4_urls,
+    "op5_simhash": simhash.op5_simhash,
+    "op6_chat": chat.op6_chat,
     "op7_line_dedup": linededup.op7_line_dedup,
+    "op8_forest": forest.op8_forest,
+    "op9_language_id": langid.op9_language_id,
+    "op10_pivots": pivots.op10_pivots,
 }
 
 ORACLE_SQL = {
     "op2_warc": warc.OP2_SQL,
+    "op6_chat": chat.OP6_SQL,
     "op7_line_dedup": linededup.OP7_SQL,
 }

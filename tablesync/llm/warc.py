@@ -18,10 +18,11 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_spread, shared_path, table
+from .common import join_spread, saved, shared_path, table
 
 CRLF = "\r\n"
 RECORD_END = "\r\n\r\n"
@@ -227,12 +228,18 @@ def decoded(block: bytes, total: int | None) -> tuple[bytes | None, int | None,
     return body, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), None
 
 
-def _decode(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        totals = [None if pd.isna(x) else int(x) for x in batch["total_length"]]
-        got = [(None, None, None, p) if p else decoded(b, t) for b, t, p in zip(batch["block"], totals, batch["problem"], strict=True)]
-        new = pd.DataFrame(got, columns=["payload", "payload_bytes", "found_digest", "problem"], index=batch.index)
-        yield pd.concat([batch.drop(columns=["block", "total_length", "problem"]), new.astype({"payload_bytes": "Int64"})], axis=1)
+        kinds, blocks, totals, problems = (batch[c].to_pylist() for c in ("record_type", "block", "total_length", "problem"))
+        got = [
+            (None, None, None, p) if p or kind == "revisit" else decoded(b, t)
+            for kind, b, t, p in zip(kinds, blocks, totals, problems, strict=True)
+        ]
+        kept = [c for c in batch.schema.names if c not in ("block", "total_length", "problem")]
+        types = [pa.binary(), pa.int64(), pa.string(), pa.string()]
+        new = [pa.array([x[k] for x in got], t) for k, t in enumerate(types)]
+        names = ["payload", "payload_bytes", "found_digest", "problem"]
+        yield pa.RecordBatch.from_arrays([batch[c] for c in kept] + new, names=kept + names)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -240,7 +247,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
     Missing, doubled or misnumbered segments, a wrong total length, wrong framing and a
     digest unlike the header's leave a null payload and say why in ``problem``. A revisit
-    takes its payload from the response that it refers to. No files give no rows.
+    has no payload of its own, see ``resolved``. No files give no rows.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz").load(path)
     parsed = files.select("content").mapInPandas(_parse, PARSED)
@@ -262,7 +269,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     names = [x.split()[0] for x in PARSED.split(", ") if x.split()[0] not in ("origin_id", "segment")]
     both = single.select(*names, "problem").unionByName(whole.select(*names, "problem"))
     kept = "record_id string, record_type string, page_id long, target_uri string, payload_digest string, refers_to long"
-    out = both.mapInPandas(_decode, f"{kept}, {PAYLOAD}")
+    out = both.mapInArrow(_decode, f"{kept}, {PAYLOAD}")
     wrong = (F.col("record_type") == "response") & (F.col("payload_digest") != F.col("found_digest"))
     problem = F.when(F.col("problem").isNull() & wrong, "the payload has another digest").otherwise(F.col("problem"))
     return out.withColumn("problem", problem)
@@ -285,7 +292,7 @@ def op2_warc(spark, sf_dir: str) -> DataFrame:
     """Every page, archived and read back."""
     path = shared_path(spark, "warc")
     write_warc(table(spark, sf_dir, "pages"), path)
-    read = resolved(read_warc(spark, path).drop("payload"))
+    read = resolved(saved(read_warc(spark, path).drop("payload"), "warc-read"))
     return read.select(
         "page_id", "payload_bytes", F.col("found_digest").alias("payload_digest"), "record_type", "refers_to", "problem"
     )
