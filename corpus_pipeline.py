@@ -15,7 +15,7 @@ from tablesync.llm.common import saved, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language that the model knows go: those without text or letters."""
-    model = langid.learn(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    model = langid.learn(docs)
     found = langid.identify(docs, model)
     return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 
