@@ -48,8 +48,9 @@ from tablesync import (  # noqa: E402
     survivors,
 )
 from tablesync.functions.dates import date_key  # noqa: E402
-from tablesync.functions.message import status_messages  # noqa: E402
+from tablesync.functions.message import status_messages, utf8_payload  # noqa: E402
 from tablesync.functions.runtime import runtime_text  # noqa: E402
+from tablesync.functions.text import split_list_col  # noqa: E402
 from tablesync.operators.report import REPORT_SCHEMA, append_process_report, process_rows  # noqa: E402
 from tablesync.plans.notify import lookup_all  # noqa: E402
 from tablesync.session import fresh_database, shared_root  # noqa: E402
@@ -190,6 +191,34 @@ def q_replace_from_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.events").select("event_id", DAY, "value")
 
 
+def q_replace_day_null_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day that the target also holds under a NULL year, replaced twice."""
+    db = fresh_database(spark)
+    src = _standin(spark, sf_dir, "lineitem")
+    year = F.when(F.col("l_orderkey") % 3 == 0, F.lit(None)).otherwise(F.col(YEAR))
+    target = _preload(spark, db, "lineitem", src.withColumns({"l_quantity": F.lit(-1.0), YEAR: year}))
+    spec = SliceSpec.day("1998-06-15")
+    rows = read_slice(src, spec, DAY, YEAR)
+    dropped = [len(target.replace(rows, spec.replace_predicate(DAY), spec.date, 1998).dropped) for _ in range(2)]
+    found = spark.table(f"{db}.lineitem").groupBy(YEAR, DAY).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    return found.withColumns({"first_dropped": F.lit(dropped[0]), "second_dropped": F.lit(dropped[1])})
+
+
+def q_replace_from_extra_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made elsewhere, partitioned by day and a text that is NULL or needs escaping."""
+    db = fresh_database(spark)
+    src = _standin(spark, sf_dir, "events").drop(YEAR)
+    texts = F.array(F.lit("A:B"), F.lit(None).cast("string"), F.lit("x %+y"), F.lit("plain"))
+    old = src.withColumns({"value": F.lit(-1.0), "region": texts[(F.col("event_id") % 4).cast("int")]})
+    old.write.partitionBy(DAY, "region").saveAsTable(f"{db}.events")
+    target = DayTarget(spark, f"{db}.events", DAY, year_column=None)
+    spec = SliceSpec.from_date("2024-01-20")
+    rows = src.withColumn("region", F.lit("plain")).where(F.col(DAY) >= F.lit(spec.date).cast("date"))
+    dropped = [len(target.replace(rows, spec.replace_predicate(DAY)).dropped) for _ in range(2)]
+    found = spark.table(f"{db}.events").groupBy(DAY, "region").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+    return found.withColumns({"first_dropped": F.lit(dropped[0]), "second_dropped": F.lit(dropped[1])})
+
+
 def q_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = fresh_database(spark)
     src = _standin(spark, sf_dir, "events")
@@ -209,6 +238,17 @@ def q_append_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.lineitem").select("l_orderkey", "l_linenumber", DAY, "l_tax")
 
 
+def q_append_dotted_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db = fresh_database(spark)
+    src = _standin(spark, sf_dir, "events").withColumn("user.id", F.col("user_id"))
+    later = src.withColumn("ty`p.e", F.struct(F.col("event_type").alias("a.b")))
+    replicate(_job(spark, db, ["events"], "0000-01-01", lambda t: src), raise_on_fail=True)
+    replicate_and_notify(_job(spark, db, ["events"], "2024-01-20", lambda t: later), raise_on_fail=True)
+    return spark.table(f"{db}.events").select(
+        "event_id", F.col("`user.id`").alias("user_id"), F.col("`ty``p.e`")["a.b"].alias("event_type")
+    )
+
+
 def q_nested_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = fresh_database(spark)
     day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("label"))
@@ -222,9 +262,11 @@ def q_empty_slice_keeps_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = fresh_database(spark)
     src = _standin(spark, sf_dir, "events")
     replicate(_job(spark, db, ["events"], "0000-01-01", lambda t: src), raise_on_fail=True)
-    run = replicate(_job(spark, db, ["events"], "1990-01-01", lambda t: src)).first()
+    wider = src.withColumn("extra", F.lit(1))
+    run = replicate(_job(spark, db, ["events"], "1990-01-01", lambda t: wider)).first()
     return _by_day(spark.table(f"{db}.events")).withColumns(
         {
+            "columns": F.lit(",".join(spark.table(f"{db}.events").columns)),
             "source_row_count": F.lit(run["source_row_count"]),
             "destination_row_count": F.lit(run["destination_row_count"]),
             "count_result": F.lit(run["count_result"]),
@@ -241,7 +283,8 @@ def q_created_target_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     listing = spark.createDataFrame(
         [(i + 1, c.name, c.isPartition) for i, c in enumerate(cols)], "position int, column_name string, is_partition boolean"
     )
-    return listing.withColumn("row_count", F.lit(spark.table(table).count()).cast("long"))
+    rows = src.agg(F.count(F.lit(1)).alias("source_rows"))
+    return listing.withColumn("row_count", F.lit(spark.table(table).count()).cast("long")).crossJoin(rows)
 
 
 # --------------------------------------------------------------------------- target reads
@@ -345,8 +388,10 @@ def q_process_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_status_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _read(spark, sf_dir, "events")
+    slashes = F.repeat(F.lit("\\"), (F.col("event_id") % 70).cast("int"))
+    props = F.concat("props", slashes, F.lit("\u00fc\U0001f600"))
     control = ev.select(
-        F.col("ts").alias("business_ts"), F.lit(None).cast("timestamp_ntz").alias("delivery_ts"), "props", "event_type"
+        F.col("ts").alias("business_ts"), F.lit(None).cast("timestamp_ntz").alias("delivery_ts"), props.alias("props"), "event_type"
     )
     fields = ["business_ts", "delivery_ts", "props"]
     messages = status_messages(control, "db", F.col("event_type"), "Pass", fields)
@@ -367,21 +412,49 @@ def q_notify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("table_name", "count_result").join(keyed, "table_name", "left")
 
 
+def q_control_rows_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that finds many control rows: all are reported, the last one is published."""
+    db = fresh_database(spark)
+    control = _control(spark, sf_dir)
+    path = f"{shared_root(spark)}/messages/{db}"
+
+    def reader(table: str, database: str, key: int) -> DataFrame:
+        wanted = F.col("cda_date") >= key if table == "lineitem" else F.lit(False)
+        return control.where(wanted).select("business_ts", "delivery_ts")
+
+    notify = Notify(reader, process_table=f"{db}.process_report", sink=MessageSink("text", path))
+    loads = {t: _standin(spark, sf_dir, t) for t in ("lineitem", "events")}
+    replicate_and_notify(_job(spark, db, ["lineitem", "events"], "2001-06-01", loads.__getitem__), notify)
+    rows = spark.table(f"{db}.process_report").select("business_ts", "delivery_ts", "table_name", "count_result", "cda_date")
+    messages = spark.read.schema("value string").text(path).select(F.col("value").alias("message"))
+    return rows.withColumn("message", F.lit(None).cast("string")).unionByName(messages, allowMissingColumns=True)
+
+
+def q_utf8_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", F.hex(utf8_payload("text")).alias("payload"))
+
+
+def q_split_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select("doc_id", F.array_join(split_list_col("text"), "|").alias("items"))
+
+
 # --------------------------------------------------------------------------- files
-def _pipe_fixture(spark: SparkSession, sf_dir: str) -> str:
+def _pipe_fixture(spark: SparkSession, sf_dir: str, blanks: bool) -> str:
     path = f"{shared_root(spark)}/landing/{fresh_database(spark)}/customer.csv"
     c = _read(spark, sf_dir, "customer")
-    c.select(
-        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"),
-        F.col("c_name").alias("name"),
-        F.col("c_acctbal").alias("bal"),
-        F.col("c_mktsegment").alias("seg"),
-    ).write.option("header", "true").option("sep", "|").csv(path)
+    name, seg = F.col("c_name"), F.col("c_mktsegment")
+    if blanks:
+        name, seg = F.concat(F.lit("  "), name), F.concat(seg, F.lit(" \t"))
+    rows = c.select(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("code"), name.alias("name"), F.col("c_acctbal").alias("bal"), seg.alias("seg")
+    )
+    writer = rows.write.option("header", "true").option("sep", "|")
+    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     return path
 
 
 def _relay(spark: SparkSession, sf_dir: str, infer: bool) -> DataFrame:
-    src = _pipe_fixture(spark, sf_dir)
+    src = _pipe_fixture(spark, sf_dir, blanks=not infer)
     out = f"{shared_root(spark)}/relay/{fresh_database(spark)}"
     status = relay_files(spark, [src], out, infer=infer).first()
     if not status["ok"]:
@@ -394,7 +467,7 @@ def q_csv_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_csv_relay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _relay(spark, sf_dir, infer=False).select("code", "name", "seg")
+    return _relay(spark, sf_dir, infer=False)
 
 
 def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,21 +478,31 @@ def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_documents(spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
-def _catalog_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7 + S8: register the test tables in a database (metadata only), list ``ALL``
-    of them and size each from its location."""
+#: A text column of each given table; as lines of a text table its size is known.
+_LINES = {
+    "region": "r_name", "nation": "n_name", "customer": "c_name", "supplier": "s_name", "part": "p_name", "orders": "o_orderpriority",
+    "lineitem": "l_returnflag", "events": "props", "documents": "text", "embeddings": "label", "pages": "html", "benchmark": "text",
+    "labels": "doc_id", "conversations": "text",
+}
+
+
+def _line_tables(spark: SparkSession, sf_dir: str) -> str:
+    """Text tables of the given ones, whole; the catalog has the size of every second one."""
     db = fresh_database(spark)
-    for t in TABLES:
-        spark.catalog.createTable(f"{db}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
-    return catalog_size_report(spark, db, "ALL")
+    for k, (t, column) in enumerate(_LINES.items()):
+        _read(spark, sf_dir, t).select(F.col(column).cast("string").alias("value")).write.format("text").saveAsTable(f"{db}.{t}")
+        if k % 2:
+            spark.sql(f"ANALYZE TABLE {db}.{t} COMPUTE STATISTICS NOSCAN")
+    return db
 
 
 def q_table_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _catalog_sizes(spark, sf_dir)
+    return catalog_size_report(spark, _line_tables(spark, sf_dir), "ALL")
 
 
 def q_table_sizes_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return size_total(_catalog_sizes(spark, sf_dir))
+    names = ", ".join(t.upper() if k % 3 else t for k, t in enumerate(_LINES))
+    return size_total(catalog_size_report(spark, _line_tables(spark, sf_dir), names))
 
 
 # --------------------------------------------------------------------------- contract
@@ -447,15 +530,17 @@ def _optional(module: str):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registry, pipeline = _optional("tablesync.llm.registry"), _optional("corpus_pipeline")
+    registry = _optional("tablesync.llm.registry")
+    pipeline = _optional("corpus_pipeline") if registry else None
     llm = dict(registry.QUERIES) if registry else {}
-    return _own_queries() | llm | ({"pipeline": pipeline.run} if registry and pipeline else {})
+    return _own_queries() | llm | ({"pipeline": pipeline.run} if pipeline else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    registry, pipeline = _optional("tablesync.llm.registry"), _optional("corpus_pipeline")
+    registry = _optional("tablesync.llm.registry")
+    pipeline = _optional("corpus_pipeline") if registry else None
     llm = dict(registry.ORACLE_SQL) if registry else {}
-    whole = {"pipeline": pipeline.ORACLE_SQL} if registry and pipeline and pipeline.ORACLE_SQL else {}
+    whole = {"pipeline": pipeline.ORACLE_SQL} if pipeline and pipeline.ORACLE_SQL else {}
     return _own_oracle_sql() | llm | whole
 
 
@@ -469,6 +554,12 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "replace_day_twice": q_replace_day_twice,
         "replace_from": q_replace_from,
         "replace_from_nulls": q_replace_from_nulls,
+        "replace_day_null_year": q_replace_day_null_year,
+        "replace_from_extra_partition": q_replace_from_extra_partition,
+        "append_dotted_column": q_append_dotted_column,
+        "control_rows_all": q_control_rows_all,
+        "utf8_payload": q_utf8_payload,
+        "split_list": q_split_list,
         "append_twice": q_append_twice,
         "append_new_column": q_append_new_column,
         "nested_passthrough": q_nested_passthrough,
@@ -507,6 +598,11 @@ def _quoted(expr: str) -> str:
     return "'\"' || replace(replace({e}, '\\', '\\\\'), '\"', '\\\"') || '\"'".format(e=expr)
 
 
+_SIZES = "WITH s AS (" + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, sum(strlen(coalesce({c}::VARCHAR, '')) + 1)::BIGINT AS bytes FROM {t}" for t, c in _LINES.items()
+) + ") "
+
+
 def _own_oracle_sql() -> dict[str, str]:
     return {
         "slice_day": f"SELECT l_orderkey, l_linenumber, l_quantity, cda_dt FROM {_SRC} s "
@@ -528,6 +624,18 @@ def _own_oracle_sql() -> dict[str, str]:
         "replace_from_nulls": "SELECT event_id, cda_dt, "
         "CASE WHEN coalesce(cda_dt >= DATE '2024-01-20', false) THEN value ELSE -1.0 END AS value "
         f"FROM {_EV_NULLS} s",
+        "replace_day_null_year": "SELECT CASE WHEN cda_dt <> DATE '1998-06-15' AND l_orderkey % 3 = 0 THEN NULL ELSE cda_year END AS cda_year, "
+        "cda_dt, count(*) AS n, sum(CASE WHEN cda_dt = DATE '1998-06-15' THEN l_quantity ELSE -1.0 END) AS q, "
+        f"1 AS first_dropped, 0 AS second_dropped FROM {_SRC} s GROUP BY ALL",
+        "replace_from_extra_partition": "WITH e AS (SELECT *, CAST(ts AS DATE) AS cda_dt, "
+        "CASE event_id % 4 WHEN 0 THEN 'A:B' WHEN 2 THEN 'x %+y' WHEN 3 THEN 'plain' END AS old FROM events), "
+        "n AS (SELECT *, cda_dt >= DATE '2024-01-20' AS new FROM e) "
+        "SELECT cda_dt, CASE WHEN new THEN 'plain' ELSE old END AS region, count(*) AS n, "
+        "sum(CASE WHEN new THEN value ELSE -1.0 END) AS v, "
+        "(SELECT count(*) FROM (SELECT DISTINCT cda_dt, old FROM n WHERE new AND old IS DISTINCT FROM 'plain')) AS first_dropped, "
+        "0 AS second_dropped FROM n GROUP BY ALL",
+        "append_dotted_column": "SELECT event_id, user_id, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN event_type END AS event_type "
+        "FROM events",
         "append_twice": "SELECT CAST(ts AS DATE) AS cda_dt, 2 * count(*) AS n, "
         "'Pass' AS first_result, 'Fail' AS second_result FROM events GROUP BY 1",
         "append_new_column": "SELECT l_orderkey, l_linenumber, cda_dt, "
@@ -536,9 +644,10 @@ def _own_oracle_sql() -> dict[str, str]:
         "FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS pos FROM embeddings "
         "WHERE label IS NOT NULL) e",
         "empty_slice_keeps_target": "SELECT CAST(ts AS DATE) AS cda_dt, count(*) AS n, '0' AS source_row_count, "
-        "'0' AS destination_row_count, 'Pass' AS count_result FROM events GROUP BY 1",
+        "'0' AS destination_row_count, 'Pass' AS count_result, "
+        "'event_id,ts,user_id,event_type,value,props,cda_year,cda_dt' AS columns FROM events GROUP BY 1",
         "created_target_columns": "SELECT CAST(position AS INTEGER) AS position, column_name, is_partition, "
-        "CAST(0 AS BIGINT) AS row_count FROM (VALUES (1, 'event_id', false), (2, 'ts', false), "
+        "CAST(0 AS BIGINT) AS row_count, (SELECT count(*) FROM events) AS source_rows FROM (VALUES (1, 'event_id', false), (2, 'ts', false), "
         "(3, 'user_id', false), (4, 'event_type', false), (5, 'value', false), (6, 'props', false), "
         "(7, 'cda_year', true), (8, 'cda_dt', true)) t(position, column_name, is_partition)",
         "target_count": "SELECT 'events' AS table_name, CAST(count(*) AS VARCHAR) AS size FROM events "
@@ -579,7 +688,8 @@ def _own_oracle_sql() -> dict[str, str]:
         "(SELECT *, row_number() OVER (PARTITION BY source_table, target_db, cda_date "
         "ORDER BY business_ts DESC NULLS LAST, delivery_ts DESC NULLS LAST) AS rn FROM " + _CONTROL + " c) r WHERE rn = 1",
         "status_message": "SELECT '{\"business_ts\": \"' || " + _TS_TEXT.format(c="ts") + " || '\", "
-        "\"delivery_ts\": \"None\", \"props\": ' || " + _quoted("props") + " || ', \"source_system\": \"db\", "
+        "\"delivery_ts\": \"None\", \"props\": ' || left(" + _quoted("props || repeat('\\', (event_id % 70)::INT)") + ", -1)"
+        " || '\\u00fc\\ud83d\\ude00\"' || ', \"source_system\": \"db\", "
         "\"table_name\": ' || " + _quoted("event_type") + " || ', \"count_result\": \"Pass\"}' AS message FROM events",
         "notify_all": "SELECT 'lineitem' AS table_name, 'Pass' AS count_result, (SELECT '{\"business_ts\": \"' || "
         + _py_ts("business_ts") + " || '\", \"delivery_ts\": \"' || " + _py_ts("delivery_ts") + " || '\", "
@@ -591,7 +701,18 @@ def _own_oracle_sql() -> dict[str, str]:
         "UNION ALL SELECT 'events', 'Pass', CAST(NULL AS VARCHAR)",
         "csv_relay": "SELECT CAST(c_custkey AS INTEGER) AS code, c_name AS name, c_acctbal AS bal, "
         "c_mktsegment AS seg FROM customer",
-        "csv_relay_raw": "SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, c_name AS name, "
-        "c_mktsegment AS seg FROM customer",
+        "csv_relay_raw": "SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, '  ' || c_name AS name, "
+        "CAST(c_acctbal AS VARCHAR) AS bal, c_mktsegment || ' ' || chr(9) AS seg FROM customer",
+        "control_rows_all": f"WITH c AS (SELECT business_ts, delivery_ts FROM {_CONTROL} x WHERE cda_date >= 20010601) "
+        "SELECT business_ts, delivery_ts, 'lineitem' AS table_name, 'Pass' AS count_result, DATE '2001-06-01' AS cda_date, "
+        "CAST(NULL AS VARCHAR) AS message FROM c UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, m FROM (SELECT '{\"business_ts\": \"' || "
+        + _py_ts("business_ts") + " || '\", \"delivery_ts\": \"' || " + _py_ts("delivery_ts") + " || '\", "
+        f"\"source_system\": \"{DB_NAME}\", \"table_name\": \"lineitem\", \"count_result\": \"Pass\"}}' AS m "
+        "FROM c ORDER BY business_ts DESC NULLS LAST, delivery_ts DESC NULLS LAST LIMIT 1)",
+        "utf8_payload": "SELECT doc_id, hex(encode(text)) AS payload FROM documents",
+        "split_list": "SELECT doc_id, array_to_string([trim(x) FOR x IN string_split(trim(text), ',') IF trim(x) <> ''], '|') AS items "
+        "FROM documents",
+        "table_sizes": _SIZES + "SELECT table_name, bytes, bytes * 0.000000001::DOUBLE AS size_gb FROM s",
+        "table_sizes_total": _SIZES + "SELECT count(*) AS tables, sum(bytes)::DOUBLE * 0.000000001::DOUBLE AS total_gb FROM s",
         "json_documents": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     }

@@ -25,14 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablesync.session import quote_ident
+from tablesync.session import quote_name
 
 NONE_TEXT = "None"
 
 _TO_JSON_OPTIONS = {"writeNonAsciiCharacterAsCodePoint": "true"}
-# A \uXXXX escape is one whose backslash is not itself escaped, i.e. preceded by
-# an even run of backslashes. Jackson writes its hex digits in upper case.
-_HEX_IN_ESCAPE = r"(?<=(?<!\\)(?:\\\\){0,32}\\u[0-9a-fA-F]{0,3})"
+# Jackson writes the hex digits of a \uXXXX escape in upper case. Only used on text
+# without raw backslashes, where every backslash begins an escape.
+_HEX_IN_ESCAPE = r"(?<=\\u[0-9a-fA-F]{0,3})"
 
 
 def _python_float_text():
@@ -65,10 +65,20 @@ def python_str(col: Column | str, data_type: T.DataType) -> Column:
 
 
 def json_quote(col: Column | str) -> Column:
-    """``json.dumps(text)`` of a non-null string column (ASCII-only output)."""
+    """``json.dumps(text)`` of a non-null string column (ASCII-only output).
+
+    The text is cut at its backslashes and each piece is encoded alone, so an escape
+    that the encoding makes can't be confused with one that the text spells.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    encoded = F.to_json(F.named_struct(F.lit("v"), c), _TO_JSON_OPTIONS)
-    quoted = F.regexp_extract(encoded, r'^\{"v":(.*)\}$', 1)
+    pieces = F.transform(F.split(c, r"\\", -1), _json_piece)
+    return F.concat(F.lit('"'), F.array_join(pieces, "\\\\"), F.lit('"'))
+
+
+def _json_piece(piece: Column) -> Column:
+    """The inside of the JSON string of a text without backslashes."""
+    encoded = F.to_json(F.named_struct(F.lit("v"), piece), _TO_JSON_OPTIONS)
+    quoted = F.regexp_extract(encoded, r'^\{"v":"(.*)"\}$', 1)
     # Python also escapes DEL (0x7f), which Jackson leaves as it is.
     quoted = F.regexp_replace(quoted, "\x7f", r"\\u007f")
     for upper in "ABCDEF":
@@ -102,7 +112,7 @@ def message_column(
     pairs: dict[str, Column] = {}
     chosen = control.schema.fields if fields is None else [control.schema[f] for f in fields]
     for field in chosen:
-        pairs[field.name] = python_str(F.col(quote_ident(field.name)), field.dataType)
+        pairs[field.name] = python_str(F.col(quote_name(field.name)), field.dataType)
     for key, value in (
         ("source_system", source_system),
         ("table_name", table_name),

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tablesync.session import sql_string
-
 
 def split_list(value: str | None) -> list[str]:
     """a comma list from configuration.
@@ -26,14 +26,24 @@ def split_list_col(col: Column | str) -> Column:
 
 
 def fill_template(sql: str, values: dict[str, str | int]) -> str:
-    """replace ``<NAME>`` placeholders.
+    """replace ``<NAME>`` placeholders, in one pass.
 
-    Strings are inserted as quoted SQL literals and integers as numbers, so a
-    value can never change the statement. Templates therefore carry no quotes
-    around placeholders: ``source_table = <SOURCE_TABLE>``.
+    The statement goes to an ANSI database: strings become quoted literals with
+    their quotes doubled and backslashes left alone, integers numbers, so a value
+    cannot change the statement. A placeholder inside quotes
+    (``source_table = '<SOURCE_TABLE>'``) becomes text of that literal.
     """
-    out = sql
-    for key, value in values.items():
-        literal = str(int(value)) if isinstance(value, int) else sql_string(str(value))
-        out = out.replace(f"<{key}>", literal)
-    return out
+    if not values:
+        return sql
+    name = "<(" + "|".join(re.escape(k) for k in sorted(values, key=len, reverse=True)) + ")>"
+
+    def doubled(key: str) -> str:
+        return str(values[key]).replace("'", "''")
+
+    def fill(m: re.Match) -> str:
+        if m[1] is None:  # a literal of the template
+            return re.sub(name, lambda k: doubled(k[1]), m[0])
+        value = values[m[1]]
+        return str(int(value)) if isinstance(value, int) else f"'{doubled(m[1])}'"
+
+    return re.sub(f"'(?:[^']|'')*'|{name}", fill, sql)

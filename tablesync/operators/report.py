@@ -57,7 +57,7 @@ def report_frame(spark: SparkSession, rows: list[ReportRow]) -> DataFrame:
     fields = [f for f in REPORT_SCHEMA.fields if f.name != "total_runtime"]
     base = spark.createDataFrame(
         [tuple(getattr(r, f.name) for f in fields) for r in rows], T.StructType(fields)
-    )
+    ).coalesce(1)  # rows that the driver made: one small file per append
     cols = [
         runtime_text("job_start_time", "job_end_time").alias(f.name) if f.name == "total_runtime" else F.col(f.name)
         for f in REPORT_SCHEMA.fields
@@ -66,8 +66,8 @@ def report_frame(spark: SparkSession, rows: list[ReportRow]) -> DataFrame:
 
 
 def append_report(spark: SparkSession, report: DataFrame, table: str) -> WriteResult:
-    """K6: append report rows to a table partitioned by ``load_date``."""
-    return DayTarget(spark, table, REPORT_PARTITION, year_column=None).append(report)
+    """K6: append report rows to a table partitioned by ``load_date``, without a shuffle."""
+    return DayTarget(spark, table, REPORT_PARTITION, year_column=None, rebalance=False).append(report)
 
 
 def _value(v: Column | str | dt.date | dt.datetime) -> Column:
@@ -96,5 +96,5 @@ def process_rows(
 
 
 def append_process_report(spark: SparkSession, rows: DataFrame, table: str) -> WriteResult:
-    """K7: append process rows to a table partitioned by ``cda_date``."""
-    return DayTarget(spark, table, PROCESS_PARTITION, year_column=None).append(rows)
+    """K7: append process rows to a table partitioned by ``cda_date``, without a shuffle."""
+    return DayTarget(spark, table, PROCESS_PARTITION, year_column=None, rebalance=False).append(rows)

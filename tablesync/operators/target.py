@@ -6,7 +6,8 @@ the source has no year column), so every write and every re-count touches only
 the partitions of the slice, never the whole table:
 
 * a write is an ``insertInto`` under *dynamic* partition overwrite: only the days
-  present in the slice are swapped, as one commit per write job;
+  present in the slice are swapped, as one commit per write job; a day's replace
+  names its year, so only that year's partitions are listed;
 * days that the predicate covers but the new slice lacks (T18) are dropped
   afterwards with ``ALTER TABLE .. DROP PARTITION`` - a metadata operation;
 * rows with a NULL day live in the default partition and are never matched by a
@@ -23,9 +24,8 @@ exact (tested with injected task failures).
 
 from __future__ import annotations
 
-import contextlib
-import threading
-from collections.abc import Iterator
+import datetime as dt
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,14 +34,13 @@ from pyspark.sql import types as T
 
 from tablesync.functions.status import count_text
 from tablesync.operators.predicates import DEFAULT_YEAR_COLUMN
-from tablesync.session import quote_ident, sql_string
-from tablesync.sources.catalog import describe_table
+from tablesync.session import dynamic_session, quote_ident, quote_name, sql_string
+from tablesync.sources.catalog import describe_table, table_exists
 
-OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
 DROP_SPECS_PER_STATEMENT = 200
 AQE_KEY = "spark.sql.adaptive.enabled"
-_SESSION_CONF_LOCK = threading.Lock()
+SPLIT_KEY = "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"
 
 
 @dataclass(frozen=True)
@@ -56,7 +55,7 @@ class WriteResult:
 def ddl_type(data_type: T.DataType) -> str:
     """A type as DDL text, with nested field names quoted."""
     if isinstance(data_type, T.StructType):
-        inner = ", ".join(f"{quote_ident(f.name)}: {ddl_type(f.dataType)}" for f in data_type.fields)
+        inner = ", ".join(f"{quote_name(f.name)}: {ddl_type(f.dataType)}" for f in data_type.fields)
         return f"struct<{inner}>"
     if isinstance(data_type, T.ArrayType):
         return f"array<{ddl_type(data_type.elementType)}>"
@@ -72,6 +71,22 @@ def _find(names: list[str], wanted: str) -> str | None:
     return None
 
 
+def _literal(value: object) -> str:
+    """A partition value in a DROP PARTITION clause; NULL is the default partition."""
+    if value is None:
+        return "null"
+    text = value.isoformat() if isinstance(value, dt.date) else str(value)
+    return text if isinstance(value, int) and not isinstance(value, bool) else sql_string(text)
+
+
+def _metric(obs: Observation, name: str) -> object:
+    """An observed metric; a write whose metrics are missing is not an empty write."""
+    got = obs.get
+    if name not in got:
+        raise RuntimeError(f"the write reported no {name!r}")
+    return got[name]
+
+
 class DayTarget:
     """A target table partitioned by day.
 
@@ -102,7 +117,7 @@ class DayTarget:
     # ------------------------------------------------------------------ metadata
     def exists(self) -> bool:
         """S9."""
-        return self.spark.catalog.tableExists(self.table)
+        return table_exists(self.spark, self.table)
 
     def schema(self) -> T.StructType:
         return self.spark.table(self.table).schema
@@ -139,26 +154,26 @@ class DayTarget:
         pcols = self._partition_columns_for(schema)
         # Data columns first, partition columns last (their order in the table).
         fields = [f for f in schema.fields if f.name not in pcols] + [schema[c] for c in pcols]
-        cols = ", ".join(f"{quote_ident(f.name)} {ddl_type(f.dataType)}" for f in fields)
-        parts = ", ".join(quote_ident(c) for c in pcols)
+        cols = ", ".join(f"{quote_name(f.name)} {ddl_type(f.dataType)}" for f in fields)
+        parts = ", ".join(quote_name(c) for c in pcols)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {quote_ident(self.table)} ({cols}) USING {self.format} "
             f"PARTITIONED BY ({parts}) OPTIONS ('partitionOverwriteMode' = 'dynamic')"
         )
         return True
 
+    def _new_fields(self, schema: T.StructType) -> list[T.StructField]:
+        have = {n.lower() for n in self.schema().fieldNames()}
+        return [f for f in schema.fields if f.name.lower() not in have]
+
     def _evolve(self, schema: T.StructType) -> None:
         """K1 field addition: add the slice's new columns (nullable) to the table."""
-        current = self.schema()
-        have = {n.lower() for n in current.fieldNames()}
-        new = [f for f in schema.fields if f.name.lower() not in have]
-        if not new:
-            return
+        new = self._new_fields(schema)
         pcols = {c.lower() for c in self._partition_columns_for(schema)}
         bad = [f.name for f in new if f.name.lower() in pcols]
         if bad:
             raise ValueError(f"target {self.table} is not partitioned by {bad}")
-        cols = ", ".join(f"{quote_ident(f.name)} {ddl_type(f.dataType)}" for f in new)
+        cols = ", ".join(f"{quote_name(f.name)} {ddl_type(f.dataType)}" for f in new)
         self.spark.sql(f"ALTER TABLE {quote_ident(self.table)} ADD COLUMNS ({cols})")
         self.spark.catalog.refreshTable(self.table)
 
@@ -166,9 +181,10 @@ class DayTarget:
         """Create or widen the table, then order the slice's columns like the table.
 
         Columns the slice lacks are written as NULL, as an append of a narrower
-        frame into a wider table does.
+        frame into a wider table does. An empty slice does not widen the table (T3);
+        whether it is empty is looked up only if there is a column to add.
         """
-        if not self.create_empty(df.schema):
+        if not self.create_empty(df.schema) and self._new_fields(df.schema) and not df.isEmpty():
             self._evolve(df.schema)
         names = df.columns
         out = []
@@ -177,7 +193,7 @@ class DayTarget:
             if src is None:
                 out.append(F.lit(None).cast(f.dataType).alias(f.name))
             else:
-                out.append(F.col(quote_ident(src)).alias(f.name))
+                out.append(F.col(quote_name(src)).alias(f.name))
         return df.select(*out)
 
     # ------------------------------------------------------------------ writes
@@ -185,84 +201,92 @@ class DayTarget:
         """Whether the table itself carries the dynamic overwrite option (ours do)."""
         return "partitionOverwriteMode=dynamic" in self._describe()[1]
 
-    @contextlib.contextmanager
-    def _dynamic_overwrite(self) -> Iterator[None]:
-        """Dynamic overwrite for this write, also for tables we did not create.
+    def _layout(self, df: DataFrame, pcols: list[str], one_day: bool = False) -> DataFrame:
+        """Rebalance the write when AQE can keep its partitions to a sensible size.
 
-        A static overwrite would empty the whole table; never risk it. Tables we
-        create declare the mode themselves; for any other table the session
-        setting is switched for the duration of the write, under a lock so that
-        concurrent writers in this process cannot undo each other's setting.
-        """
-        if self._declares_dynamic_overwrite():
-            yield
-            return
-        with _SESSION_CONF_LOCK:
-            conf = self.spark.conf
-            old = conf.get(OVERWRITE_MODE_KEY, None)
-            conf.set(OVERWRITE_MODE_KEY, "dynamic")
-            try:
-                yield
-            finally:
-                if old is None:
-                    conf.unset(OVERWRITE_MODE_KEY)
-                else:
-                    conf.set(OVERWRITE_MODE_KEY, old)
-
-    def _layout(self, df: DataFrame, pcols: list[str]) -> DataFrame:
-        """Rebalance on the partition columns when AQE can split hot days.
-
-        Without AQE a hash shuffle would send a whole hot day to one task, so the
-        slice is then written straight from its scan splits (sized by bytes, never
-        by key): more files, but no task holds more than one split.
+        One day's rows are rebalanced without a key, so they are cut by bytes alone.
+        Several days are rebalanced on the partition columns, if AQE may split a hot
+        day. Otherwise a hash shuffle would send a whole hot day to one task, so the
+        slice is written straight from its scan splits (sized by bytes, never by key):
+        more files, but no task holds more than one split.
         """
-        if not self.rebalance:
-            return df
-        if str(self.spark.conf.get(AQE_KEY, "true")).lower() != "true":
+
+        def on(key: str) -> bool:
+            return str(self.spark.conf.get(key, "true")).lower() == "true"
+
+        if not self.rebalance or not on(AQE_KEY):
             return df
-        return df.hint("rebalance", *pcols)
+        if one_day:
+            return df.hint("rebalance")
+        return df.hint("rebalance", *[F.col(quote_name(c)) for c in pcols]) if on(SPLIT_KEY) else df
 
-    def _observed_write(self, df: DataFrame, overwrite: bool) -> WriteResult:
+    def _observed_write(self, df: DataFrame, overwrite: bool, one_day: bool = False, year: int | None = None) -> WriteResult:
         aligned = self._prepare(df)
         pcols = self.partition_columns()
-        aligned = self._layout(aligned, pcols)
+        aligned = self._layout(aligned, pcols, one_day)
         obs = Observation()
         metrics = [F.count(F.lit(1)).alias("rows")]
-        if overwrite:
-            # Bounded by the number of days in the slice, not by its rows.
-            metrics.append(F.collect_set(F.struct(*[F.col(quote_ident(c)) for c in pcols])).alias("parts"))
-        observed = aligned.observe(obs, *metrics)
-        if overwrite:
-            with self._dynamic_overwrite():
-                observed.write.insertInto(self.table, overwrite=True)
+        if not overwrite:
+            aligned.observe(obs, *metrics).write.insertInto(self.table)
+            return WriteResult(rows=_metric(obs, "rows"))
+        # Bounded by the number of days in the slice, not by its rows.
+        metrics.append(F.collect_set(F.struct(*[F.col(quote_name(c)) for c in pcols])).alias("parts"))
+        if not self._declares_dynamic_overwrite():
+            self._overwrite_elsewhere(aligned, obs, metrics)
+        elif year is not None and len(pcols) == 2 and _find(pcols, self.year_column or "") == pcols[0]:
+            self._overwrite_in_year(aligned.observe(obs, *metrics), pcols, year)
         else:
-            observed.write.insertInto(self.table)
-        got = obs.get
-        parts = frozenset(tuple(p) for p in got.get("parts", []) or [])
-        return WriteResult(rows=int(got.get("rows", 0) or 0), partitions=parts)
+            aligned.observe(obs, *metrics).write.insertInto(self.table, overwrite=True)
+        return WriteResult(rows=_metric(obs, "rows"), partitions=frozenset(tuple(p) for p in _metric(obs, "parts")))
+
+    def _overwrite_elsewhere(self, df: DataFrame, obs: Observation, metrics: list[Column]) -> None:
+        """Dynamic overwrite of a table that does not declare the mode itself.
+
+        A static overwrite would empty the whole table; never risk it. The write runs in
+        a session of its own with the mode set, so no other write is affected.
+        """
+        session = dynamic_session(self.spark)
+        view = f"tsync_{uuid.uuid4().hex}"
+        df.createGlobalTempView(view)
+        try:
+            session.table(f"global_temp.{view}").observe(obs, *metrics).write.insertInto(self.table, overwrite=True)
+        finally:
+            self.spark.catalog.dropGlobalTempView(view)
+
+    def _overwrite_in_year(self, df: DataFrame, pcols: list[str], year: int) -> None:
+        """Dynamic overwrite within one year: only that year's partitions are listed."""
+        view = f"tsync_{uuid.uuid4().hex}"
+        df.createOrReplaceTempView(view)
+        cols = ", ".join(quote_name(c) for c in df.columns if c != pcols[0])
+        spec = f"{quote_name(pcols[0])} = {int(year)}, {quote_name(pcols[1])}"
+        try:
+            self.spark.sql(f"INSERT OVERWRITE TABLE {quote_ident(self.table)} PARTITION ({spec}) SELECT {cols} FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
 
     def append(self, df: DataFrame) -> WriteResult:
         """K1: add the slice's rows; other rows are untouched."""
         return self._observed_write(df, overwrite=False)
 
-    def replace(self, df: DataFrame, predicate: Column, day: str | None = None) -> WriteResult:
+    def replace(self, df: DataFrame, predicate: Column, day: str | None = None, year: int | None = None) -> WriteResult:
         """K2 / K3: afterwards the target holds ``df`` where ``predicate`` is TRUE,
         and its old rows everywhere else.
 
         An empty slice changes nothing (T3). The table must be partitioned by the
         day column; ``predicate`` may only use partition columns. ``day`` (ISO
         date) says the predicate covers that one day, so only that day's
-        partitions are listed from the catalog instead of all of them.
+        partitions are listed from the catalog instead of all of them; ``year`` says
+        that all rows of ``df`` have that year, so the write lists that year's only.
         """
         if self.exists() and _find(self.partition_columns(), self.day_column) is None:
             raise ValueError(f"target {self.table} is not partitioned by {self.day_column}")
-        result = self._observed_write(self._inside(df, predicate), overwrite=True)
+        result = self._observed_write(self._inside(df, predicate, year), overwrite=True, one_day=day is not None, year=year)
         if result.rows == 0:
             return result
         dropped = self._drop_stale(predicate, result.partitions, day)
         return WriteResult(result.rows, result.partitions, dropped)
 
-    def _inside(self, df: DataFrame, predicate: Column) -> DataFrame:
+    def _inside(self, df: DataFrame, predicate: Column, year: int | None) -> DataFrame:
         """Fail the write (before anything is committed) on a row outside the range.
 
         Such a row would overwrite a day the predicate does not cover and lose that
@@ -271,7 +295,11 @@ class DayTarget:
         day = _find(df.columns, self.day_column)
         if day is None:
             return df  # reported by the write itself
-        checked = F.when(F.coalesce(predicate, F.lit(False)), F.col(quote_ident(day))).otherwise(
+        inside = F.coalesce(predicate, F.lit(False))
+        its_year = _find(df.columns, self.year_column) if self.year_column else None
+        if year is not None and its_year is not None:
+            inside = inside & F.col(quote_name(its_year)).eqNullSafe(F.lit(int(year)))
+        checked = F.when(inside, F.col(quote_name(day))).otherwise(
             F.raise_error(F.lit(f"row outside the replaced range of {self.table}"))
         )
         return df.withColumn(day, checked)
@@ -283,35 +311,32 @@ class DayTarget:
         kv = F.str_to_map(F.col("partition"), F.lit("/"), F.lit("="))
         cols = []
         for c in pcols:
-            raw = kv[F.lit(c)]
-            value = F.when(raw == F.lit(DEFAULT_PARTITION_NAME), F.lit(None)).otherwise(raw)
+            raw = kv[F.lit(c)]  # escaped like a path: %3A for a colon; a plus is a plus
+            text = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+            value = F.when(raw == F.lit(DEFAULT_PARTITION_NAME), F.lit(None)).otherwise(text)
             cols.append(value.cast(schema[c].dataType).alias(c))
         spec = ""
         if day is not None:
-            spec = f" PARTITION ({quote_ident(_find(pcols, self.day_column))} = {sql_string(day)})"
+            spec = f" PARTITION ({quote_name(_find(pcols, self.day_column))} = {sql_string(day)})"
         return self.spark.sql(f"SHOW PARTITIONS {quote_ident(self.table)}{spec}").select(*cols)
 
     def _drop_stale(self, predicate: Column, written: frozenset, day: str | None = None) -> tuple:
         """Drop partitions the predicate covers that this write did not fill."""
         pcols = self.partition_columns()
-        covered = self._partition_frame(day).where(predicate).collect()
-        stale = [tuple(r) for r in covered if tuple(r) not in written]
+
+        def found() -> list[tuple]:
+            return [r for r in map(tuple, self._partition_frame(day).where(predicate).collect()) if r not in written]
+
+        stale = found()
         if not stale:
             return ()
-        schema = self.schema()
-        specs = []
-        for values in stale:
-            items = []
-            for c, v in zip(pcols, values, strict=True):
-                text = v.isoformat() if hasattr(v, "isoformat") else str(v)
-                if isinstance(schema[c].dataType, T.StringType | T.DateType | T.TimestampType):
-                    text = sql_string(text)
-                items.append(f"{quote_ident(c)}={text}")
-            specs.append("PARTITION (" + ", ".join(items) + ")")
+        specs = [", ".join(f"{quote_name(c)}={_literal(v)}" for c, v in zip(pcols, values, strict=True)) for values in stale]
         for i in range(0, len(specs), DROP_SPECS_PER_STATEMENT):
-            chunk = ", ".join(specs[i : i + DROP_SPECS_PER_STATEMENT])
+            chunk = ", ".join(f"PARTITION ({spec})" for spec in specs[i : i + DROP_SPECS_PER_STATEMENT])
             self.spark.sql(f"ALTER TABLE {quote_ident(self.table)} DROP IF EXISTS {chunk}")
         self.spark.catalog.refreshTable(self.table)
+        if left := found():
+            raise RuntimeError(f"partitions of {self.table} could not be dropped: {left}")
         return tuple(stale)
 
     # ------------------------------------------------------------------ reads

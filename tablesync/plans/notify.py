@@ -1,9 +1,12 @@
-"""Control-row lookup for the notify job."""
+"""Control-row lookup for the notify job."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablesync.session import quote_name
 
 # The control table's key and the columns a lookup returns.
 CONTROL_KEY = ("source_table", "target_db", "cda_date")
@@ -54,3 +57,26 @@ def lookup_all(control: DataFrame, columns: tuple[str, ...] = CONTROL_COLUMNS) -
         others = [F.when(newest.isNull(), F.max(c)).otherwise(F.max_by(c, lead)).alias(c) for c in rest]
         picked = picked.groupBy(*keys, *cols[:j]).agg(newest.alias(lead), *others)
     return picked.select(*keys, *cols)
+
+
+def last_row(rows: DataFrame) -> DataFrame:
+    """L2: the row that becomes the message, of all control rows that were found.
+
+    The last one in ascending order of its columns, from the first to the last column,
+    NULL first: among control rows that is the newest. Columns that have no order (maps)
+    don't take part. An aggregate, so the rows never meet on the driver; none for none.
+    """
+    ordered = [F.col(quote_name(f.name)) for f in rows.schema.fields if not _unordered(f.dataType)]
+    whole = F.struct(*[F.col(quote_name(c)) for c in rows.columns])
+    if not ordered:
+        return rows.limit(1)
+    last = rows.agg(F.max_by(whole, F.struct(*ordered)).alias("last"), F.count(F.lit(1)).alias("n")).where("n > 0")
+    return last.select(*[F.col("last")[c].alias(c) for c in rows.columns])
+
+
+def _unordered(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.StructType):
+        return any(_unordered(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _unordered(data_type.elementType)
+    return isinstance(data_type, T.MapType | T.VariantType)

@@ -30,6 +30,7 @@ def export_csv(
     header: bool = True,
     sep: str = ",",
     mode: str = "errorifexists",
+    keep_blanks: bool = False,
 ) -> None:
     """K5: write ``df`` as comma CSV with a header into the folder ``path``.
 
@@ -37,9 +38,13 @@ def export_csv(
     whole file through one task): every input split is written by its own task,
     as its own part file with its own header line. Part numbers follow the split
     order, so reading the parts in name order gives the rows in input order.
-    An existing output fails by default (T12).
+    An existing output fails by default (T12). Spark's writer trims values;
+    ``keep_blanks`` writes them as they are.
     """
-    df.write.mode(mode).option("header", str(header).lower()).option("sep", sep).csv(path)
+    writer = df.write.mode(mode).option("header", str(header).lower()).option("sep", sep)
+    if keep_blanks:
+        writer = writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+    writer.csv(path)
 
 
 def output_path(root: str, file: str) -> str:
@@ -64,14 +69,15 @@ def relay_files(
     """Relay each file; a failing file is reported and the next one runs.
 
     Returns one status row per file, in input order (the original only logged
-    failures). Every file is its own Spark job writing its own folder, so with
+    failures). ``infer=False`` relays every value as the text it is, blanks at its
+    ends included. Every file is its own Spark job writing its own folder, so with
     ``parallelism > 1`` several files are relayed at once.
     """
 
     def relay(file: str) -> tuple:
         target = output_path(output_root, file)
         try:
-            export_csv(read_delimited(spark, file, sep=sep, infer=infer), target, mode=mode)
+            export_csv(read_delimited(spark, file, sep=sep, infer=infer), target, mode=mode, keep_blanks=not infer)
             return (file, target, True, None)
         except Exception as exc:
             log.error("relay of %s failed: %s", file, exc)

@@ -28,7 +28,7 @@ from tablesync.operators.report import (
     report_frame,
 )
 from tablesync.operators.target import DayTarget
-from tablesync.plans.notify import lookup_control
+from tablesync.plans.notify import last_row, lookup_control
 from tablesync.plans.runmode import RunMode
 from tablesync.sources.catalog import partition_columns
 from tablesync.sources.slices import read_slice, resolve_column, source_table
@@ -62,8 +62,9 @@ class Notify:
     """What the notify job needs beyond replication.
 
     ``control`` is the control table (filtered per table by :func:`lookup_control`)
-    or a reader ``(table, database, yyyymmdd) -> DataFrame`` that already returns
-    the wanted row, such as a filled SQL template read over JDBC.
+    or a reader ``(table, database, yyyymmdd) -> DataFrame`` that returns the wanted
+    rows, such as a filled SQL template read over JDBC: all of them are reported, and
+    the last one (:func:`last_row`) is published.
     """
 
     control: DataFrame | ControlReader
@@ -149,8 +150,12 @@ def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: boo
     elif spec.appends:
         rows = target.append(sliced).rows  # K1
     else:
-        day = spec.date if spec.kind == "day" else None
-        rows = target.replace(sliced, spec.replace_predicate(job.day_column), day).rows  # K2 / K3
+        day = year = None
+        if spec.kind == "day":
+            day = spec.date
+            if resolve_column(source, job.year_column):
+                year = int(day.split("-")[0])  # the day's slice holds this year only (P2)
+        rows = target.replace(sliced, spec.replace_predicate(job.day_column), day, year).rows  # K2 / K3
     counts["source"] = str(rows)
     if rows == 0:
         # An empty slice changes nothing and is not re-counted.
@@ -266,21 +271,23 @@ def _append_report(job: Replication, rows: list[ReportRow]) -> None:
 
 
 def _notify(job: Replication, notify: Notify, table: str, status: str) -> None:
-    """C3 tail: control row -> process report (K7) + message (K8)."""
+    """C3 tail: every control row -> process report (K7), the last one -> message (L2, K8)."""
     key = date_key_of(job.run_mode.date)
     if isinstance(notify.control, DataFrame):
         found = lookup_control(notify.control, table, job.db_name, key)
     else:
-        found = notify.control(table, job.db_name, key).limit(1)
-    picked = found.take(1)  # A4: at most one row by construction
-    if not picked:
-        return
-    one = job.spark.createDataFrame(picked, found.schema)
-    with _SHARED_WRITES:
-        if notify.process_table:
-            append_process_report(job.spark, process_rows(one, job.db_name, table, status, job.run_mode.date), notify.process_table)
-        if notify.sink is not None:
-            notify.sink.publish(status_messages(one, job.db_name, table, status))
+        found = notify.control(table, job.db_name, key)
+    found = found.persist()  # one read of the control source for the three uses below
+    try:
+        if found.isEmpty():  # A4
+            return
+        with _SHARED_WRITES:
+            if notify.process_table:
+                append_process_report(job.spark, process_rows(found, job.db_name, table, status, job.run_mode.date), notify.process_table)
+            if notify.sink is not None:
+                notify.sink.publish(status_messages(last_row(found), job.db_name, table, status))
+    finally:
+        found.unpersist()
 
 
 def _finish(job: Replication, rows: list[ReportRow], raise_on_fail: bool) -> DataFrame:

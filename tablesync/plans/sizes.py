@@ -9,23 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.functions.units import bytes_to_gb
-from tablesync.sources.catalog import catalog_locations, file_sizes
+from tablesync.sources.catalog import catalog_sizes, file_sizes
 
 
 def size_report(spark: SparkSession, locations: Mapping[str, str]) -> DataFrame:
     """``table_name, bytes, size_gb`` for each table location that holds files."""
-    sizes = file_sizes(spark, locations)
-    return sizes.select("table_name", "bytes", bytes_to_gb("bytes").alias("size_gb"))
+    return _report(file_sizes(spark, locations))
 
 
 def catalog_size_report(spark: SparkSession, database: str, tables: str | list[str]) -> DataFrame:
     """C6 on catalog tables; ``tables`` may be ``"ALL"``."""
-    return size_report(spark, catalog_locations(spark, database, tables))
+    return _report(catalog_sizes(spark, database, tables))
+
+
+def _report(sizes: DataFrame) -> DataFrame:
+    return sizes.select("table_name", "bytes", bytes_to_gb("bytes").alias("size_gb"))
 
 
 def size_total(report: DataFrame) -> DataFrame:
-    """A5 + A6: ``tables, total_gb``."""
+    """A5 + A6: ``tables, total_gb``; whole bytes are added up, so their order doesn't matter."""
     return report.agg(
         F.count("table_name").alias("tables"),
-        F.coalesce(F.sum("size_gb"), F.lit(0.0)).alias("total_gb"),
+        bytes_to_gb(F.coalesce(F.sum("bytes"), F.lit(0))).alias("total_gb"),
     )

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
+OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
 
 
 def _context(spark: SparkSession):
@@ -59,9 +60,24 @@ def fresh_database(spark: SparkSession, prefix: str = "tsync") -> str:
     return name
 
 
+def dynamic_session(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` whose overwrites of partitioned tables are dynamic."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set(OVERWRITE_MODE_KEY, "dynamic")
+    return session
+
+
 def quote_ident(name: str) -> str:
-    """Quote a possibly qualified name (``db.table``) for SQL text."""
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+    """Quote a possibly qualified table name (``db.table``) for SQL text."""
+    return ".".join(quote_name(part) for part in name.split("."))
+
+
+def quote_name(name: str) -> str:
+    """Quote one name, of a column say, whatever characters it has (dots included)."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def sql_string(value: str) -> str:

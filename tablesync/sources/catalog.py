@@ -58,14 +58,6 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return describe_table(spark, name)[0]
 
 
-def table_location(spark: SparkSession, name: str) -> str:
-    """The storage location of a catalog table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").where("col_name = 'Location'").collect()
-    if not rows:
-        raise ValueError(f"table {name} has no location")
-    return rows[0]["data_type"]
-
-
 def _bare(path: str) -> str:
     """A path without scheme and authority, without a trailing slash."""
     return re.sub(_SCHEME, "", path).rstrip("/") or "/"
@@ -128,16 +120,27 @@ def _nested(locations: set[str]) -> bool:
     return any(b.startswith(a) for a, b in zip(ordered, ordered[1:]))
 
 
-def catalog_locations(spark: SparkSession, database: str, tables: str | list[str]) -> dict[str, str]:
-    """S7 + locations: ``{table: location}`` for catalog tables.
+def catalog_sizes(spark: SparkSession, database: str, tables: str | list[str]) -> DataFrame:
+    """S7 + S8 on catalog tables: ``table_name string, bytes long``, a row per table with a size.
 
-    One ``SHOW TABLE EXTENDED`` call reads every table's location, instead of a
-    metastore call per table. The result has one entry per table (metadata).
+    One ``SHOW TABLE EXTENDED`` call reads every table's location and, where the catalog
+    has it, its size; only the files of tables without a recorded size are listed. Names
+    match as the catalog matches them, in any case; an unknown one is an error. The result
+    of that call has one entry per table (metadata).
     """
-    names = list_tables(spark, database, tables)
     info = spark.sql(f"SHOW TABLE EXTENDED IN {quote_ident(database)} LIKE '*'").where(~F.col("isTemporary"))
-    found = {
-        r["tableName"]: r["location"]
-        for r in info.select("tableName", F.regexp_extract("information", r"(?m)^Location: (.*)$", 1).alias("location")).collect()
-    }
-    return {t: found[t] for t in names if found.get(t)}
+    found = info.select(
+        "tableName",
+        F.regexp_extract("information", r"(?m)^Location: (.*)$", 1).alias("location"),
+        F.regexp_extract("information", r"(?m)^Statistics: ([0-9]+) bytes", 1).alias("bytes"),
+    )
+    known = {r["tableName"].lower(): r for r in found.collect()}
+    names = list(dict.fromkeys(t.lower() for t in list_tables(spark, database, tables)))
+    unknown = [t for t in names if t not in known]
+    if unknown:
+        raise ValueError(f"no table {', '.join(unknown)} in {database}")
+    chosen = [known[t] for t in names]
+    recorded = [(r["tableName"], int(r["bytes"])) for r in chosen if r["bytes"]]
+    listed = {r["tableName"]: r["location"] for r in chosen if not r["bytes"] and r["location"]}
+    sizes = spark.createDataFrame(recorded, "table_name string, bytes long")
+    return sizes.unionByName(file_sizes(spark, listed)) if listed else sizes

@@ -2,8 +2,8 @@
 
 The control lookup itself (filter on the key, newest row first, one row) lives in
 ``tablesync.plans.notify`` and works on any DataFrame, so the same code runs on a
-JDBC source, a catalog table or a Parquet copy. Equality filters and the limit
-are pushed into the remote query by Spark's JDBC source.
+JDBC source, a catalog table or a Parquet copy. Equality filters are pushed into
+the remote query by Spark's JDBC source.
 """
 
 from __future__ import annotations

@@ -47,7 +47,7 @@ def test_split_list_and_template():
         split_list(None)
     sql = "select 1 from t where source_table = <SOURCE_TABLE> and cda_date = <CDATE>"
     assert fill_template(sql, {"SOURCE_TABLE": "o'brien", "CDATE": 20240101}) == (
-        "select 1 from t where source_table = 'o\\'brien' and cda_date = 20240101"
+        "select 1 from t where source_table = 'o''brien' and cda_date = 20240101"
     )
 
 
@@ -103,6 +103,24 @@ def test_json_quote_equals_python(spark, text):
     assert got == json.dumps(text)
 
 
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 300), st.sampled_from(["", "\u00fc", "u00FC", '"', "\u007f", "\n", "\U0001f600AB", "a"])), max_size=8))
+def test_json_quote_after_any_run_of_backslashes(spark, parts):
+    text = "".join("\\" * n + tail for n, tail in parts)
+    got = spark.createDataFrame([(text,)], "v string").select(json_quote("v")).first()[0]
+    assert got == json.dumps(text)
+
+
+def test_template_values_stay_values():
+    values = {"T": "o'x\\' or 1=1 --<D>", "D": 20240101, "TT": "plain"}
+    quoted = "'o''x\\'' or 1=1 --<D>'"
+    assert fill_template("a = <T> and d = <D>", values) == f"a = {quoted} and d = 20240101"
+    assert fill_template("a = '<T>' and d = '<D>'", values) == f"a = {quoted} and d = '20240101'"
+    assert fill_template("a = 'x <TT>''<TT>' and b = <TT>", values) == "a = 'x plain''plain' and b = 'plain'"
+    assert fill_template("a = <OTHER>", values) == "a = <OTHER>"
+    assert fill_template("a = <T>", {}) == "a = <T>"
+
+
 def test_status_message_equals_python(spark):
     rows = [
         (dt.datetime(2022, 9, 28, 19, 10, 36, 120000), None, "Zürich \"x\"", True, 7, 1.5),

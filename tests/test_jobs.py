@@ -313,3 +313,28 @@ def test_json_documents_failfast(spark):
     assert [tuple(r) for r in lenient] == [(None, None)]
     with pytest.raises(Exception):
         read_json_documents(spark, path, "k long, name string", mode="FAILFAST").collect()
+
+
+def test_sizes_of_named_tables(spark):
+    from tablesync import catalog_size_report
+
+    db = fresh_database(spark)
+    for name in ("orders", "part"):
+        spark.range(100).selectExpr("CAST(id AS STRING) AS value").write.format("text").saveAsTable(f"{db}.{name}")
+    spark.sql(f"ANALYZE TABLE {db}.part COMPUTE STATISTICS NOSCAN")
+    rows = {r.table_name: r.bytes for r in catalog_size_report(spark, db, "ORDERS, part,orders").collect()}
+    assert rows == {"orders": 290, "part": 290}
+    with pytest.raises(ValueError, match="nosuch"):
+        catalog_size_report(spark, db, "ORDERS,part,nosuch")
+
+
+def test_raw_relay_keeps_blanks(spark):
+    root = f"{shared_root(spark)}/blanks/{fresh_database(spark)}"
+    rows = [("  x  ", " z"), ("y", "\tq "), ("007", "FALSE")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    writer = df.write.option("header", "true").option("sep", "|").option("ignoreLeadingWhiteSpace", "false")
+    writer.option("ignoreTrailingWhiteSpace", "false").csv(f"{root}/in.csv")
+    out = relay_files(spark, [f"{root}/in.csv"], f"{root}/out", infer=False).first()
+    assert out.ok
+    got = spark.read.option("header", "true").csv(out.output).collect()
+    assert sorted(map(tuple, got)) == sorted(rows)

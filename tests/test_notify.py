@@ -97,3 +97,24 @@ def test_lookup_all_matches_brute_force(spark, raw):
     df = spark.createDataFrame(rows, "source_table string, target_db string, cda_date int, b int, d int, e int")
     got = {tuple(r[:3]): tuple(r[3:]) for r in lookup_all(df, ("b", "d", "e")).collect()}
     assert got == _newest_first(rows, 3)
+
+
+def test_all_control_rows_are_reported_and_the_last_is_published(spark):
+    from tablesync.plans.notify import last_row
+
+    db = fresh_database(spark)
+    day = dt.date(2024, 1, 15)
+    src = spark.createDataFrame([(1, 2024, day)], "id long, cda_year int, cda_dt date")
+    rows = [("r2", T(2024, 1, 2)), ("r3", None), ("r1", T(2024, 1, 9)), ("r3", T(2024, 1, 1)), (None, T(2030, 1, 1))]
+    control = spark.createDataFrame(rows, "batch string, business_ts timestamp_ntz")
+    path = f"{shared_root(spark)}/messages/{db}"
+    job = Replication(spark, ["events"], db, "cda_dt", resolve_run_mode("2024-01-15"), load_source=lambda t: src, database_name="d")
+    notify = Notify(lambda t, d, k: control, process_table=f"{db}.process", sink=MessageSink("text", path))
+    assert replicate_and_notify(job, notify).first().count_result == "Pass"
+    got = spark.table(f"{db}.process").select("batch", "business_ts").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
+    messages = [json.loads(r.value) for r in spark.read.text(path).collect()]
+    assert [(m["batch"], m["business_ts"]) for m in messages] == [("r3", "2024-01-01 00:00:00")]
+    assert last_row(control.where("false")).count() == 0
+    odd = spark.createDataFrame([({"k": 1}, 1), ({"k": 2}, 5)], "m map<string,int>, `a.b` int")
+    assert [r["a.b"] for r in last_row(odd).collect()] == [5]

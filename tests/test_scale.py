@@ -46,6 +46,29 @@ def test_hot_day_is_split_over_several_files(spark):
     assert spark.table(f"{db}.t").where("cda_dt = DATE'1998-06-15'").count() == src.where("cda_dt = DATE'1998-06-15'").count()
 
 
+def test_one_day_is_written_by_several_tasks(spark):
+    """A day's replace has no key to be hot on: with AQE's skew splitting on and off."""
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").repartition(8)
+    src = li.withColumns({"cda_dt": F.lit("1998-06-15").cast("date"), "cda_year": F.lit(1998)})
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k"}
+    split = "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"
+    spec = SliceSpec.day("1998-06-15")
+    for on in ("true", "false"):
+        t = DayTarget(spark, f"{fresh_database(spark)}.t", "cda_dt")
+        for k, v in (conf | {split: on}).items():
+            spark.conf.set(k, v)
+        try:
+            t.replace(src, spec.replace_predicate("cda_dt"), spec.date, 1998)
+            keyed = DayTarget(spark, f"{fresh_database(spark)}.t", "cda_dt")
+            keyed.replace(src, SliceSpec.from_date("1998-01-01").replace_predicate("cda_dt"))
+        finally:
+            for k in (*conf, split):
+                spark.conf.unset(k)
+        for target in (t, keyed):
+            files = spark.table(target.table).select(F.input_file_name().alias("f")).distinct().count()
+            assert files > 1, f"skew splitting {on}: the day was written by a single task"
+
+
 RETRY_SCRIPT = textwrap.dedent(
     """
     import sys

@@ -232,3 +232,77 @@ def test_replace_into_a_table_created_elsewhere_keeps_other_days(spark):
     t.replace(_frame(spark, [_row(3, D(2024, 1, 2), "new")]), SliceSpec.day("2024-01-02").replace_predicate("cda_dt"))
     assert _bag(spark.table(f"{db}.t")) == Counter([(1, "old", 2024, D(2024, 1, 1)), (3, "new", 2024, D(2024, 1, 2))])
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+
+
+def test_null_year_partition_is_dropped_for_both_slices(spark):
+    for spec, year in ((SliceSpec.day("2024-01-02"), 2024), (SliceSpec.day("2024-01-02"), None), (SliceSpec.from_date("2024-01-02"), None)):
+        db = fresh_database(spark)
+        t = DayTarget(spark, f"{db}.t", "cda_dt")
+        t.append(_frame(spark, [(1, "old", None, D(2024, 1, 2)), (2, "old", 2024, D(2024, 1, 2)), (3, "old", None, D(2024, 1, 1)), (4, "old", None, None)]))
+        new = _frame(spark, [(5, "new", 2024, D(2024, 1, 2))])
+        day = spec.date if spec.kind == "day" else None
+        first = t.replace(new, spec.replace_predicate("cda_dt"), day, year)
+        assert first.dropped == ((None, D(2024, 1, 2)),)
+        want = Counter([(5, "new", 2024, D(2024, 1, 2)), (3, "old", None, D(2024, 1, 1)), (4, "old", None, None)])
+        assert _bag(spark.table(f"{db}.t")) == want
+        assert t.replace(new, spec.replace_predicate("cda_dt"), day, year).dropped == ()
+        assert _bag(spark.table(f"{db}.t")) == want
+
+
+def test_replace_within_a_year_refuses_rows_of_another(spark):
+    import pytest
+
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    t.append(_frame(spark, [_row(1, D(2024, 1, 2))]))
+    spec = SliceSpec.day("2024-01-02")
+    for year in (2023, None):
+        with pytest.raises(Exception, match="outside the replaced range"):
+            t.replace(_frame(spark, [(2, "new", year, D(2024, 1, 2))]), spec.replace_predicate("cda_dt"), spec.date, 2024)
+    assert t.replace(_frame(spark, []), spec.replace_predicate("cda_dt"), spec.date, 2024).rows == 0
+    assert _bag(spark.table(f"{db}.t")) == Counter([(1, "old", 2024, D(2024, 1, 2))])
+
+
+def test_foreign_table_is_overwritten_dynamically_without_touching_the_session(spark):
+    db = fresh_database(spark)
+    df = _frame(spark, [_row(1, D(2024, 1, 1)), _row(2, D(2024, 1, 2))])
+    df.write.partitionBy("cda_year", "cda_dt").saveAsTable(f"{db}.t")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    seen = []
+
+    class Watched(DayTarget):
+        def _overwrite_elsewhere(self, *args):
+            seen.append(spark.conf.get(key))
+            super()._overwrite_elsewhere(*args)
+            seen.append(spark.conf.get(key))
+
+    t = Watched(spark, f"{db}.t", "cda_dt")
+    res = t.replace(_frame(spark, [_row(3, D(2024, 1, 2), "new")]), SliceSpec.day("2024-01-02").replace_predicate("cda_dt"), "2024-01-02")
+    assert res.rows == 1 and seen == [before, before] and before.lower() == "static"
+    assert _bag(spark.table(f"{db}.t")) == Counter([(1, "old", 2024, D(2024, 1, 1)), (3, "new", 2024, D(2024, 1, 2))])
+    assert not [v for v in spark.catalog.listTables("global_temp") if v.name.startswith("tsync_")]
+
+
+def test_empty_slice_does_not_widen_the_table(spark):
+    from pyspark.sql import functions as F
+
+    db = fresh_database(spark)
+    t = DayTarget(spark, f"{db}.t", "cda_dt")
+    t.append(_frame(spark, [_row(1, D(2024, 1, 1))]))
+    empty = _frame(spark, []).withColumn("more", F.lit(1))
+    assert t.append(empty).rows == 0
+    assert t.replace(empty, SliceSpec.from_date("2024-01-01").replace_predicate("cda_dt")).rows == 0
+    assert spark.table(f"{db}.t").columns == ["id", "v", "cda_year", "cda_dt"] and spark.table(f"{db}.t").count() == 1
+
+
+def test_missing_metric_is_not_an_empty_write(spark):
+    import pytest
+
+    from tablesync.operators.target import _metric
+
+    class Lost:
+        get = {}
+
+    with pytest.raises(RuntimeError, match="rows"):
+        _metric(Lost(), "rows")
