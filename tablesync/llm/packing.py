@@ -32,11 +32,11 @@ END_ID = 1
 #: Documents in a group, on average, and the largest file taken for a vocabulary.
 GROUP_DOCS = 4096
 MAX_VOCABULARY_BYTES = 64 << 20
-#: Entries kept per worker; a full table is emptied.
-MAX_STRINGS, MAX_WORDS = 300_000, 500_000
+#: Entries that a worker keeps, in two generations: a full young table becomes the old one.
+MAX_STRINGS, MAX_WORDS = 250_000, 400_000
 
-#: Letters, then marks that pre-tokenisation takes as one further piece.
-_PLAIN = re.compile(r"([^\W\d_]+)([.,;:!?$%&#*]*)")
+#: Marks that pre-tokenisation takes as one further piece behind a word's letters.
+MARKS = ".,;:!?$%&#*"
 #: White space to Python but not to the tokenizer's pattern.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 
@@ -59,48 +59,59 @@ class Encoder:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.strings: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_strings: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        if _SEPARATORS.search(text):
-            return self._whole([text])[0]
-        strings = text.split()
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.strings) > MAX_STRINGS:
-            self.strings = {}
-        out = list(map(self.strings.get, strings))
-        if None in out:
-            self._learn({s for s, ids in zip(strings, out, strict=True) if ids is None})
-            out = [self.strings[s] for s in strings]
-        return b"".join(out)
+            self.old_strings, self.strings = self.strings, {}
+        known, lists = self.strings, [None if _SEPARATORS.search(t) else t.split() for t in texts]
+        self._learn({s for strings in lists if strings for s in strings if s not in known})
+        ids = known.__getitem__
+        return [self._whole([t])[0] if strings is None else b"".join(map(ids, strings)) for t, strings in zip(texts, lists, strict=True)]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
     def _learn(self, strings: set[str]) -> None:
-        plain, other, new = {}, [], {}
+        if len(self.words) > MAX_WORDS:
+            self.old_words, self.words = self.words, {}
+        known, old, words = self.strings, self.old_strings, self.words
+        other, new, plain, lower, marks = [], {}, [], [], []
         for s in strings:
-            m = _PLAIN.fullmatch(s)
-            letters = m and m[1]
-            if letters and (s.isascii() or letters.isalpha() and "Σ" not in s and unicodedata.is_normalized("NFC", s)):
-                plain[s] = (letters.lower(), m[2])
-                new.update(dict.fromkeys(w for w in plain[s] if w and w not in self.words))
+            if s in old:
+                known[s] = old[s]
+                continue
+            letters = s.rstrip(MARKS)
+            if letters.isalpha() and (letters.isascii() or "Σ" not in letters and unicodedata.is_normalized("NFC", letters)):
+                mark = s[len(letters) :]
+                letters = letters.lower()
+                plain.append(s)
+                lower.append(letters)
+                marks.append(mark)
+                if letters not in words:
+                    new[letters] = None
+                if mark and mark not in words:
+                    new[mark] = None
             else:
                 other.append(s)
-        if len(self.words) > MAX_WORDS:
-            self.words = {}
-            new = dict.fromkeys(w for pair in plain.values() for w in pair if w)
-        words = list(new)
-        if words:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        for w in list(new):
+            if (ids := self.old_words.get(w)) is not None:
+                words[w] = ids
+                del new[w]
+        if new:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(words):
+            if len(ends) == len(new):
                 data, ends = ids.tobytes(), (ends * 4).tolist()
-                self.words.update(zip(words, (data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
+                words.update(zip(new, (data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
             else:  # some word is several to the tokenizer
-                self.words.update(zip(words, self._whole(words), strict=True))
-        for s, (letters, marks) in plain.items():
-            self.strings[s] = self.words[letters] + (self.words[marks] if marks else b"")
-        self.strings.update(zip(other, self._whole(other), strict=True))
+                words.update(zip(new, self._whole(list(new)), strict=True))
+        for s, letters, mark in zip(plain, lower, marks, strict=True):
+            known[s] = words[letters] + words[mark] if mark else words[letters]
+        if other:
+            known.update(zip(other, self._whole(other), strict=True))
 
 
 def _encoder(file: str) -> Encoder:
@@ -123,23 +134,29 @@ def _cut(file, length: int, end_id: int, with_ids: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, row = _encoder(file.value), 0
         for batch in batches:
-            rows, held = [], 0
-            for doc_id, has_id, text in zip(*(batch[c].to_pylist() for c in ("doc_id", "has_id", "text")), strict=True):
-                data = encoder.encode(text or "") + end
-                total, row = len(data) // 4, row + 1
-                for start in range(0, total, length):
-                    part = data[4 * start : 4 * (start + length)]
-                    piece = [doc_id, has_id, row, start, len(part) // 4, zlib.crc32(part), total]
-                    rows.append([*piece, np.frombuffer(part, "<i4")] if with_ids else piece)
-                held += len(data)
-                if held > 8 << 20:
-                    yield _batch(rows, schema)
-                    rows, held = [], 0
-            yield _batch(rows, schema)
+            for part in _parts(batch):
+                rows = []
+                doc_ids, has_ids, texts = (part[c].to_pylist() for c in ("doc_id", "has_id", "text"))
+                encoded = encoder.encode([t or "" for t in texts])
+                for doc_id, has_id, data in zip(doc_ids, has_ids, encoded, strict=True):
+                    data += end
+                    total, row = len(data) // 4, row + 1
+                    for start in range(0, total, length):
+                        ids = data[4 * start : 4 * (start + length)]
+                        piece = [doc_id, has_id, row, start, len(ids) // 4, zlib.crc32(ids), total]
+                        rows.append([*piece, np.frombuffer(ids, "<i4")] if with_ids else piece)
+                yield _batch(rows, schema)
 
     return run
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of few rows, and of one row where the texts are long."""
+    step = max(1, min(rows, len(batch) * size // max(1, batch["text"].nbytes)))
+    for at in range(0, len(batch), step):
+        yield batch.slice(at, step)
+
+
 def _batch(rows: list[list], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
