@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from .common import join_spread, saved, scattered, table
 from .vectors import matrix, same_vector, usable
 
-TREES, BITS = 12, 32
+TREES, BITS = 16, 32
 #: Rows that the stretches of all trees hold before the ascent ends, as a part of the
 #: shard's rows (a row may be in several trees' stretches).
-SHARE = 1.2
+SHARE = 1.8
 SHARD_ROWS, QUERY_ROWS = 8192, 8192
 SEED = 11
 #: Scores held at a time.
@@ -55,8 +55,12 @@ class Forest:
         weights = 1 << np.arange(self.bits - 1, -1, -1, dtype=np.int64)
         return np.stack([((lifted @ p) > 0) @ weights for p in self.planes])
 
-    def stretches(self, queries: np.ndarray, enough: int) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end, per tree and query, of the stretch where the ascent stops."""
+    def stretches(self, queries: np.ndarray, enough: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and end, per tree and query, of the stretch where the ascent stops.
+
+        That is when all stretches together hold ``enough`` rows and one of them ``least``,
+        so that as many different rows are found.
+        """
         strings = self._strings(np.column_stack([queries, np.zeros(len(queries))]))
         trees, q = strings.shape
         begin, end = np.zeros((self.bits + 1, trees, q), np.int64), np.zeros((self.bits + 1, trees, q), np.int64)
@@ -70,7 +74,9 @@ class Forest:
         sizes = (end - begin)[::-1].transpose(2, 0, 1).reshape(q, -1)
         wider = np.diff(sizes.reshape(q, self.bits + 1, trees), axis=1, prepend=0).reshape(q, -1)
         held = np.cumsum(wider, axis=1)
-        step = np.minimum((held < enough).sum(axis=1), held.shape[1] - 1)
+        longest = np.maximum.accumulate(sizes, axis=1)
+        short = (held < enough) | (longest < min(least, len(self.vectors)))
+        step = np.minimum(short.sum(axis=1), held.shape[1] - 1)
         level, turn = step // trees, step % trees
         length = self.bits - level[None, :] + (np.arange(trees)[:, None] > turn[None, :])
         length = np.minimum(length, self.bits)
@@ -81,7 +87,7 @@ class Forest:
 
     def nearest(self, queries: np.ndarray, enough: int, most: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, row): for each query the ``most`` best rows of each tree's stretch, distinct."""
-        begin, end = self.stretches(queries, enough)
+        begin, end = self.stretches(queries, enough, most)
         found = []
         for t, order in enumerate(self.order):
             vectors = self.vectors[order]
