@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,12 +49,26 @@ def join_spread(left: DataFrame, right: DataFrame, key: str, by: str, parts: int
 
     The right rows are repeated ``parts`` times and the left rows are dealt over the
     copies by a hash of ``by``, so that a hot key goes to ``parts`` tasks. Null keys match
-    nothing.
+    nothing. Both sides are shuffled: a file's size says little about its repeated rows, so
+    they are not left to an automatic broadcast.
     """
-    spread = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    spread = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).hint("merge")
     return left.withColumn("_part", scattered(by, parts=parts)).join(spread, [key, "_part"], "left").drop("_part")
 
 
+def worker_keeps(key: object = None, make: Callable | None = None) -> object:
+    """What ``make`` gave in this Python worker, for tasks with the same ``key``.
+
+    A worker keeps the last such object only: another key, or none, lets go of it first.
+    """
+    kept = sys.modules.setdefault("_tablesync_llm_kept", types.ModuleType("_tablesync_llm_kept"))
+    if getattr(kept, "key", None) != key:
+        kept.key = kept.value = None
+        kept.value = make() if make else None
+        kept.key = key
+    return getattr(kept, "value", None)
+
+
 def components(edges: DataFrame, kind: str = "components", rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph: rows (node, root), root the smallest node.
 

@@ -15,10 +15,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, scattered, table
+from .common import saved, scattered, table, worker_keeps
 
 #: ASCII white space, stripped at both ends of a line.
 BLANK = b" \t\n\x0b\x0c\r"
+#: Frequent lines, of 16 bytes each, that are few enough to broadcast.
+BROADCAST_LINES = 200_000
 #: Rows of a batch that Python emits at a time.
 EMIT = 100_000
 
@@ -48,6 +50,7 @@ def _keys_of(min_chars: int):
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("line", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_keeps()  # nothing of an earlier stage
         for batch in batches:
             at, lines = [], []
             for k, text in enumerate(batch["text"].to_pylist()):
@@ -66,6 +69,7 @@ def _cut(min_chars: int):
     """Column text without the lines whose hashes are in column drop; adds the two counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_keeps()  # nothing of an earlier stage
         for batch in batches:
             texts, n_lines, n_dropped = [], [], []
             for text, drop in zip(batch["text"], batch["drop"], strict=True):
@@ -94,8 +98,12 @@ def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> D
     """
     keys = docs.select("doc_id", "text_hash", "text").mapInArrow(_keys_of(min_chars), "doc_id long, text_hash long, line binary")
     often = keys.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    # A line may be in any part of all documents: its rows are dealt out over more tasks.
-    often = saved(often.select("line"), "frequent-lines").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(15))))
+    # A line may be in any part of all documents: unless its hashes are few enough to be
+    # sent to every task, its rows are dealt out over more tasks.
+    often = saved(often.select("line"), "frequent-lines")
+    if often.count() <= BROADCAST_LINES:
+        return keys.join(F.broadcast(often), "line", "left_semi").select("doc_id", "text_hash", "line")
+    often = often.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(15)))).hint("merge")
     keys = keys.withColumn("_part", scattered("doc_id", "text_hash", parts=16))
     return keys.join(often, ["line", "_part"], "left_semi").select("doc_id", "text_hash", "line")
 

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import DOCS, SF, same_as_sql, write_tables
@@ -21,7 +22,9 @@ def test_whole_table(spark):
     assert same_as_sql(linededup.op7_line_dedup(spark, SF), linededup.OP7_SQL)
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("most", [200_000, 0])
+def test_odd_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(linededup, "BROADCAST_LINES", most)  # both joins
     texts = ["Hot LINE\nown 1\n\n", " hot line\t\nÉ\nown 2", None, "", "hot line", "é\nhot line\nhot line", "x \nhot line", "É" * 200_000]
     texts += ["same\nhot line"] * 3 + [" \nhot line \x1c"]
     rows = [(None if i == 4 else 7 if i in (8, 9, 10) else i, t, None, "s", 0) for i, t in enumerate(texts)]
