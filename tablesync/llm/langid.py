@@ -20,8 +20,6 @@ languages. Workers build their tables from it once.
 
 from __future__ import annotations
 
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,11 +28,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import table
+from .common import table, worker_keeps
 
 SEGMENT = 2048
 #: Segments parsed side by side, and characters of a text that are looked at at a time.
-LANES = 4096
+LANES = 2048
 UNDETERMINED = "und"
 _CODES, _SPACE = 0x110000, 32
 
@@ -104,7 +102,7 @@ class Parser:
         folded = [self._letters(text) for _, text in model]
         known = np.unique(np.concatenate(folded)) if folded else np.zeros(0, np.uint32)
         # Symbol 0: a character that no training text has.
-        self.symbol = np.zeros(_CODES, np.int32)
+        self.symbol = np.zeros(_CODES, np.uint16 if len(known) < 0xFFFF else np.int32)
         self.symbol[known] = np.arange(1, len(known) + 1)
         self.width = len(known) + 1
         tables, self.roots, at = [], [], 0
@@ -161,7 +159,7 @@ class Parser:
         lengths = np.array([len(p) for p in pieces])
         order = np.argsort(-lengths, kind="stable")
         lengths = lengths[order]
-        lanes = np.zeros((len(pieces), lengths[0]), np.uint16 if self.width <= 0xFFFF else np.int32)
+        lanes = np.zeros((len(pieces), lengths[0]), self.symbol.dtype)
         for lane, i in enumerate(order):
             lanes[lane, : len(pieces[i])] = pieces[i]
         grid = np.ascontiguousarray(lanes.T)  # a row holds one character of every piece
@@ -188,15 +186,6 @@ def _fold() -> np.ndarray:
     return out
 
 
-def _parser(model: list[tuple[str, str]]) -> Parser:
-    """The model's parser, built once in each worker process."""
-    kept = sys.modules.setdefault("_tablesync_llm_kept", types.ModuleType("_tablesync_llm_kept"))
-    key = hash(tuple(model))
-    if getattr(kept, "langid_key", None) != key:
-        kept.langid, kept.langid_key = Parser(model), key
-    return kept.langid
-
-
 # ------------------------------------------------------------------------------ prediction
 def best(parser: Parser, counts: np.ndarray) -> tuple[list[str | None], np.ndarray]:
     """The language with the fewest normalised phrases, and how far the next one is behind.
@@ -216,7 +205,7 @@ def best(parser: Parser, counts: np.ndarray) -> tuple[list[str | None], np.ndarr
 
 def _predict(model: list[tuple[str, str]]):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        parser = _parser(model)
+        parser = worker_keeps(("languages", *model), lambda: Parser(model))
         for texts in batches:
             langs, scores = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
             use = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]

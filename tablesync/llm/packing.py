@@ -13,8 +13,6 @@ encoded once per worker and looked up from then on.
 from __future__ import annotations
 
 import re
-import sys
-import types
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -25,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, scattered, table
+from .common import saved, scattered, table, worker_keeps
 
 LENGTH = 2048
 END_ID = 1
@@ -33,7 +31,7 @@ END_ID = 1
 GROUP_DOCS = 4096
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Entries that a worker keeps, in two generations: a full young table becomes the old one.
-MAX_STRINGS, MAX_WORDS = 250_000, 400_000
+MAX_STRINGS, MAX_WORDS = 160_000, 300_000
 
 #: Marks that pre-tokenisation takes as one further piece behind a word's letters.
 MARKS = ".,;:!?$%&#*"
@@ -114,14 +112,6 @@ class Encoder:
             known.update(zip(other, self._whole(other), strict=True))
 
 
-def _encoder(file: str) -> Encoder:
-    """The file's encoder, built once in each worker process."""
-    kept = sys.modules.setdefault("_tablesync_llm_kept", types.ModuleType("_tablesync_llm_kept"))
-    if getattr(kept, "encoder_file", None) != file:
-        kept.encoder, kept.encoder_file = Encoder(file), file
-    return kept.encoder
-
-
 # ---------------------------------------------------------------------------------- pieces
 def _cut(file, length: int, end_id: int, with_ids: bool):
     schema = pa.schema(
@@ -132,7 +122,7 @@ def _cut(file, length: int, end_id: int, with_ids: bool):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = _encoder(file.value), 0
+        encoder, row = worker_keeps(("encoder", file.value), lambda: Encoder(file.value)), 0
         for batch in batches:
             for part in _parts(batch):
                 rows = []

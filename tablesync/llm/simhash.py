@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, join_spread, saved, scattered, table
+from .common import components, join_spread, saved, table, worker_keeps
 
 #: Sub-grids that must agree. More make smaller cells and more of them: a choice of 2 among
 #: 6 gives 15 rows per fingerprint, 4 among 8 would give 70.
@@ -66,6 +66,7 @@ def fingerprints(text: str | Column, words: int) -> Column:
     """The fingerprint as a signed long."""
 
     def run(texts: pd.Series) -> pd.Series:
+        worker_keeps()  # nothing of an earlier stage
         return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
     return F.pandas_udf(run, "long")(text)
