@@ -24,20 +24,40 @@ from .vectors import in_blocks, matrix, usable
 #: Reference points, how many describe a vector, in how many lists it is entered, and how
 #: many a pair must share.
 PIVOTS, DESCRIBED_BY, ENTERED_IN, SHARED = 128, 12, 5, 4
+#: No two reference points have a cosine of this or more; candidates for them, and components of those in all.
+APART, CANDIDATES, COMPONENTS = 0.8, 4096, 1 << 20
 BLOCK_ROWS = 2048
 SIMILARITY = 0.93
 
 
 def choose_pivots(entries: DataFrame, pivots: int) -> dict[int, np.ndarray]:
-    """Reference points per vector length: the first ``pivots`` entries by a hash; bounded."""
+    """Reference points per vector length: entries in hashed order, less those near an earlier one; bounded.
+
+    A dense group gets one or a few of them whatever its share of the entries: among many
+    that are almost equally near, noise would rank them and true pairs would share too few.
+    With fewer than ``pivots`` points that far apart, there are fewer.
+    """
     found = {}
     for dim in [r[0] for r in entries.select("dim").distinct().collect()]:
-        rows = entries.where(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(pivots)
+        most = max(pivots, min(CANDIDATES, COMPONENTS // dim))
+        rows = entries.where(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(most)
         points = np.array([r["vector"] for r in rows.select("vector").collect()], dtype=np.float64)
-        found[dim] = points / np.linalg.norm(points, axis=1)[:, None]
+        found[dim] = _apart(points / np.linalg.norm(points, axis=1)[:, None], pivots)
     return found
 
 
+def _apart(points: np.ndarray, most: int) -> np.ndarray:
+    """The first ``most`` unit vectors that have a cosine below ``APART`` to all taken before them."""
+    taken, nearest = [], np.full(len(points), -np.inf)
+    for k in range(len(points)):
+        if nearest[k] < APART:
+            taken.append(k)
+            nearest = np.maximum(nearest, points @ points[k])
+            if len(taken) == most:
+                break
+    return points[taken]
+
+
 def _described(pivots: dict[int, np.ndarray], described_by: int):
     """Numbers of a vector's nearest pivots, nearest first."""
 

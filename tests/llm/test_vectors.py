@@ -131,6 +131,19 @@ def test_recall_of_the_lists(spark):
     assert all(g[1] <= w[1] for g, w in zip(got, want, strict=True))
 
 
+def test_a_third_of_the_vectors_in_one_dense_group(spark):
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(1500, 64))
+    v[:500] = v[0] + 0.25 * rng.normal(size=(500, 64))
+    v = v.astype("f4")
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    rows = [(i, x.tolist(), 0) for i, x in enumerate(v)]
+    links = {r.vec_id: r.n_links for r in pivots.near_vectors(spark.createDataFrame(rows, ROWS)).collect()}
+    got = np.array([links[i] for i in range(1500)])
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum() > 0
+
+
 def test_whole_table(spark):
     got = sorted(map(tuple, pivots.op10_pivots(spark, SF).collect()))
     assert got == brute_links(given(), 0.93)
