@@ -53,10 +53,12 @@ def training_text(
     text, so copies of a text count once and the table's order doesn't matter.
     """
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-    rows = rows.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, chars_per_row).alias("text"))
-    order = W.partitionBy("lang").orderBy("h", "text")
-    # A language may have any share of the rows: rank() <= n is cut in each task before the shuffle.
-    rows = rows.withColumn("n", F.rank().over(order)).where(F.col("n") <= rows_per_language).distinct()
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # Copies go before the count and in each task, by hash alone; row_number() <= n is cut in each task, too.
+    order = F.row_number().over(W.partitionBy("lang").orderBy("h"))
+    taken = rows.select("lang", "h").distinct().withColumn("n", order).where(F.col("n") <= rows_per_language)
+    rows = rows.join(F.broadcast(taken.select("lang", "h")), ["lang", "h"], "left_semi")
+    rows = rows.select("lang", "h", F.substring("text", 1, chars_per_row).alias("text")).distinct()
     found = rows.groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", "text"))), lambda x: x["text"]), " ").alias("text"))
     model = sorted((r["lang"], r["text"]) for r in found.collect())
     each = total_chars // max(1, len(model))

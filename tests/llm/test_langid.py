@@ -86,3 +86,12 @@ def test_only_other_rows_are_learnt_from(spark):
         assert (f"secret{i} " in model["en"]) == (i % 2 == 1 and zlib.crc32(str(i).encode()) % 5 != 0)
     small = langid.learn(spark.createDataFrame(rows, DOCS), rows_per_language=3, chars_per_row=4, total_chars=20)
     assert all(len(t) <= 10 for _, t in small)
+
+
+def test_copies_take_one_place_of_the_sample(spark):
+    texts = spark.createDataFrame([(f"word{i} of text{i}",) for i in range(200)], "text string")
+    hashed = [r.text for r in texts.orderBy(F.xxhash64("text")).collect()]
+    rows = [("en", t) for t in hashed] + [("en", hashed[0])] * 500 + [("de", hashed[3])] * 70 + [("de", "eins")]
+    model = dict(langid.training_text(spark.createDataFrame(rows, "lang string, text string")))
+    assert model["en"] == " ".join(hashed[:64])
+    assert sorted(model["de"].split()) == sorted(f"{hashed[3]} eins".split())
