@@ -8,8 +8,9 @@ better a language's text foretells another, the longer the matches and the fewer
 phrases. The language that needs the fewest phrases, normalised by the logarithm of its
 training text's length, wins.
 
-The automata are stored as transition tables, and many texts are parsed in step with one
-another by numpy: one array operation moves every text and language on by a character.
+The automata's transitions are kept in one hash table, whose size follows the length of the
+training text and not that of the alphabet. Many texts are parsed in step with one another
+by numpy: a few array operations move every text and language on by a character.
 Texts are parsed whole, in segments of ``SEGMENT`` letters and spaces that are side by side
 in those arrays; a phrase ends where a segment ends.
 
@@ -96,7 +97,11 @@ def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
 
 
 class Parser:
-    """Tables of all languages, and the parse."""
+    """The transitions of all languages in one hash table, and the parse.
+
+    State ``s`` goes on by symbol ``c`` if slot ``base[s] + c`` belongs to ``s``: each state
+    has a base for which its slots are its own, so one look tells.
+    """
 
     def __init__(self, model: list[tuple[str, str]]):
         self.langs = [lang for lang, _ in model]
@@ -106,31 +111,48 @@ class Parser:
         # Symbol 0: a character that no training text has.
         self.symbol = np.zeros(_CODES, np.uint16 if len(known) < 0xFFFF else np.int32)
         self.symbol[known] = np.arange(1, len(known) + 1)
-        self.width = len(known) + 1
-        tables, self.roots, at = [], [], 0
+        states, symbols, targets, self.roots, at = [], [], [], [], 0
         for text in folded:
-            rank = np.searchsorted(known, text) + 1
-            steps = suffix_automaton(rank)
-            root = np.zeros(self.width, np.int64)  # behind a phrase: the next one's first character
-            for c, to in steps[0].items():
-                root[c] = to
-            next_state = np.tile(root, (len(steps), 1))
-            ends = np.ones((len(steps), self.width), np.int64)
-            for state, out in enumerate(steps):
-                if out:
-                    cs = list(out)
-                    next_state[state, cs] = list(out.values())
-                    ends[state, cs] = 0
-            ends[0] = root == 0  # at the start no phrase is open: only an unknown character is one
-            # An entry holds where the next state's row begins, twice, and whether a phrase ended.
-            tables.append(((at + next_state * self.width) * 2 + ends).astype(np.int32).ravel())
+            steps = suffix_automaton(np.searchsorted(known, text) + 1)
+            states.append(np.repeat(np.arange(at, at + len(steps)), [len(out) for out in steps]))
+            symbols.append(np.array([c for out in steps for c in out], np.int64))
+            targets.append(np.array([at + to for out in steps for to in out.values()], np.int64))
             self.roots.append(at)
-            at += next_state.size
-        if at * 2 > np.iinfo(np.int32).max:
-            raise ValueError("the training text is too long for the tables; lower total_chars")
-        self.table = np.concatenate(tables) if tables else np.zeros(1, np.int32)
+            at += len(steps)
+        if folded:
+            states, symbols, targets = np.concatenate(states), np.concatenate(symbols), np.concatenate(targets)
+            self._place(at, states, symbols, targets, len(known) + 1)
         self.scale = np.array([np.log2(max(2, len(t))) for t in folded])
 
+    def _place(self, n: int, states: np.ndarray, symbols: np.ndarray, targets: np.ndarray, width: int) -> None:
+        """Bases by trial, those with many transitions first; the table grows if that takes too long."""
+        slots = 1 << int(max(4 * len(states), width) - 1).bit_length()
+        while not self._placed(n, states, symbols, targets, slots):
+            slots *= 2
+
+    def _placed(self, n: int, states: np.ndarray, symbols: np.ndarray, targets: np.ndarray, slots: int) -> bool:
+        draw = np.random.default_rng(0)
+        self.mask = np.int32(slots - 1)
+        self.base, self.to = np.zeros(n, np.int32), np.zeros(slots, np.int32)
+        self.owner, claim = np.full(slots, -1, np.int32), np.empty(slots, np.int32)
+        size = np.frexp(np.bincount(states, minlength=n))[1][states]
+        for k in range(size.max(initial=0), 0, -1):
+            left = np.flatnonzero(size == k)
+            for _ in range(200):
+                if not len(left):
+                    break
+                s = states[left]  # in order, so a state's transitions are side by side
+                group = np.cumsum(np.diff(s, prepend=s[0]) != 0)
+                self.base[s] = draw.integers(0, slots, group[-1] + 1)[group]
+                at = (self.base[s] + symbols[left]) & self.mask
+                claim[at] = s
+                good = (np.bincount(group, (self.owner[at] >= 0) | (claim[at] != s)) == 0)[group]
+                self.owner[at[good]], self.to[at[good]] = s[good], targets[left[good]]
+                left = left[~good]
+            if len(left):
+                return False
+        return True
+
     def _letters(self, text: str) -> np.ndarray:
         """Letters in lower case; whatever stands between them becomes one space."""
         folded = self.fold[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -170,9 +192,16 @@ class Parser:
         found = np.zeros(state.shape, np.int32)
         alive = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # pieces longer than t
         for t, n in enumerate(alive.tolist()):
-            entry = self.table.take(state[:, :n] + grid[t, :n])
-            found[:, :n] += entry & 1
-            state[:, :n] = entry >> 1
+            old, symbols = state[:, :n], grid[t, :n].astype(np.int32)
+            at = (self.base.take(old) + symbols) & self.mask
+            new, miss = self.to.take(at), self.owner.take(at) != old
+            found[:, :n] += miss
+            # A phrase ended; the next one begins with this character, if the language has it.
+            lang, lane = np.nonzero(miss)
+            root = roots[lang, 0]
+            at = (self.base[root] + symbols[lane]) & self.mask
+            new[lang, lane] = np.where(self.owner[at] == root, self.to[at], root)
+            state[:, :n] = new
         found += state != roots  # the phrase that was open at the end
         np.add.at(counts, np.asarray(owners)[order], found.T)
 

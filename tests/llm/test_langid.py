@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -95,3 +96,16 @@ def test_copies_take_one_place_of_the_sample(spark):
     model = dict(langid.training_text(spark.createDataFrame(rows, "lang string, text string")))
     assert model["en"] == " ".join(hashed[:64])
     assert sorted(model["de"].split()) == sorted(f"{hashed[3]} eins".split())
+
+
+def test_memory_follows_the_text_whatever_the_alphabet():
+    rng = np.random.default_rng(3)
+    wide = "".join(map(chr, rng.integers(0x4E00, 0x4E00 + 3300, 6000)))
+    model = [("zh", wide)] + [(f"l{k}", "".join(rng.choice(list("abcdefgh "), 6000))) for k in range(4)]
+    tracemalloc.start()
+    parser = langid.Parser(model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    texts = [wide[70:300] + "abc", model[2][1][:400], "abba 日本 cab", wide[9:40:3], "xyz"]
+    assert parser.phrases(texts).tolist() == [[brute(t, x, langid.SEGMENT) for _, t in model] for x in texts]
