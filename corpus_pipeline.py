@@ -14,8 +14,10 @@ from tablesync.llm.common import saved, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language that the model knows go: those without text or letters."""
+    """Documents in no language go: those without text or letters, also where there is no language to learn."""
     model = langid.learn(docs)
+    if not model:
+        return docs.where(langid.has_letters("text"))
     found = langid.identify(docs, model)
     return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 

@@ -234,12 +234,25 @@ def best(parser: Parser, counts: np.ndarray) -> tuple[list[str | None], np.ndarr
     return [parser.langs[i] for i in first], 1 - least / np.maximum(cost.min(axis=1), 1e-12)
 
 
+def _letters_in(text: str | None) -> bool:
+    return text is not None and any(map(str.isalpha, text))
+
+
+def has_letters(text: str) -> Column:
+    """True where ``identify`` looks for a language; false for null."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(_letters_in).astype(bool)
+
+    return F.pandas_udf(run, "boolean")(text)
+
+
 def _predict(model: list[tuple[str, str]]):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         parser = worker_keeps(("languages", *model), lambda: Parser(model))
         for texts in batches:
             langs, scores = np.full(len(texts), UNDETERMINED, object), np.zeros(len(texts))
-            use = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
+            use = np.flatnonzero([_letters_in(t) for t in texts]).tolist()
             if use and parser.langs:
                 counts = parser.phrases([texts.iloc[i] for i in use])
                 langs[use], scores[use] = best(parser, counts)

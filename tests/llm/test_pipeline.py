@@ -57,3 +57,13 @@ def test_odd_and_empty_documents(spark, tmp_path):
     sf = write_tables(spark, tmp_path / "a", documents=spark.createDataFrame(docs, DOCS))
     assert {r.doc_id for r in cp.run(spark, sf).collect()} <= {None, 4, 5}
     assert cp.run(spark, write_tables(spark, tmp_path / "b")).count() == 0
+
+
+def test_documents_without_any_label_stay(spark, tmp_path):
+    docs = [(i, f"document{i} has words{i} and letters{i} of its{i} own{i}", None, "s", 0) for i in range(20)]
+    docs += [(20, None, None, "s", 0), (21, "", None, "s", 0), (22, "99 !", None, "s", 0), (None, "日本 words", None, "s", 0)]
+    sf = write_tables(spark, tmp_path, documents=spark.createDataFrame(docs, DOCS))
+    first = cp.language_id(spark, table(spark, sf, "documents"), sf)
+    assert first.columns == table(spark, sf, "documents").columns
+    assert {r.doc_id for r in first.collect()} == {*range(20), None}
+    assert {r.doc_id for r in cp.run(spark, sf).collect()} == {*range(20), None}
