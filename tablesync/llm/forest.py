@@ -86,8 +86,13 @@ class Forest:
         return begin, np.where(empty, begin, end)
 
     def nearest(self, queries: np.ndarray, enough: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (query, row): for each query the ``most`` best rows of each tree's stretch, distinct."""
+        """Pairs (query, row): for each query the ``most`` best rows of each tree's stretch, distinct.
+
+        Where more rows tie for the last place, the first ``most`` of those rows come, too.
+        """
         begin, end = self.stretches(queries, enough, most)
+        # Equal products may differ by this much in a matrix product.
+        slack = 1e-12 * np.linalg.norm(queries, axis=1) * np.linalg.norm(self.vectors, axis=1).max(initial=0.0)
         found = []
         for t, order in enumerate(self.order):
             vectors = self.vectors[order]
@@ -101,6 +106,10 @@ class Forest:
                     scores = queries[part] @ vectors[a:b].T
                     if b - a > most:
                         best = np.argpartition(-scores, most - 1, axis=1)[:, :most]
+                        last, off = np.take_along_axis(scores, best[:, -1:], axis=1), slack[part, None]
+                        for i in np.flatnonzero((scores >= last - off).sum(axis=1) > most):
+                            ties = np.sort(order[a + np.flatnonzero(np.abs(scores[i] - last[i]) <= off[i])])[:most]
+                            found.append(np.stack([np.full(len(ties), part[i]), ties]))
                     else:
                         best = np.broadcast_to(np.arange(b - a), scores.shape)
                     found.append(np.stack([np.repeat(part, best.shape[1]), order[a + best].ravel()]))
@@ -112,6 +121,7 @@ def _search(most: int, share: float, trees: int, bits: int, longest: float) -> C
     def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or queries.empty:
             return pd.DataFrame({"q": pd.Series(dtype=str), "c": pd.Series(dtype=str), "score": pd.Series(dtype=float)})
+        rows = rows.sort_values("least", kind="stable")  # the first of tied rows have the smallest ids
         v, q = matrix(rows["vector"]), matrix(queries["q_vector"])
         forest = Forest(v, trees, bits, longest=longest)
         # A few more than asked for, as sums in another order may tie otherwise; then exactly.

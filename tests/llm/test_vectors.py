@@ -52,6 +52,18 @@ def test_all_rows_are_found_if_the_ascent_goes_to_the_top(spark):
     assert found == {q: [i for i, _ in x] for q, x in want.items()}
 
 
+def test_ties_go_to_the_smaller_ids(spark):
+    rng = np.random.default_rng(7)
+    v = np.unique(rng.integers(0, 2, size=(900, 12)), axis=0)
+    v = rng.permutation(v[v.any(axis=1)])
+    rows = [(i, x.astype("f4").tolist(), 0) for i, x in enumerate(v)]
+    got = forest.nearest_neighbours(spark.createDataFrame(rows, ROWS), F.col("vec_id") % 10 == 0, k=5, share=1e9, trees=3)
+    found = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    assert found == {q: [i for i, _ in x] for q, x in brute_nearest(rows, 5, 10).items()}
+
+
 def test_stretches_are_longest_prefixes():
     rng = np.random.default_rng(4)
     f = forest.Forest(rng.normal(size=(200, 6)), trees=4, bits=12)
