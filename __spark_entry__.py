@@ -36,8 +36,10 @@ from tablesync import (  # noqa: E402
     FixedClock,
     MessageSink,
     Notify,
+    PathTarget,
     Replication,
     SliceSpec,
+    UnfilteredRead,
     read_slice,
     relay_files,
     replicate,
@@ -238,6 +240,93 @@ def q_append_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.lineitem").select("l_orderkey", "l_linenumber", DAY, "l_tax")
 
 
+def q_append_path_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is a path: its schema lies beside it and widens without a catalog."""
+    path = f"{shared_root(spark)}/targets/{fresh_database(spark)}"
+    src = _standin(spark, sf_dir, "events")
+    load = lambda t: src.drop("props")
+    replicate(_job(spark, "", ["events"], "0000-01-01", load, target_path=path), raise_on_fail=True)
+    replicate_and_notify(_job(spark, "", ["events"], "2024-01-15", lambda t: src, target_path=path), raise_on_fail=True)
+    target = PathTarget(spark, f"{path}/events", DAY, YEAR)
+    return target.read(SliceSpec.history().target_filter(DAY, YEAR)).select("event_id", DAY, "props")
+
+
+def q_replace_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An open slice into a path, whose stale day is dropped; the target was created empty first."""
+    path = f"{shared_root(spark)}/targets/{fresh_database(spark)}"
+    src = _standin(spark, sf_dir, "events", null_every=("event_id", 7))
+    run = lambda date, rows: replicate_and_notify(_job(spark, "", ["events"], date, lambda t: rows, target_path=path), raise_on_fail=True)
+    run("2099-01-01", src)
+    target = PathTarget(spark, f"{path}/events", DAY, YEAR)
+    empty = target.count(SliceSpec.history().target_filter(DAY, YEAR))
+    stale = src.where(F.col(DAY) == F.lit("2024-01-20").cast("date")).withColumns({DAY: F.lit("2098-01-01").cast("date"), YEAR: F.lit(2098)})
+    target.append(src.unionByName(stale).withColumn("value", F.lit(-1.0)))
+    run("2024-01-20", src)
+    whole = target.read(F.col(YEAR) > 0)  # the NULL days, too
+    return whole.select("event_id", DAY, "value").withColumn("empty_count", F.lit(empty))
+
+
+def q_replace_stopped_then_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replace that stops between its commit and the drop of stale days; the next run has an empty slice."""
+
+    class Stops(DayTarget):
+        def _drop(self, partitions):
+            raise InterruptedError
+
+    db = fresh_database(spark)
+    src = _standin(spark, sf_dir, "events")
+    spec = SliceSpec.from_date("2024-01-10")
+    _preload(spark, db, "events", src.withColumn("value", F.lit(-1.0)))
+    sliced = read_slice(src, spec, DAY, YEAR).where(F.dayofmonth(DAY) % 2 == 1)
+    try:
+        Stops(spark, f"{db}.events", DAY, YEAR).replace(sliced, spec.replace_predicate(DAY))
+    except InterruptedError:
+        pass
+    replicate_and_notify(_job(spark, db, ["events"], "2099-01-01", lambda t: src), raise_on_fail=True)
+    return spark.table(f"{db}.events").select("event_id", DAY, "value")
+
+
+def q_target_filter_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of a target that requires a partition filter: refused, or counted."""
+    db = fresh_database(spark)
+    src = _standin(spark, sf_dir, "events")
+    _preload(spark, db, "events", src)
+    target = DayTarget(spark, f"{db}.events", DAY, YEAR)
+    day = F.col(DAY) == F.lit("2024-01-15").cast("date")
+    asked = {
+        "all": F.lit(True),
+        "data column": F.col("event_id") % 2 == 0,
+        "any day": F.col(DAY).isNotNull(),
+        "day or data": day | (F.col("event_id") % 2 == 0),
+        "day": day,
+        "day and data": day & (F.col("event_id") % 2 == 0),
+        "year": F.col(YEAR) == 2024,
+        "from": SliceSpec.from_date("2024-01-20").target_filter(DAY, YEAR),
+        "nothing": F.lit(False),
+    }
+
+    def answer(predicate: Column) -> str:
+        try:
+            return target.count(predicate)
+        except UnfilteredRead:
+            return "refused"
+
+    return spark.createDataFrame([(name, answer(p)) for name, p in asked.items()], "asked string, answer string")
+
+
+def q_recount_together(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many tables, one missing and one loaded before, re-counted in one job."""
+    db = fresh_database(spark)
+    loads = {f"{t}_{k}": _standin(spark, sf_dir, t) for t in ("events", "orders") for k in range(3)}
+    loads["part"] = _read(spark, sf_dir, "part").withColumns({DAY: F.lit(None).cast("date"), YEAR: F.lit(None).cast("int")})
+    for name, rows in loads.items():
+        if name.startswith("orders"):
+            loads[name] = rows.where(F.year(DAY) == 1997)
+    _preload(spark, db, "events_1", loads["events_1"])
+    tables = [*loads, "no_such_table"]
+    return _counts(replicate(_job(spark, db, tables, "0000-01-01", loads.__getitem__, parallelism=4, recount="together")))
+
+
 def q_append_dotted_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     db = fresh_database(spark)
     src = _standin(spark, sf_dir, "events").withColumn("user.id", F.col("user_id"))
@@ -562,6 +651,11 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_list": q_split_list,
         "append_twice": q_append_twice,
         "append_new_column": q_append_new_column,
+        "append_path_new_column": q_append_path_new_column,
+        "replace_from_path": q_replace_from_path,
+        "replace_stopped_then_empty": q_replace_stopped_then_empty,
+        "target_filter_required": q_target_filter_required,
+        "recount_together": q_recount_together,
         "nested_passthrough": q_nested_passthrough,
         "empty_slice_keeps_target": q_empty_slice_keeps_target,
         "created_target_columns": q_created_target_columns,
@@ -640,6 +734,23 @@ def _own_oracle_sql() -> dict[str, str]:
         "'Pass' AS first_result, 'Fail' AS second_result FROM events GROUP BY 1",
         "append_new_column": "SELECT l_orderkey, l_linenumber, cda_dt, "
         f"CASE WHEN cda_dt >= DATE '1998-06-15' THEN l_tax END AS l_tax FROM {_SRC} s",
+        "append_path_new_column": "SELECT event_id, CAST(ts AS DATE) AS cda_dt, "
+        "CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-15' THEN props END AS props FROM events",
+        "replace_from_path": "SELECT event_id, cda_dt, CASE WHEN coalesce(cda_dt >= DATE '2024-01-20', false) THEN value ELSE -1.0 END AS value, "
+        f"'0' AS empty_count FROM {_EV_NULLS} s",
+        "replace_stopped_then_empty": "SELECT event_id, CAST(ts AS DATE) AS cda_dt, CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-10' THEN value ELSE -1.0 END AS value "
+        "FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-10' OR day(ts) % 2 = 1",
+        "target_filter_required": "WITH e AS (SELECT event_id, CAST(ts AS DATE) AS d FROM events) "
+        "SELECT * FROM (VALUES ('all', 'refused'), ('data column', 'refused'), ('any day', 'refused'), ('day or data', 'refused')) t(asked, answer) "
+        "UNION ALL SELECT 'day', count(*)::VARCHAR FROM e WHERE d = DATE '2024-01-15' "
+        "UNION ALL SELECT 'day and data', count(*)::VARCHAR FROM e WHERE d = DATE '2024-01-15' AND event_id % 2 = 0 "
+        "UNION ALL SELECT 'year', count(*)::VARCHAR FROM e WHERE year(d) = 2024 "
+        "UNION ALL SELECT 'from', count(*)::VARCHAR FROM e WHERE d >= DATE '2024-01-20' UNION ALL SELECT 'nothing', '0'",
+        "recount_together": "WITH e AS (SELECT count(*) AS n FROM events), o AS (SELECT count(*) AS n FROM orders WHERE year(o_orderdate) = 1997) "
+        "SELECT 'events_' || k AS table_name, n::VARCHAR AS source_row_count, (CASE WHEN k = 1 THEN 2 * n ELSE n END)::VARCHAR AS destination_row_count, "
+        "CASE WHEN k = 1 THEN 'Fail' ELSE 'Pass' END AS count_result FROM e, range(3) r(k) "
+        "UNION ALL SELECT 'orders_' || k, n::VARCHAR, n::VARCHAR, 'Pass' FROM o, range(3) r(k) "
+        "UNION ALL SELECT 'part', '0', '0', 'Pass' UNION ALL SELECT 'no_such_table', '0', '0', 'Fail'",
         "nested_passthrough": "SELECT vec_id, CAST(pos AS INTEGER) AS pos, CAST(embedding[pos] AS DOUBLE) AS val "
         "FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS pos FROM embeddings "
         "WHERE label IS NOT NULL) e",

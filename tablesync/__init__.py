@@ -5,7 +5,9 @@ from tablesync.functions.dates import Clock, FixedClock, date_key
 from tablesync.functions.message import status_messages, utf8_payload
 from tablesync.functions.runtime import runtime_text
 from tablesync.functions.status import pass_fail
+from tablesync.operators.path_target import PathTarget
 from tablesync.operators.predicates import SliceSpec, survivors
+from tablesync.operators.pruning import UnfilteredRead
 from tablesync.operators.report import REPORT_SCHEMA, ReportRow, append_process_report, append_report, process_rows, report_frame
 from tablesync.operators.target import DayTarget, WriteResult
 from tablesync.plans.notify import lookup_all, lookup_control
@@ -27,11 +29,13 @@ __all__ = [
     "FixedClock",
     "MessageSink",
     "Notify",
+    "PathTarget",
     "Replication",
     "ReplicationFailed",
     "ReportRow",
     "RunMode",
     "SliceSpec",
+    "UnfilteredRead",
     "WriteResult",
     "append_process_report",
     "append_report",

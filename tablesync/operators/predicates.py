@@ -18,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tablesync.functions.dates import HISTORY_DATE, HISTORY_TARGET_FLOOR, date_lit, year_of
+from tablesync.session import quote_name
 
 DEFAULT_YEAR_COLUMN = "cda_year"
 
@@ -68,7 +69,7 @@ class SliceSpec:
         The day form has no year test (the delete matches the day in any year
         partition), unlike the day filter used for copying and counting.
         """
-        pc = F.col(day_column)
+        pc = F.col(quote_name(day_column))
         if self.kind == "day":
             return pc == date_lit(self.date)
         if self.kind == "from":
@@ -76,11 +77,11 @@ class SliceSpec:
         return None
 
     def _filter(self, day_column: str, year_column: str | None, history_floor: str) -> Column:
-        pc = F.col(day_column)
+        pc = F.col(quote_name(day_column))
         if self.kind == "day":
             pred = pc == date_lit(self.date)
             if year_column:
-                pred = (F.col(year_column) == F.lit(year_of(self.date))) & pred
+                pred = (F.col(quote_name(year_column)) == F.lit(year_of(self.date))) & pred
             return pred
         if self.kind == "from":
             return pc >= date_lit(self.date)

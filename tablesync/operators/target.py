@@ -9,11 +9,15 @@ the partitions of the slice, never the whole table:
   present in the slice are swapped, as one commit per write job; a day's replace
   names its year, so only that year's partitions are listed;
 * days that the predicate covers but the new slice lacks (T18) are dropped
-  afterwards with ``ALTER TABLE .. DROP PARTITION`` - a metadata operation;
+  afterwards with ``ALTER TABLE .. DROP PARTITION`` - a metadata operation. They are
+  noted before the overwrite and found by an anti-join with the partitions that the
+  write filled, so a run that stops in between is finished by the next one, and no
+  list of partitions is held on the driver;
+* a table made here requires a partition filter of whoever reads it through the target;
 * rows with a NULL day live in the default partition and are never matched by a
   predicate, so they survive every replace (T1);
-* the row count and the written partitions come from an ``Observation`` on the
-  write itself: one pass over the source instead of a count and a write (T14).
+* the row count comes from an ``Observation`` on the write itself: one pass over the
+  source instead of a count and a write (T14).
 
 The observation sits in the result stage of the write job: above the
 ``rebalance`` shuffle when there is one, in the only stage when the slice is
@@ -26,30 +30,38 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.status import count_text
+from tablesync.operators.pending import Note, Notes
 from tablesync.operators.predicates import DEFAULT_YEAR_COLUMN
+from tablesync.operators.pruning import require_partition_filter
 from tablesync.session import dynamic_session, quote_ident, quote_name, sql_string
-from tablesync.sources.catalog import describe_table, table_exists
+from tablesync.sources.catalog import TableInfo, describe_table, table_exists
 
 DEFAULT_PARTITION_NAME = "__HIVE_DEFAULT_PARTITION__"
-DROP_SPECS_PER_STATEMENT = 200
+#: Partitions in a drop statement, which are all that the driver holds of the stale ones.
+DROP_SPECS_PER_STATEMENT = 500
+#: Dropped partitions that a result names; it counts all.
+NAMED_DROPS = 1000
+#: Table property: reads need a filter on the partition columns.
+FILTER_PROPERTY = "tablesync.require.partition.filter"
 AQE_KEY = "spark.sql.adaptive.enabled"
 SPLIT_KEY = "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled"
 
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What one observed write wrote."""
+    """What one observed write wrote, and how many stale partitions went (the first of them by name)."""
 
     rows: int
-    partitions: frozenset = field(default_factory=frozenset)
     dropped: tuple = ()
+    dropped_count: int = 0
 
 
 def ddl_type(data_type: T.DataType) -> str:
@@ -95,6 +107,9 @@ class DayTarget:
     partition, splitting hot days over several tasks, so a day is written as few
     files of a sensible size whatever the source layout; switch it off when the
     source is already partitioned by day and the extra shuffle is not wanted.
+    ``require_filter`` marks a newly created table: ``read`` and ``count`` of it then
+    refuse a predicate that prunes no partition, before any job starts. The mark is a
+    property of the table, so it holds for every later target on it.
     """
 
     def __init__(
@@ -105,6 +120,7 @@ class DayTarget:
         year_column: str | None = DEFAULT_YEAR_COLUMN,
         format: str = "parquet",
         rebalance: bool = True,
+        require_filter: bool = True,
     ):
         self.spark = spark
         self.table = table
@@ -112,7 +128,8 @@ class DayTarget:
         self.year_column = year_column
         self.format = format
         self.rebalance = rebalance
-        self._info: tuple[list[str], str] | None = None  # (partition columns, storage properties)
+        self.require_filter = require_filter
+        self._info: TableInfo | None = None
 
     # ------------------------------------------------------------------ metadata
     def exists(self) -> bool:
@@ -122,15 +139,25 @@ class DayTarget:
     def schema(self) -> T.StructType:
         return self.spark.table(self.table).schema
 
-    def _describe(self) -> tuple[list[str], str]:
-        """Partition columns and storage properties, read once per target
-        (neither can change while the table exists)."""
+    def _describe(self) -> TableInfo:
+        """Partition columns, properties and location, read once per target
+        (none can change while the table exists)."""
         if self._info is None:
             self._info = describe_table(self.spark, self.table)
         return self._info
 
     def partition_columns(self) -> list[str]:
-        return list(self._describe()[0])
+        return list(self._describe().partition_columns)
+
+    def location(self) -> str:
+        return self._describe().location
+
+    def filter_required(self) -> bool:
+        """Whether the table demands a partition filter of its readers."""
+        return f"{FILTER_PROPERTY}=true" in self._describe().properties
+
+    def _notes(self) -> Notes:
+        return Notes(self.spark, self.location())
 
     def _partition_columns_for(self, schema: T.StructType) -> list[str]:
         names = schema.fieldNames()
@@ -158,7 +185,8 @@ class DayTarget:
         parts = ", ".join(quote_name(c) for c in pcols)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {quote_ident(self.table)} ({cols}) USING {self.format} "
-            f"PARTITIONED BY ({parts}) OPTIONS ('partitionOverwriteMode' = 'dynamic')"
+            f"PARTITIONED BY ({parts}) OPTIONS ('partitionOverwriteMode' = 'dynamic') "
+            f"TBLPROPERTIES ('{FILTER_PROPERTY}' = '{str(self.require_filter).lower()}')"
         )
         return True
 
@@ -199,7 +227,7 @@ class DayTarget:
     # ------------------------------------------------------------------ writes
     def _declares_dynamic_overwrite(self) -> bool:
         """Whether the table itself carries the dynamic overwrite option (ours do)."""
-        return "partitionOverwriteMode=dynamic" in self._describe()[1]
+        return "partitionOverwriteMode=dynamic" in self._describe().storage
 
     def _layout(self, df: DataFrame, pcols: list[str], one_day: bool = False) -> DataFrame:
         """Rebalance the write when AQE can keep its partitions to a sensible size.
@@ -226,18 +254,18 @@ class DayTarget:
         aligned = self._layout(aligned, pcols, one_day)
         obs = Observation()
         metrics = [F.count(F.lit(1)).alias("rows")]
+        self._insert(aligned, obs, metrics, pcols, overwrite, year)
+        return WriteResult(rows=_metric(obs, "rows"))
+
+    def _insert(self, df: DataFrame, obs: Observation, metrics: list[Column], pcols: list[str], overwrite: bool, year: int | None) -> None:
         if not overwrite:
-            aligned.observe(obs, *metrics).write.insertInto(self.table)
-            return WriteResult(rows=_metric(obs, "rows"))
-        # Bounded by the number of days in the slice, not by its rows.
-        metrics.append(F.collect_set(F.struct(*[F.col(quote_name(c)) for c in pcols])).alias("parts"))
-        if not self._declares_dynamic_overwrite():
-            self._overwrite_elsewhere(aligned, obs, metrics)
+            df.observe(obs, *metrics).write.insertInto(self.table)
+        elif not self._declares_dynamic_overwrite():
+            self._overwrite_elsewhere(df, obs, metrics)
         elif year is not None and len(pcols) == 2 and _find(pcols, self.year_column or "") == pcols[0]:
-            self._overwrite_in_year(aligned.observe(obs, *metrics), pcols, year)
+            self._overwrite_in_year(df.observe(obs, *metrics), pcols, year)
         else:
-            aligned.observe(obs, *metrics).write.insertInto(self.table, overwrite=True)
-        return WriteResult(rows=_metric(obs, "rows"), partitions=frozenset(tuple(p) for p in _metric(obs, "parts")))
+            df.observe(obs, *metrics).write.insertInto(self.table, overwrite=True)
 
     def _overwrite_elsewhere(self, df: DataFrame, obs: Observation, metrics: list[Column]) -> None:
         """Dynamic overwrite of a table that does not declare the mode itself.
@@ -272,19 +300,45 @@ class DayTarget:
         """K2 / K3: afterwards the target holds ``df`` where ``predicate`` is TRUE,
         and its old rows everywhere else.
 
-        An empty slice changes nothing (T3). The table must be partitioned by the
-        day column; ``predicate`` may only use partition columns. ``day`` (ISO
+        An empty slice changes nothing (T3), but what an earlier run left undone is
+        finished first. The table must be partitioned by the day column;
+        ``predicate`` may only use partition columns. ``day`` (ISO
         date) says the predicate covers that one day, so only that day's
         partitions are listed from the catalog instead of all of them; ``year`` says
         that all rows of ``df`` have that year, so the write lists that year's only.
         """
-        if self.exists() and _find(self.partition_columns(), self.day_column) is None:
-            raise ValueError(f"target {self.table} is not partitioned by {self.day_column}")
-        result = self._observed_write(self._inside(df, predicate, year), overwrite=True, one_day=day is not None, year=year)
+        note = None
+        if self.exists():
+            if _find(self.partition_columns(), self.day_column) is None:
+                raise ValueError(f"target {self.table} is not partitioned by {self.day_column}")
+            self.finish_pending()
+            if (open_ones := self._not_surely_filled(predicate, day, year)) is not None:
+                note = self._notes().open(open_ones)
+        try:
+            result = self._observed_write(self._inside(df, predicate, year), overwrite=True, one_day=day is not None, year=year)
+        except BaseException:
+            if note is not None:
+                self._notes().close(note)  # a failed write has replaced nothing
+            raise
+        if note is None:
+            return result
+        notes = self._notes()
         if result.rows == 0:
+            notes.close(note)
             return result
-        dropped = self._drop_stale(predicate, result.partitions, day)
-        return WriteResult(result.rows, result.partitions, dropped)
+        notes.commit(note)
+        dropped, n = self._drop_stale(notes, note)
+        notes.close(note)
+        notes.forget_uncommitted()
+        return WriteResult(result.rows, dropped, n)
+
+    def finish_pending(self) -> int:
+        """Drop what a replace that stopped after its commit had still to drop; the number of partitions."""
+        notes, n = self._notes(), 0
+        for note in notes.committed():
+            n += self._drop_stale(notes, note)[1]
+            notes.close(note)
+        return n
 
     def _inside(self, df: DataFrame, predicate: Column, year: int | None) -> DataFrame:
         """Fail the write (before anything is committed) on a row outside the range.
@@ -320,38 +374,84 @@ class DayTarget:
             spec = f" PARTITION ({quote_name(_find(pcols, self.day_column))} = {sql_string(day)})"
         return self.spark.sql(f"SHOW PARTITIONS {quote_ident(self.table)}{spec}").select(*cols)
 
-    def _drop_stale(self, predicate: Column, written: frozenset, day: str | None = None) -> tuple:
-        """Drop partitions the predicate covers that this write did not fill."""
+    def _not_surely_filled(self, predicate: Column, day: str | None, year: int | None) -> DataFrame | None:
+        """Partitions in the replaced range that the slice may leave unfilled; None if there can be none.
+
+        Rows of one day and a known year fill one partition, which needs no note.
+        """
         pcols = self.partition_columns()
+        its_day, its_year = _find(pcols, self.day_column), _find(pcols, self.year_column or "")
+        if day is not None and pcols == [its_day]:
+            return None
+        found = self._partition_frame(day).where(predicate)
+        if day is not None and year is not None and sorted(pcols) == sorted([its_day, its_year or ""]):
+            found = found.where(~F.col(quote_name(its_year)).eqNullSafe(F.lit(int(year))))
+        return found
 
-        def found() -> list[tuple]:
-            return [r for r in map(tuple, self._partition_frame(day).where(predicate).collect()) if r not in written]
+    def _filled(self, note: Note) -> DataFrame:
+        """Partitions among the noted days that have files younger than the note."""
+        pcols = self.partition_columns()
+        day = quote_name(_find(pcols, self.day_column))
+        low, high = note.partitions.agg(F.min(day), F.max(day)).first()
+        rows = self._frame()
+        if low is not None:
+            rows = rows.where(F.col(day).between(F.lit(low), F.lit(high)))
+        young = F.col("_metadata.file_modification_time") >= F.timestamp_millis(F.lit(note.since))
+        return rows.where(young).select(*[F.col(quote_name(c)) for c in pcols]).distinct()
+
+    def _drop_stale(self, notes: Notes, note: Note) -> tuple[tuple, int]:
+        """Drop the noted partitions that the write did not fill, a statement's worth at a time."""
+        pcols = self.partition_columns()
+        stale = notes.stale(note, self._filled(note), pcols)
+        named, n, chunk = [], 0, []
+        for row in stale.toLocalIterator():
+            if n < NAMED_DROPS:
+                named.append(tuple(row[c] for c in pcols))
+            n += 1
+            chunk.append(row)
+            if len(chunk) == DROP_SPECS_PER_STATEMENT:
+                self._drop(chunk)
+                chunk = []
+        if chunk:
+            self._drop(chunk)
+        if n:
+            self._check_dropped(stale, pcols)
+        return tuple(named), n
+
+    def _drop(self, partitions: Iterable[Row]) -> None:
+        pcols = self.partition_columns()
+        specs = (", ".join(f"{quote_name(c)}={_literal(row[c])}" for c in pcols) for row in partitions)
+        chunk = ", ".join(f"PARTITION ({spec})" for spec in specs)
+        self.spark.sql(f"ALTER TABLE {quote_ident(self.table)} DROP IF EXISTS {chunk}")
 
-        stale = found()
-        if not stale:
-            return ()
-        specs = [", ".join(f"{quote_name(c)}={_literal(v)}" for c, v in zip(pcols, values, strict=True)) for values in stale]
-        for i in range(0, len(specs), DROP_SPECS_PER_STATEMENT):
-            chunk = ", ".join(f"PARTITION ({spec})" for spec in specs[i : i + DROP_SPECS_PER_STATEMENT])
-            self.spark.sql(f"ALTER TABLE {quote_ident(self.table)} DROP IF EXISTS {chunk}")
+    def _check_dropped(self, stale: DataFrame, pcols: list[str]) -> None:
         self.spark.catalog.refreshTable(self.table)
-        if left := found():
-            raise RuntimeError(f"partitions of {self.table} could not be dropped: {left}")
-        return tuple(stale)
+        left = stale.select(*[quote_name(c) for c in pcols]).intersect(self._partition_frame().select(*[quote_name(c) for c in pcols]))
+        if still := left.take(5):
+            raise RuntimeError(f"partitions of {self.table} could not be dropped: {[tuple(r) for r in still]}")
 
     # ------------------------------------------------------------------ reads
+    def _frame(self) -> DataFrame:
+        """The whole target, unchecked."""
+        return self.spark.table(self.table)
+
+    def _checked(self, df: DataFrame) -> DataFrame:
+        return require_partition_filter(df, self.table) if self.filter_required() else df
+
     def read(self, predicate: Column) -> DataFrame:
-        """Rows of the target under a required partition filter."""
-        return self.spark.table(self.table).where(predicate)
+        """Rows of the target under a required partition filter (K1).
+
+        Raises ``UnfilteredRead`` before any job if the table requires a filter and the plan
+        of the read prunes no partition.
+        """
+        return self._checked(self._frame().where(predicate))
 
     def count_frame(self, predicate: Column) -> DataFrame:
         """S5 / A2 as a one-row frame ``size string``; NULL when the table is missing."""
         if not self.exists():
             return self.spark.range(1).select(F.lit(None).cast("string").alias("size"))
-        return self.read(predicate).agg(count_text(F.count(F.lit(1))).alias("size"))
+        return self._checked(self._frame().where(predicate).agg(count_text(F.count(F.lit(1))).alias("size")))
 
     def count(self, predicate: Column) -> str | None:
         """The count as text, ``None`` when the table is missing."""
-        if not self.exists():
-            return None
-        return str(self.read(predicate).count())
+        return self.count_frame(predicate).collect()[0]["size"]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tablesync.functions.text import split_list
 from tablesync.plans.relay import relay_files
-from tablesync.plans.replicate import Notify, Replication, replicate, replicate_and_notify
+from tablesync.plans.replicate import EACH, Notify, Replication, replicate, replicate_and_notify
 from tablesync.plans.runmode import resolve_run_mode
 from tablesync.plans.sizes import catalog_size_report, size_total
 from tablesync.sources.catalog import list_tables
@@ -55,7 +55,7 @@ def replication_from_conf(spark: SparkSession) -> Replication:
     return Replication(
         spark,
         tables=list_tables(spark, source_db, s.require("tables")),
-        target_database=s.require("target.database"),
+        target_database=s.get("target.database", "") if s.get("target.path") else s.require("target.database"),
         day_column=s.require("day.column"),
         run_mode=resolve_run_mode(s.get("run.date")),
         source_database=source_db,
@@ -65,6 +65,8 @@ def replication_from_conf(spark: SparkSession) -> Replication:
         rebalance=None if s.get("rebalance", "auto") == "auto" else s.flag("rebalance", True),
         parallelism=int(s.get("parallelism", "1")),
         report_every=int(s.get("report.every", "1")),
+        target_path=s.get("target.path"),
+        recount=s.get("recount", EACH),
     )
 
 

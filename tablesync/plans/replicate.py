@@ -3,7 +3,9 @@
 The driver loops over table names only (one at a time, or ``parallelism`` at
 once); every step of a table is a Spark job: the observed slice write, the
 re-count, the report append. One table's failure becomes a ``Fail`` row with the
-error text and the other tables still run.
+error text and the other tables still run. With ``recount="together"`` the re-counts of
+all tables are one job after the writes: a union of the targets' slices, one grouped
+count, and a full join with the writers' counts.
 """
 
 from __future__ import annotations
@@ -14,7 +16,8 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablesync.functions.dates import Clock, date_key_of
 from tablesync.functions.message import status_messages
@@ -27,6 +30,7 @@ from tablesync.operators.report import (
     process_rows,
     report_frame,
 )
+from tablesync.operators.path_target import PathTarget
 from tablesync.operators.target import DayTarget
 from tablesync.plans.notify import last_row, lookup_control
 from tablesync.plans.runmode import RunMode
@@ -39,6 +43,9 @@ log = logging.getLogger("tablesync")
 # Fixed value: schedulers scan the job log for this line; keep its format.
 LOADED_LINE = "Successfully Loaded Table:{table}"
 
+#: When targets are re-counted: each after its write, or all in one job after all writes.
+EACH, TOGETHER = "each", "together"
+
 # Appends to destinations shared by all tables (report tables, message folder) run
 # one at a time: concurrent appends to one path in one application would share
 # the output committer's temporary folder.
@@ -78,7 +85,8 @@ class Replication:
 
     ``load_source(table)`` gives the source frame of a table (default: the
     catalog table ``source_database.table``). Targets are
-    ``target_database.table``. ``database_name`` is what the report records as
+    ``target_database.table``, or, if ``target_path`` is given, the folders
+    ``target_path/table``. ``database_name`` is what the report records as
     the source database.
     """
 
@@ -97,6 +105,12 @@ class Replication:
     rebalance: bool | None = None
     parallelism: int = 1
     report_every: int = 1
+    target_path: str | None = None
+    recount: str = EACH
+
+    def __post_init__(self):
+        if self.recount not in (EACH, TOGETHER):
+            raise ValueError(f"recount is {EACH!r} or {TOGETHER!r}, not {self.recount!r}")
 
     def source(self, table: str) -> DataFrame:
         if self.load_source is not None:
@@ -123,6 +137,9 @@ class Replication:
         rebalance = self.rebalance
         if rebalance is None:
             rebalance = not self.source_laid_out_by_day(table)
+        if self.target_path is not None:
+            path = f"{self.target_path.rstrip('/')}/{table}"
+            return PathTarget(self.spark, path, self.day_column, self.year_column, format=self.format, rebalance=rebalance)
         return DayTarget(
             self.spark,
             f"{self.target_database}.{table}",
@@ -137,8 +154,21 @@ class Replication:
         return self.database_name or self.source_database or ""
 
 
-def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: bool, counts: dict) -> None:
-    """Slice, write, re-count one table; fills ``counts`` as it goes."""
+@dataclass
+class _Copy:
+    """One table's way through a run: its writer's count, and what is to be re-counted."""
+
+    table: str
+    start: object
+    counts: dict = field(default_factory=lambda: {"source": ZERO, "target": ZERO})
+    target: DayTarget | None = None
+    written: Column | None = None  # the rows to re-count; None where nothing was written
+    error: BaseException | None = None
+
+
+def _copy_table(job: Replication, spec: SliceSpec, create_empty: bool, copy: _Copy) -> None:
+    """Slice and write one table."""
+    table = copy.table
     target = job.target(table)
     source = job.source(table)
     sliced = read_slice(source, spec, job.day_column, job.year_column)
@@ -156,17 +186,51 @@ def _copy_table(job: Replication, table: str, spec: SliceSpec, create_empty: boo
             if resolve_column(source, job.year_column):
                 year = int(day.split("-")[0])  # the day's slice holds this year only (P2)
         rows = target.replace(sliced, spec.replace_predicate(job.day_column), day, year).rows  # K2 / K3
-    counts["source"] = str(rows)
-    if rows == 0:
-        # An empty slice changes nothing and is not re-counted.
-        counts["target"] = ZERO
+    copy.counts["source"] = str(rows)
+    if rows:  # an empty slice changes nothing and is not re-counted (T3)
+        copy.target = target
+        copy.written = spec.target_filter(resolve_column(source, job.day_column) or job.day_column, resolve_column(source, job.year_column))
+
+
+def _recount(copy: _Copy) -> None:
+    if copy.written is None:
         return
-    day = resolve_column(source, job.day_column) or job.day_column
-    year = resolve_column(source, job.year_column)
-    found = target.count(spec.target_filter(day, year))
+    found = copy.target.count(copy.written)
     if found is None:
-        raise RuntimeError(f"target {target.table} not found after the write")
-    counts["target"] = found
+        raise RuntimeError(f"target {copy.target.table} not found after the write")
+    copy.counts["target"] = found
+
+
+def _recount_together(job: Replication, copies: list[_Copy]) -> None:
+    """A2 for all tables in one job; a table that cannot be read is counted, and fails, alone (C4)."""
+    parts = []
+    for k, copy in enumerate(copies):
+        if copy.written is None or copy.error is not None:
+            continue
+        try:
+            parts.append(copy.target.read(copy.written).select(F.lit(k).alias("copy")))
+        except Exception as exc:
+            copy.error = exc
+    if not parts:
+        return
+    while len(parts) > 1:  # pairwise, so no plan is analysed again for every table
+        parts = [a.union(b) for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2 :]
+    found = parts[0].groupBy("copy").agg(F.count(F.lit(1)).alias("found"))
+    sources = [(k, int(c.counts["source"])) for k, c in enumerate(copies) if c.written is not None and c.error is None]
+    written = job.spark.createDataFrame(sources, "copy int, written long")
+    try:
+        rows = written.join(found, "copy", "full").collect()  # one row a table
+    except Exception as exc:
+        log.error("re-counting all tables at once failed, counting each: %s", exc)
+        for copy in copies:
+            if copy.error is None:
+                try:
+                    _recount(copy)
+                except Exception as alone:
+                    copy.error = alone
+        return
+    for r in rows:
+        copies[r["copy"]].counts["target"] = str(r["found"] or 0)
 
 
 class _ReportBuffer:
@@ -198,27 +262,28 @@ class _ReportBuffer:
             _append_report(self.job, pending)
 
 
-def _table_rows(
-    job: Replication,
-    spec: SliceSpec,
-    notify: Notify | None,
-    create_empty: bool,
-    load_date,
-    report: _ReportBuffer,
-    table: str,
-) -> list[ReportRow]:
-    """Everything for one table; one report row, two if the notify step fails."""
-    start = job.clock.now()
-    counts = {"source": ZERO, "target": ZERO}
-    status, details = FAIL, ""
+def _written(job: Replication, spec: SliceSpec, create_empty: bool, table: str) -> _Copy:
+    copy = _Copy(table, job.clock.now())
     try:
-        _copy_table(job, table, spec, create_empty=create_empty, counts=counts)
+        _copy_table(job, spec, create_empty, copy)
+        if job.recount == EACH:
+            _recount(copy)
+    except Exception as exc:  # C4: the table fails, the job goes on
+        copy.error = exc
+    return copy
+
+
+def _table_rows(job: Replication, spec: SliceSpec, notify: Notify | None, load_date, report: _ReportBuffer, copy: _Copy) -> list[ReportRow]:
+    """The report of one table; one row, two if the notify step fails."""
+    table, counts, start = copy.table, copy.counts, copy.start
+    status, details = FAIL, ""
+    if copy.error is None:
         status = verdict(counts["source"], counts["target"])
         if status != FAIL:
             log.info(LOADED_LINE.format(table=table))
-    except Exception as exc:  # C4: the table fails, the job goes on
-        log.error("table %s failed: %s", table, exc)
-        status, details = FAIL, error_text(exc)
+    else:
+        log.error("table %s failed: %s", table, copy.error)
+        details = error_text(copy.error)
     row = ReportRow(table, counts["source"], counts["target"], status, job.db_name, load_date, start, job.clock.now(), details)
     rows = [row]
     report.add([row])
@@ -243,18 +308,28 @@ def _run(job: Replication, spec: SliceSpec, notify: Notify | None, create_empty:
     load_date = job.clock.now().date()  # taken once per job (T10)
     report = _ReportBuffer(job)
 
-    def step(table: str) -> list[ReportRow]:
-        return _table_rows(job, spec, notify, create_empty, load_date, report, table)
+    def write(table: str) -> _Copy:
+        return _written(job, spec, create_empty, table)
 
-    try:
+    def finish(copy: _Copy) -> list[ReportRow]:
+        return _table_rows(job, spec, notify, load_date, report, copy)
+
+    def each(step: Callable, items: list) -> list:
         # A table named twice runs twice, one run after the other (two concurrent
         # writers of one target would conflict).
         repeated = len(set(job.tables)) != len(job.tables)
-        if job.parallelism <= 1 or len(job.tables) <= 1 or repeated:
-            per_table = [step(t) for t in job.tables]
+        if job.parallelism <= 1 or len(items) <= 1 or repeated:
+            return [step(x) for x in items]
+        with ThreadPoolExecutor(max_workers=job.parallelism, thread_name_prefix="tablesync") as pool:
+            return list(pool.map(step, items))
+
+    try:
+        if job.recount == TOGETHER:
+            copies = each(write, job.tables)
+            _recount_together(job, copies)
+            per_table = each(finish, copies)
         else:
-            with ThreadPoolExecutor(max_workers=job.parallelism, thread_name_prefix="tablesync") as pool:
-                per_table = list(pool.map(step, job.tables))
+            per_table = each(lambda table: finish(write(table)), job.tables)
     finally:
         report.flush()
     return [r for rows in per_table for r in rows]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Mapping
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,11 +35,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def describe_table(spark: SparkSession, name: str) -> tuple[list[str], str]:
-    """Partition columns and storage properties of a catalog table, from one
+class TableInfo(NamedTuple):
+    """What a catalog says of a table."""
+
+    partition_columns: list[str]
+    storage: str  # storage properties, as text
+    properties: str  # table properties, as text
+    location: str
+
+
+def describe_table(spark: SparkSession, name: str) -> TableInfo:
+    """Partition columns, properties and location of a catalog table, from one
     ``DESCRIBE TABLE EXTENDED`` (cheaper than listing columns via the catalog API)."""
     pcols: list[str] = []
-    props = ""
+    said = {"Storage Properties": "", "Table Properties": "", "Location": ""}
     section = ""
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {quote_ident(name)}").collect():
         col = (r["col_name"] or "").strip()
@@ -48,14 +58,14 @@ def describe_table(spark: SparkSession, name: str) -> tuple[list[str], str]:
             section = ""
         elif section == "# Partition Information":
             pcols.append(col)
-        elif col == "Storage Properties":
-            props = r["data_type"] or ""
-    return pcols, props
+        elif col in said and section == "# Detailed Table Information":
+            said[col] = r["data_type"] or ""
+    return TableInfo(pcols, said["Storage Properties"], said["Table Properties"], said["Location"])
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     """The partition columns of a catalog table."""
-    return describe_table(spark, name)[0]
+    return describe_table(spark, name).partition_columns
 
 
 def _bare(path: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF001
 from tablesync import (
+    DayTarget,
     FixedClock,
     MessageSink,
     Notify,
@@ -21,6 +22,7 @@ from tablesync import (
     size_report,
     size_total,
 )
+import tablesync.plans.replicate as replicate_module
 from tablesync.plans.relay import output_path
 from tablesync.session import fresh_database, shared_root
 from tablesync.sources.documents import read_json_documents
@@ -338,3 +340,37 @@ def test_raw_relay_keeps_blanks(spark):
     assert out.ok
     got = spark.read.option("header", "true").csv(out.output).collect()
     assert sorted(map(tuple, got)) == sorted(rows)
+
+
+def test_recount_together(spark, monkeypatch):
+    """One count job whatever the number of tables; a target that cannot be read fails alone."""
+    counted = []
+    one = DayTarget.count
+    monkeypatch.setattr(DayTarget, "count", lambda self, predicate: counted.append(self.table) or one(self, predicate))
+    together = replicate_module._recount_together
+    jobs = []
+
+    def watched(job, copies):
+        spark.sparkContext.setJobGroup(f"recount-{len(copies)}", "")
+        together(job, copies)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"recount-{len(copies)}")))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    monkeypatch.setattr(replicate_module, "_recount_together", watched)
+    for n in (2, 8):
+        tables = tuple(f"events_{k}" for k in range(n))
+        job = _job(spark, fresh_database(spark), "2024-01-15", tables=tables, recount="together", parallelism=4)
+        rows = replicate(job).collect()
+        assert [r.table_name for r in rows] == list(tables)
+        assert {(r.source_row_count == r.destination_row_count, r.count_result) for r in rows} == {(True, "Pass")}
+    assert counted == [] and jobs[0] == jobs[1]
+
+    def unreadable(self, predicate):
+        if self.table.endswith("events_1"):
+            raise RuntimeError("no access")
+        return read(self, predicate)
+
+    read = DayTarget.read
+    monkeypatch.setattr(DayTarget, "read", unreadable)
+    rows = replicate(_job(spark, fresh_database(spark), "2024-01-15", tables=tables[:3], recount="together")).collect()
+    assert [(r.count_result, "no access" in r.log_details) for r in rows] == [("Pass", False), ("Fail", True), ("Pass", False)]

@@ -1,0 +1,206 @@
+"""Targets addressed by a path (K1, K4, S4 without a catalog), the required partition filter, and stopped replaces."""
+
+import datetime as dt
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from tablesync import DayTarget, PathTarget, SliceSpec, UnfilteredRead
+from tablesync.operators import target as target_module
+from tablesync.session import fresh_database
+
+SCHEMA = "id long, v string, cda_year int, cda_dt date"
+D = dt.date
+
+
+def ever():
+    return F.col("cda_dt") >= F.lit("0001-01-01").cast("date")
+
+
+def _frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _row(i, day, v="old"):
+    return (i, v, day.year if day else 2024, day)
+
+
+def _bag(df):
+    return Counter(tuple(r) for r in df.select("id", "v", "cda_year", "cda_dt").collect())
+
+
+def _targets(spark, tmp_path, **kw):
+    return [DayTarget(spark, f"{fresh_database(spark)}.t", "cda_dt", **kw), PathTarget(spark, f"file:{tmp_path}/t", "cda_dt", **kw)]
+
+
+def test_path_target_behaves_like_a_table(spark, tmp_path):
+    """Appends, replaces of a day and from a day, NULL days, stale days: the same rows by path and by name."""
+    old = [_row(1, D(2023, 12, 31)), _row(2, D(2024, 1, 1)), _row(3, D(2024, 1, 2)), _row(4, None), _row(5, D(2024, 1, 3))]
+    seen = []
+    for t in _targets(spark, tmp_path):
+        assert not t.exists() and t.count(ever()) is None
+        assert t.append(_frame(spark, old)).rows == 5
+        day = SliceSpec.day("2024-01-02")
+        t.replace(_frame(spark, [_row(6, D(2024, 1, 2), "new")]), day.replace_predicate("cda_dt"), day.date, 2024)
+        start = SliceSpec.from_date("2024-01-01")
+        result = t.replace(_frame(spark, [_row(7, D(2024, 1, 3), "new"), _row(8, D(2024, 2, 1), "new")]), start.replace_predicate("cda_dt"))
+        assert sorted(result.dropped) == [(2024, D(2024, 1, 1)), (2024, D(2024, 1, 2))] and result.dropped_count == 2
+        again = t.replace(_frame(spark, []), start.replace_predicate("cda_dt"))
+        assert again.rows == 0 and t.count(ever()) == "3"
+        seen.append(_bag(t._frame()))
+    assert seen[0] == seen[1] and sum(seen[0].values()) == 4
+
+
+def test_path_schema_widens_without_a_catalog(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    assert PathTarget(spark, path, "cda_dt").create_empty(_frame(spark, []).schema)
+    first = PathTarget(spark, path, "cda_dt")
+    assert first.exists() and first.count(ever()) == "0" and not first.create_empty(_frame(spark, []).schema)
+    first.append(_frame(spark, [_row(1, D(2024, 1, 1))]))
+    wide = _frame(spark, [_row(2, D(2024, 1, 2))]).withColumn("a.b", F.struct(F.lit(1).alias("x y"))).drop("v")
+    PathTarget(spark, path, "cda_dt").append(wide)
+    rows = first.read(ever()).orderBy("id").collect()
+    assert [(r.id, r.v, r["a.b"]) for r in rows] == [(1, "old", None), (2, None, (1,))]
+    assert first.schema().fieldNames() == ["id", "v", "a.b", "cda_year", "cda_dt"]
+
+
+def test_two_runs_cannot_write_one_schema_version(spark, tmp_path):
+    one, two = (PathTarget(spark, f"file:{tmp_path}/t", "cda_dt") for _ in range(2))
+    one.create_empty(_frame(spark, []).schema)
+    assert two._said() and one._said()
+    one._evolve(_frame(spark, []).withColumn("a", F.lit(1)).schema)
+    two._said = lambda: two._kept[1]  # has not seen it yet
+    with pytest.raises(Exception, match="(?i)exist"):
+        two._evolve(_frame(spark, []).withColumn("b", F.lit(1)).schema)
+
+
+def test_foreign_path_is_taken_over_with_merged_schema(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    rows = _frame(spark, [_row(1, D(2024, 1, 1)), _row(2, D(2024, 1, 2))])
+    rows.where("id = 1").write.partitionBy("cda_year", "cda_dt").parquet(path)
+    rows.where("id = 2").withColumn("more", F.lit(7)).write.mode("append").partitionBy("cda_year", "cda_dt").parquet(path)
+    t = PathTarget(spark, path, "cda_dt")
+    assert t.exists() and {r.id: r.more for r in t.read(ever()).collect()} == {1: None, 2: 7}
+    t.append(_frame(spark, [_row(3, D(2024, 1, 3))]))
+    assert {r.id: r.more for r in t.read(F.lit(True)).collect()} == {1: None, 2: 7, 3: None}  # it never required a filter
+
+
+def test_path_with_escaped_and_null_partitions(spark, tmp_path):
+    path = f"file:{tmp_path}/t"
+    odd = ["A:B", None, "x %+y", "plain", "a/b=c"]
+    rows = spark.createDataFrame([(i, D(2024, 1, 1 + i % 2), r) for i, r in enumerate(odd)], "id long, cda_dt date, region string")
+    rows.write.partitionBy("cda_dt", "region").parquet(path)
+    t = PathTarget(spark, path, "cda_dt", year_column=None)
+    t._say(t.schema(), ["cda_dt", "region"], True)
+    assert {(r.cda_dt, r.region) for r in t._partition_frame().collect()} == {(r.cda_dt, r.region) for r in rows.collect()}
+    new = spark.createDataFrame([(9, D(2024, 1, 2), "plain")], "id long, cda_dt date, region string")
+    assert t.replace(new, SliceSpec.from_date("2024-01-01").replace_predicate("cda_dt")).dropped_count == 4
+    assert [r.id for r in t.read(ever()).collect()] == [9]
+
+
+def test_filter_is_required(spark, tmp_path):
+    """A read that prunes nothing is refused before any job; the mark is the table's, not the object's."""
+    spark.sparkContext.setJobGroup("filter-required", "")
+    try:
+        for t in _targets(spark, tmp_path):
+            t.append(_frame(spark, [_row(1, D(2024, 1, 1)), _row(2, D(2024, 1, 2))]))
+            later = type(t)(spark, t.table, "cda_dt", require_filter=False)
+            jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("filter-required"))
+            for predicate in (F.lit(True), F.col("id") == 1, F.col("cda_dt").isNotNull(), (F.col("id") == 1) | (F.col("cda_dt") == F.lit("2024-01-01").cast("date"))):
+                for ask in (later.read, later.count, later.count_frame):
+                    with pytest.raises(UnfilteredRead, match="requires a filter"):
+                        ask(predicate)
+            assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("filter-required")) == jobs
+            assert later.count(F.col("cda_year") == 2024) == "2"
+            assert later.count((F.col("id") == 1) & ever()) == "1"
+            assert later.count(F.lit(False)) == "0"
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_filter_is_not_required_without_the_mark(spark, tmp_path):
+    for t in _targets(spark, tmp_path, require_filter=False):
+        t.append(_frame(spark, [_row(1, D(2024, 1, 1)), _row(2, None)]))
+        assert t.count(F.lit(True)) == "2"
+
+
+class Stopped(RuntimeError):
+    pass
+
+
+def _stop(*_):
+    raise Stopped
+
+
+def test_stopped_replace_is_finished_by_the_next_run(spark, tmp_path, monkeypatch):
+    """The run ends between the commit and the drop; the next one has an empty slice, or another range."""
+    start = SliceSpec.from_date("2024-01-01").replace_predicate("cda_dt")
+    for t in _targets(spark, tmp_path):
+        for finish in (lambda t: t.replace(_frame(spark, []), start), lambda t: t.finish_pending()):
+            t.append(_frame(spark, [_row(1, D(2024, 1, 1)), _row(2, D(2024, 1, 2)), _row(3, D(2023, 5, 5)), _row(4, None)]))
+            with monkeypatch.context() as m:
+                m.setattr(type(t), "_drop", _stop)
+                with pytest.raises(Stopped):
+                    t.replace(_frame(spark, [_row(5, D(2024, 1, 2), "new")]), start)
+            assert t.count(ever() & (F.col("cda_dt") == F.lit("2024-01-01").cast("date"))) != "0"
+            fresh = type(t)(spark, t.table, "cda_dt")
+            finish(fresh)
+            assert {(r.id, r.v) for r in fresh.read(ever()).collect()} >= {(5, "new"), (3, "old")}
+            assert fresh.count(F.col("cda_dt") == F.lit("2024-01-01").cast("date")) == "0"
+            assert fresh._notes().files.names(fresh._notes().folder) == []
+
+
+def test_replace_stopped_before_its_commit_drops_nothing(spark, tmp_path, monkeypatch):
+    start = SliceSpec.from_date("2024-01-01").replace_predicate("cda_dt")
+    for t in _targets(spark, tmp_path):
+        old = [_row(1, D(2024, 1, 1)), _row(2, D(2024, 1, 2))]
+        t.append(_frame(spark, old))
+        with monkeypatch.context() as m:
+            m.setattr(type(t), "_insert", _stop)
+            m.setattr(target_module.Notes, "close", lambda *_: None)  # killed, not failed
+            with pytest.raises(Stopped):
+                t.replace(_frame(spark, [_row(5, D(2024, 1, 2), "new")]), start)
+        assert t.replace(_frame(spark, []), start).rows == 0
+        assert _bag(t.read(ever())) == Counter(old)
+        t.replace(_frame(spark, [_row(5, D(2024, 1, 2), "new")]), start)
+        assert [r.id for r in t.read(ever()).collect()] == [5]
+        assert t._notes().files.names(t._notes().folder) == []
+
+
+def test_many_stale_partitions_stay_off_the_driver(spark):
+    """Days x regions: the stale partitions are found by a join and dropped a statement at a time.
+
+    Making the folders takes most of the time, so the suite has 2,000 of them;
+    ``TABLESYNC_TEST_REGIONS=500`` makes it 50,000 (eight minutes).
+    """
+    regions = int(os.environ.get("TABLESYNC_TEST_REGIONS", "20"))
+    db = fresh_database(spark)
+    name = f"{db}.wide"
+    spark.sql(f"CREATE TABLE {name} (id long, cda_dt date, region string) USING parquet PARTITIONED BY (cda_dt, region) OPTIONS ('partitionOverwriteMode' = 'dynamic')")
+    days = [D(2024, 1, 1) + dt.timedelta(k) for k in range(100)]
+    for day in days:
+        spec = " ".join(f"PARTITION (cda_dt='{day}', region='r{k}')" for k in range(regions))
+        spark.sql(f"ALTER TABLE {name} ADD {spec}")
+    t = DayTarget(spark, name, "cda_dt", year_column=None)
+    most = []
+    drop = DayTarget._drop
+    t._drop = lambda rows: (most.append(len(rows)), drop(t, rows))
+    new = spark.createDataFrame([(k, days[k % 100], f"r{k % 7}") for k in range(700)], "id long, cda_dt date, region string")
+    result = t.replace(new, SliceSpec.from_date("2024-01-11").replace_predicate("cda_dt").__or__(F.col("cda_dt") < F.lit("2024-01-11").cast("date")))
+    assert result.rows == 700 and result.dropped_count == 100 * regions - 700
+    assert len(result.dropped) == min(result.dropped_count, target_module.NAMED_DROPS) and max(most) <= target_module.DROP_SPECS_PER_STATEMENT
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 700 and t.count(ever()) == "700"
+
+
+def test_day_column_with_a_dot(spark):
+    src = spark.read.parquet(f"{SF01}/events.parquet").select("event_id", F.col("ts").cast("date").alias("my.day"), F.year("ts").alias("my.year"))
+    t = DayTarget(spark, f"{fresh_database(spark)}.t", "my.day", "my.year")
+    t.append(src)
+    spec = SliceSpec.from_date("2024-01-20")
+    t.replace(src.where(spec.source_filter("my.day")).where("event_id % 2 = 0"), spec.replace_predicate("my.day"))
+    day = SliceSpec.day("2024-01-15")
+    assert t.count(day.target_filter("my.day", "my.year")) == str(src.where("`my.day` = DATE'2024-01-15'").count())
+    assert t.count(spec.target_filter("my.day")) == str(src.where("`my.day` >= DATE'2024-01-20' AND event_id % 2 = 0").count())

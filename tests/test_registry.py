@@ -41,6 +41,11 @@ CHEAP = [
     "split_list",
     "table_sizes",
     "table_sizes_total",
+    "append_path_new_column",
+    "replace_from_path",
+    "replace_stopped_then_empty",
+    "target_filter_required",
+    "recount_together",
 ]
 
 

@@ -23,3 +23,11 @@ def test_stage_times_lists_slowest_first(tmp_path):
     rows = out.stdout.splitlines()
     assert rows[0].startswith("2 stages, 4.0 s")
     assert "count" in rows[1] and "2499" in rows[1] and "write" in rows[2]
+
+
+def test_cheap_bench_jobs_run(spark):
+    """Fixtures of the bench jobs follow the queries' helpers; the jobs of many days share theirs with these."""
+    import bench
+
+    for name in ("slice_day", "append_twice", "csv_relay"):
+        assert bench.BENCHES[name](spark, "/root/testdata/sf0.001") > 0
