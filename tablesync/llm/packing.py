@@ -44,15 +44,20 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, equal to the tokenizer's own.
 
     For tokenizers that drop white space, never join across it, and end a word with a
-    marked token, as ``word_bpe_49k.json`` does. Special tokens' strings are ordinary text.
+    marked token, as ``word_bpe_49k.json`` does. The string of a special token in a text is
+    that token, as the tokenizer has it, or ordinary text if ``special_as_text``.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(file)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
         vocabulary = self.tokenizer.get_vocab()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Strings that may hold an added token, or be cut by one, go to the tokenizer as they are.
+        self.whole_only = any(any(map(str.isspace, t)) for t in added)
+        self.added = [t for t in added if all(c.isalpha() or c in MARKS for c in t)]
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.strings: dict[str, bytes] = {}
@@ -63,7 +68,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.strings) > MAX_STRINGS:
             self.old_strings, self.strings = self.strings, {}
-        known, lists = self.strings, [None if _SEPARATORS.search(t) else t.split() for t in texts]
+        known, lists = self.strings, [None if self.whole_only or _SEPARATORS.search(t) else t.split() for t in texts]
         self._learn({s for strings in lists if strings for s in strings if s not in known})
         ids = known.__getitem__
         return [self._whole([t])[0] if strings is None else b"".join(map(ids, strings)) for t, strings in zip(texts, lists, strict=True)]
@@ -82,9 +87,11 @@ class Encoder:
                 known[s] = old[s]
                 continue
             letters = s.rstrip(MARKS)
-            if letters.isalpha() and (letters.isascii() or "Σ" not in letters and unicodedata.is_normalized("NFC", letters)):
-                mark = s[len(letters) :]
-                letters = letters.lower()
+            mark, low = s[len(letters) :], letters.lower()
+            # Lower case may bring a combining mark, which a mark behind the word would join.
+            simple = letters.isascii() or "Σ" not in letters and low.isalpha() and unicodedata.is_normalized("NFC", letters)
+            if letters.isalpha() and simple and not any(t in s for t in self.added):
+                letters = low
                 plain.append(s)
                 lower.append(letters)
                 marks.append(mark)
@@ -113,7 +120,7 @@ class Encoder:
 
 
 # ---------------------------------------------------------------------------------- pieces
-def _cut(file, length: int, end_id: int, with_ids: bool):
+def _cut(file, length: int, end_id: int, with_ids: bool, special_as_text: bool):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("has_id", pa.bool_()), ("row", pa.int64()), ("start", pa.int64()), ("length", pa.int64())]
         + [("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
@@ -122,7 +129,7 @@ def _cut(file, length: int, end_id: int, with_ids: bool):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, row = worker_keeps(("encoder", file.value), lambda: Encoder(file.value)), 0
+        encoder, row = worker_keeps(("encoder", special_as_text, file.value), lambda: Encoder(file.value, special_as_text)), 0
         for batch in batches:
             for part in _parts(batch):
                 rows = []
@@ -185,11 +192,18 @@ def _pack_group(length: int):
 
 
 def pack(
-    docs: DataFrame, vocabulary: str, length: int = LENGTH, end_id: int = END_ID, group_docs: int = GROUP_DOCS, with_ids: bool = False
+    docs: DataFrame,
+    vocabulary: str,
+    length: int = LENGTH,
+    end_id: int = END_ID,
+    group_docs: int = GROUP_DOCS,
+    with_ids: bool = False,
+    special_as_text: bool = False,
 ) -> DataFrame:
     """A row for each piece of each document: where it starts there, and where it lies in a sequence.
 
-    ``vocabulary`` is the path of the tokenizer's file on the driver. Columns doc_id,
+    ``vocabulary`` is the path of the tokenizer's file on the driver. The string of a special
+    token is that token, or ordinary text if ``special_as_text``. Columns doc_id,
     start, length, ids_crc32, doc_tokens (the end id included), sequence_id, offset and, if
     asked for, ids. A null or empty text is the end id alone; rows that repeat are packed
     each; a null doc_id is kept; an empty table has no pieces. Other columns are not used.
@@ -206,7 +220,7 @@ def pack(
     # Groups go through pandas, where a null would make a column's ids inexact.
     has_id = F.col("doc_id").isNotNull().alias("has_id")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), has_id, "text")
-    pieces = rows.mapInArrow(_cut(spark.sparkContext.broadcast(file), length, end_id, with_ids), shape)
+    pieces = rows.mapInArrow(_cut(spark.sparkContext.broadcast(file), length, end_id, with_ids, special_as_text), shape)
     pieces = saved(pieces, "pieces")
     n = pieces.where("start = 0").count()
     pieces = pieces.withColumn("group", scattered("doc_id", "has_id", "row", parts=max(1, -(-n // group_docs))))

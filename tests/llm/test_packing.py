@@ -12,7 +12,6 @@ from tablesync.llm import packing
 
 FILE = open(packing.public_vocabulary(), encoding="utf-8").read()
 PLAIN = Tokenizer.from_str(FILE)
-PLAIN.encode_special_tokens = True
 ENCODER = packing.Encoder(FILE)
 
 
@@ -27,6 +26,26 @@ def test_encoder_equals_the_tokenizer(words):
     assert np.frombuffer(ENCODER.encode([text])[0], "<u4").tolist() == PLAIN.encode(text, add_special_tokens=False).ids
 
 
+def test_every_letter_before_a_mark():
+    """All code points below U+30000 as a word, alone, behind a letter and before marks; the tokenizer is the file's, untouched."""
+    for words in (lambda c: c, lambda c: c + ".", lambda c: "A" + c + ",."):
+        texts = [words(chr(c)) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+        want = [x.ids for x in PLAIN.encode_batch_fast(texts, add_special_tokens=False)]
+        encoder = packing.Encoder(FILE)
+        got = [x for k in range(0, len(texts), 4096) for x in encoder.encode(texts[k : k + 4096])]
+        assert [t for t, g, w in zip(texts, got, want, strict=True) if np.frombuffer(g, "<u4").tolist() != w] == []
+
+
+def test_special_tokens():
+    for text in ("hello <|endoftext|> world", "a<|endoftext|>b", "<|startoftext|>. TARİHİ. <|endoftext|>,", "<|endoftext|"):
+        assert np.frombuffer(ENCODER.encode([text])[0], "<u4").tolist() == PLAIN.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ENCODER.encode(["hello <|endoftext|> world"])[0], "<u4").tolist() == [3306, 49407, 1002]
+    plain = Tokenizer.from_str(FILE)
+    plain.encode_special_tokens = True
+    as_text = packing.Encoder(FILE, special_as_text=True).encode(["hello <|endoftext|> world"])[0]
+    assert np.frombuffer(as_text, "<u4").tolist() == plain.encode("hello <|endoftext|> world", add_special_tokens=False).ids
+
+
 def test_full_tables_become_old_ones(monkeypatch):
     monkeypatch.setattr(packing, "MAX_STRINGS", 3)
     monkeypatch.setattr(packing, "MAX_WORDS", 3)
