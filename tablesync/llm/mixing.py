@@ -72,10 +72,13 @@ def draw(
 
     A null source is a source; rows that are equal in all columns are rows of their own;
     rows without a word are never drawn; an empty table gives an empty result. Input
-    columns named like the added ones are replaced.
+    columns named like the added ones are replaced, no other is touched. What is taken
+    follows from the rows and not from their order, so all columns must be orderable.
     """
     added = ("source_size", "target", "row", "copy", "take", "shard")
-    docs = docs.drop(*added).withColumn("_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    given = [c for c in docs.columns if c not in added]
+    docs = docs.select(F.struct(*[F.col(_quoted(c)).alias(c) for c in given]).alias("given"), "doc_id", "source", "size")
+    docs = docs.withColumn("_key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     bits = max(1, (shuffle_partitions(docs.sparkSession) - 1).bit_length())
     # The line follows the hash, so cutting it by the hash's leading bits keeps its order
     # whatever the number of chunks, and spreads a source over all tasks.
@@ -94,7 +97,7 @@ def draw(
     prior = W.partitionBy("_key").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
     chunks = chunks.select("_key", "_chunk", F.coalesce(F.sum("words").over(prior), F.lit(0)).alias("_offset"))
     chunks = chunks.join(sources, "_key")
-    within = W.partitionBy("_key", "_chunk").orderBy("_hash", "doc_id", "size")
+    within = W.partitionBy("_key", "_chunk").orderBy("_hash", "given")
     so_far = F.sum("size").over(within.rowsBetween(W.unboundedPreceding, W.currentRow))
     line = docs.withColumns({"_start": so_far - F.col("size"), "_row": F.row_number().over(within)})
     line = line.join(chunks, ["_key", "_chunk"])
@@ -124,35 +127,42 @@ def draw(
         "left",
     )
     row = F.struct(F.col("c._key"), F.col("c._chunk"), F.col("c._row"))
-    kept = [c for c in docs.columns if not c.startswith("_")]
     return found.select(
-        *[F.col(f"c.{c}") for c in kept], "c.source_size", "c.target", row.alias("row"), "c.copy", "c.take", "p.shard"
+        *[F.col("c.given")[c].alias(c) for c in given], "c.source_size", "c.target", row.alias("row"), "c.copy", "c.take", "p.shard"
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def mix(docs: DataFrame, weights: list[int], seed: int = 7, **options) -> DataFrame:
     """The mix itself: a row of ``docs`` for each copy drawn, with ``shard`` and ``position``.
 
     Rows alike in doc_id, source and text stand for each other. A cut copy's text is its
     first words joined by spaces. ``position`` numbers a shard's rows in a hashed order.
+    Input columns shard and position are replaced, no other is touched; all columns must be
+    orderable. The result does not depend on the order of the rows.
     """
-    docs = docs.drop("shard", "position")
-    keyed = docs.withColumns({"_text": F.xxhash64("text"), "size": word_count("text")})
-    key = ["doc_id", "source", "_text", "size"]
-    drawn = draw(keyed.select(*key).withColumnRenamed("_text", "text_hash"), weights, seed=seed, **options).where("take > 0")
-    rows = keyed.groupBy(*key).agg(F.min(F.struct(*docs.columns)).alias("doc"))
+    given = [c for c in docs.columns if c not in ("shard", "position")]
+    whole = F.struct(*[F.col(_quoted(c)).alias(c) for c in given])
+    keyed = docs.select(whole.alias("doc"), "doc_id", "source", F.xxhash64("text").alias("text_hash"), word_count("text").alias("size"))
+    key = ["doc_id", "source", "text_hash", "size"]
+    drawn = draw(keyed.select(*key), weights, seed=seed, **options).where("take > 0")
+    rows = keyed.groupBy(*key).agg(F.min("doc").alias("doc"))
     same = (
         F.col("r.doc_id").eqNullSafe(F.col("d.doc_id"))
         & F.col("r.source").eqNullSafe(F.col("d.source"))
-        & (F.col("r._text") == F.col("d.text_hash"))
+        & (F.col("r.text_hash") == F.col("d.text_hash"))
         & (F.col("r.size") == F.col("d.size"))
     )
     out = rows.alias("r").join(drawn.alias("d"), same).select("r.doc", "d.size", "d.take", "d.shard", "d.copy", "d.row")
-    words = F.array_join(F.slice(F.regexp_extract_all("doc.text", F.lit(WORD), 0), 1, F.col("take").cast("int")), " ")
-    text = F.when(F.col("take") < F.col("size"), words).otherwise(F.col("doc.text"))
+    text = F.col("doc")["text"]
+    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), 1, F.col("take").cast("int")), " ")
+    text = F.when(F.col("take") < F.col("size"), words).otherwise(text)
     local = W.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "copy", "row"), "copy", "row")
     out = out.withColumns({"position": F.row_number().over(local) - 1, "text": text})
-    return out.select(*["text" if c == "text" else f"doc.{c}" for c in docs.columns], "shard", "position")
+    return out.select(*[(F.col("text") if c == "text" else F.col("doc")[c]).alias(c) for c in given], "shard", "position")
 
 
 # ------------------------------------------------------------------------------- the tree

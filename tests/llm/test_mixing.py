@@ -114,3 +114,21 @@ def test_large_draws_keep_to_the_mean(spark):
     x = mixing.hypergeometric(F.lit(10**7), F.lit(3 * 10**7), F.lit(10**7), F.rand(2))
     mean = spark.range(20).select(x.alias("x")).agg(F.avg("x")).first()[0]
     assert abs(mean - 10**7 / 3) < 3000
+
+
+def test_user_columns_stay_and_order_does_not_matter(spark):
+    """Rows of equal doc_id and size but other text, in three orders; columns named like the operator's own."""
+    rows = [(k % 4, " ".join(f"t{k}w{i}" for i in range(30)), "en", "s" if k % 3 else None, k) for k in range(60)]
+    clash = {"size": F.col("n_chars") + 100, "_text": F.lit("keep"), "_key": F.lit(1), "_hash": F.lit("h"), "text_hash": F.lit(2), "given": F.lit(3), "doc": F.lit(4), "a b.c": F.lit(5)}
+    found = []
+    for seed in (None, 1, 2):
+        docs = spark.createDataFrame(rows, DOCS).withColumns(clash)
+        docs = docs if seed is None else docs.orderBy(F.rand(seed)).repartition(1 + seed)
+        mixed = mixing.mix(docs, [3, 1, 2])
+        assert mixed.columns == [*docs.columns, "shard", "position"]
+        got = mixed.collect()
+        assert all(r["size"] == r.n_chars + 100 and (r["_text"], r["_key"], r["_hash"], r.text_hash, r.given, r.doc, r["a b.c"]) == ("keep", 1, "h", 2, 3, 4, 5) for r in got)
+        found.append(sorted((r.doc_id, r.source or "", r.text, r.shard, r.position) for r in got))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 20
+    sized = spark.createDataFrame(rows, DOCS).withColumns({"size": mixing.word_count("text"), "_x": F.lit(1)})
+    assert mixing.draw(sized, [3, 1, 2]).columns == [*sized.columns, "source_size", "target", "row", "copy", "take", "shard"]
