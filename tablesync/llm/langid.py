@@ -15,8 +15,9 @@ Texts are parsed whole, in segments of ``SEGMENT`` letters and spaces that are s
 in those arrays; a phrase ends where a segment ends.
 
 The model is small text, learnt from a bounded sample: ``rows_per_language`` labelled rows
-in a hashed order, ``chars_per_row`` characters of each, and ``total_chars`` over all
-languages. Workers build their tables from it once.
+in a hashed order, of each ``windows`` windows of ``window_chars`` characters spread evenly
+from its begin to its end, for ``max_languages`` languages at most. Workers build their
+tables from it once.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import table, worker_keeps
+from .common import saved, table, worker_keeps
 
 SEGMENT = 2048
 #: Segments parsed side by side, and characters of a text that are looked at at a time.
@@ -46,24 +47,33 @@ def held_out(doc_id: str | Column) -> Column:
 
 
 def training_text(
-    labelled: DataFrame, rows_per_language: int = 64, chars_per_row: int = 600, total_chars: int = 400_000
+    labelled: DataFrame, rows_per_language: int = 64, windows: int = 4, window_chars: int = 150, max_languages: int = 256
 ) -> list[tuple[str, str]]:
-    """Sample of (lang, text) rows, joined by language: at most ``total_chars`` characters in all.
+    """Sample of (lang, text) rows, joined by language.
 
-    Rows without text or lang are left out. Which rows: the first by a hash of lang and
-    text, so copies of a text count once and the table's order doesn't matter.
+    Rows without text or lang are left out. Which rows: the first by a hash of the text, so
+    copies of a text count once and the table's order doesn't matter. Of a text as long as
+    all windows or shorter the sample has the whole. More than ``max_languages`` different
+    values of lang are an error, raised before anything is gathered.
     """
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
-    rows = rows.withColumn("h", F.xxhash64("text"))
-    # Copies go before the count and in each task, by hash alone; row_number() <= n is cut in each task, too.
-    order = F.row_number().over(W.partitionBy("lang").orderBy("h"))
-    taken = rows.select("lang", "h").distinct().withColumn("n", order).where(F.col("n") <= rows_per_language)
-    rows = rows.join(F.broadcast(taken.select("lang", "h")), ["lang", "h"], "left_semi")
-    rows = rows.select("lang", "h", F.substring("text", 1, chars_per_row).alias("text")).distinct()
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0").withColumn("h", F.xxhash64("text"))
+    hashes = rows.select("lang", "h").distinct()
+    first = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy("h"))
+    # In two steps, so a language is cut down in many tasks before it meets in one.
+    hashes = hashes.withColumn("salt", F.pmod("h", F.lit(64))).withColumn("n", first("lang", "salt")).where(F.col("n") <= rows_per_language)
+    hashes = hashes.withColumn("n", first("lang")).where(F.col("n") <= rows_per_language).select("lang", "h")
+    taken = saved(hashes, "language-sample")
+    langs = len(taken.select("lang").distinct().take(max_languages + 1))
+    if langs > max_languages:
+        raise ValueError(f"more than {max_languages} different languages")
+    # At most max_languages * rows_per_language rows.
+    rows = rows.join(F.broadcast(taken), ["lang", "h"], "left_semi")
+    last = F.length("text") - window_chars
+    spread = [F.substring("text", F.floor(last * k / max(1, windows - 1)).cast("int") + 1, F.lit(window_chars)) for k in range(windows)]
+    sample = F.when(F.length("text") <= windows * window_chars, F.col("text")).otherwise(F.concat_ws(" ", *spread))
+    rows = rows.select("lang", "h", sample.alias("text")).distinct()
     found = rows.groupBy("lang").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", "text"))), lambda x: x["text"]), " ").alias("text"))
-    model = sorted((r["lang"], r["text"]) for r in found.collect())
-    each = total_chars // max(1, len(model))
-    return [(lang, text[:each]) for lang, text in model]
+    return sorted((r["lang"], r["text"]) for r in found.collect())
 
 
 def suffix_automaton(text: np.ndarray) -> list[dict[int, int]]:
@@ -268,8 +278,10 @@ def identify(docs: DataFrame, model: list[tuple[str, str]]) -> DataFrame:
     columns of these names are replaced; every row is on its own, so repeated rows agree.
     """
     predict = F.pandas_udf(_predict(model), "lang_pred string, score double")
-    out = docs.drop("lang_pred", "score").withColumn("_found", predict("text"))
-    return out.withColumns({"lang_pred": F.col("_found.lang_pred"), "score": F.col("_found.score")}).drop("_found")
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`").alias(c) for c in kept}
+    out = docs.select(F.struct(*quoted.values()).alias("row"), predict("text").alias("found"))
+    return out.select(*[F.col("row")[c].alias(c) for c in kept], F.col("found")["lang_pred"].alias("lang_pred"), F.col("found")["score"].alias("score"))
 
 
 def learn(docs: DataFrame, **bounds: int) -> list[tuple[str, str]]:

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import DOCS, write_tables
@@ -66,9 +67,10 @@ def test_held_out_accuracy(spark):
 def test_odd_rows(spark, tmp_path):
     rows = [(1, None, "en", "s", 0), (2, "", "en", "s", 0), (3, "123 !?", "en", "s", 0), (None, "the cat the dog", None, "s", 0)]
     rows += [(5, "the mat " * 100_000, "de", "s", 0), (5, "the mat " * 100_000, "de", "s", 0), (6, "日本", "en", "s", 0), (7, "und die", None, None, 0)]
-    docs = spark.createDataFrame(rows, DOCS).withColumns({"score": F.lit("x"), "_found": F.lit(1)}).drop("_found")
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"score": F.lit("x"), "_found": F.lit(1), "found": F.lit(2), "row": F.lit(3), "a b.c": F.lit(4)})
     out = langid.identify(docs, MODEL)
-    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "lang_pred", "score"]
+    assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "_found", "found", "row", "a b.c", "lang_pred", "score"]
+    assert {(r["_found"], r["found"], r["row"], r["a b.c"]) for r in out.collect()} == {(1, 2, 3, 4)}
     got = sorted((str(r.doc_id), r.lang_pred) for r in out.collect())
     assert [g for g in got if g[0] != "6"] == sorted(
         [("1", "und"), ("2", "und"), ("3", "und"), ("None", "aa"), ("5", "aa"), ("5", "aa"), ("7", "bb")]
@@ -85,8 +87,8 @@ def test_only_other_rows_are_learnt_from(spark):
     assert set(model) == {"en", "fr"}
     for i in range(60):
         assert (f"secret{i} " in model["en"]) == (i % 2 == 1 and zlib.crc32(str(i).encode()) % 5 != 0)
-    small = langid.learn(spark.createDataFrame(rows, DOCS), rows_per_language=3, chars_per_row=4, total_chars=20)
-    assert all(len(t) <= 10 for _, t in small)
+    small = langid.learn(spark.createDataFrame(rows, DOCS), rows_per_language=3, windows=1, window_chars=4)
+    assert all(len(t) <= 3 * 4 + 2 for _, t in small)
 
 
 def test_copies_take_one_place_of_the_sample(spark):
@@ -109,3 +111,18 @@ def test_memory_follows_the_text_whatever_the_alphabet():
     assert peak < 150e6
     texts = [wide[70:300] + "abc", model[2][1][:400], "abba 日本 cab", wide[9:40:3], "xyz"]
     assert parser.phrases(texts).tolist() == [[brute(t, x, langid.SEGMENT) for _, t in model] for x in texts]
+
+
+def test_windows_reach_over_whole_texts(spark):
+    long = "begin " + "x " * 5000 + "middle " + "x " * 5000 + "end"
+    rows = spark.createDataFrame([("en", long), ("de", "kurz")], "lang string, text string")
+    model = dict(langid.training_text(rows, windows=3, window_chars=9))
+    assert model["en"].startswith("begin ") and "middle" in model["en"] and model["en"].endswith("end") and len(model["en"]) == 3 * 9 + 2
+    assert model["de"] == "kurz"
+
+
+def test_too_many_languages_are_an_error(spark):
+    rows = spark.range(100_000).select(F.concat(F.lit("l"), "id").alias("lang"), F.lit("some text").alias("text"))
+    with pytest.raises(ValueError, match="more than 256"):
+        langid.training_text(rows)
+    assert len(langid.training_text(rows.where("id < 256"))) == 256
