@@ -13,13 +13,27 @@ from tablesync.llm import langid, linededup, mixing, packing, simhash
 from tablesync.llm.common import saved, table
 
 
+#: A label that a prediction with at least this score contradicts is corrected.
+SURE = 0.2
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language go: those without text or letters, also where there is no language to learn."""
+    """Every document gets its language; those in none go.
+
+    The languages are learnt from the stage's own labelled documents. A document without
+    text or letters is in no language; it goes, and so does no other. A null ``lang`` becomes
+    the predicted one, and a ``lang`` that the prediction contradicts with a score of
+    ``SURE`` or more is corrected, unless the document is itself in the sample that its label's
+    language was learnt from (64 documents a language). Without labelled documents there is nothing to learn and
+    nothing is filled in. Rows that repeat are treated alike; an empty table stays empty.
+    """
     model = langid.learn(docs)
     if not model:
         return docs.where(langid.has_letters("text"))
     found = langid.identify(docs, model)
-    return found.where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
+    found = found.where(F.col("lang_pred") != langid.UNDETERMINED)
+    wrong = F.col("lang").isNull() | ((F.col("lang") != F.col("lang_pred")) & (F.col("score") >= SURE))
+    return found.withColumn("lang", F.when(wrong, F.col("lang_pred")).otherwise(F.col("lang"))).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
