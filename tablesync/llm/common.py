@@ -52,8 +52,11 @@ def join_spread(left: DataFrame, right: DataFrame, key: str, by: str, parts: int
     nothing. Both sides are shuffled: a file's size says little about its repeated rows, so
     they are not left to an automatic broadcast.
     """
-    spread = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).hint("merge")
-    return left.withColumn("_part", scattered(by, parts=parts)).join(spread, [key, "_part"], "left").drop("_part")
+    part = "_part"
+    while part in left.columns or part in right.columns:
+        part += "_"
+    spread = right.withColumn(part, F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).hint("merge")
+    return left.withColumn(part, scattered(by, parts=parts)).join(spread, [key, part], "left").drop(part)
 
 
 def worker_keeps(key: object = None, make: Callable | None = None) -> object:

@@ -8,6 +8,8 @@ rule stands under its rarest token, and a URL's tokens find the rules to be trie
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,47 +66,83 @@ def url_tokens(url: str = "url") -> Column:
     return F.when(parts["host"] != "", tokens).otherwise(F.array().cast("array<string>"))
 
 
+def token_classes(items: DataFrame, min_count: int) -> DataFrame:
+    """Rows (token, part, n): tokens in ``min_count`` rows or more, and one that stands for all in the same rows.
+
+    ``items`` has row and tokens. Two tokens are in the same rows if the rows' hashes, 128
+    bits each, have the same exclusive or and number. ``part`` is the least such token.
+    """
+    each = items.select("row", F.explode("tokens").alias("token"))
+    seen = each.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("row")).alias("a"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("b")
+    )
+    seen = seen.where(F.col("n") >= min_count)
+    least = seen.groupBy("n", "a", "b").agg(F.min("token").alias("part"))
+    return seen.join(least, ["n", "a", "b"]).select("token", "part", "n")
+
+
 def mine_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT, min_confidence: float = MIN_CONFIDENCE
 ) -> DataFrame:
-    """Rules (rule_id, tokens, anchor, confidence, support) from ``labelled`` (url, bad).
+    """Rules (rule_id, tokens, anchor, confidence, support, members) from ``labelled`` (url, bad).
 
     Rows without url or label are left out. A rule needs ``min_confidence``, to be likelier
     than bad URLs are anyway, and a combination seen with "bad" in ``min_support`` of all
     labelled rows and ``min_count`` of them; one whose tokens include another rule's with
-    at least its confidence is left out. The support bounds the number of rules, whatever
-    the number of URLs. ``anchor`` is the rule's rarest token.
+    at least its confidence is left out.
+
+    Tokens that occur in exactly the same labelled rows, as all those of a URL that is
+    repeated, are mined as one and stand for each other: ``tokens`` has the one, ``members``
+    all that count for each of ``tokens``. So copies of a long URL are no more work than a
+    token. URLs that are alike but for a token or two, with many tokens, still give many
+    combinations. ``anchor`` is the rule's rarest token.
     """
     spark = labelled.sparkSession
-    label = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
-    items = labelled.where("url IS NOT NULL AND bad IS NOT NULL").select(F.concat(url_tokens(), label).alias("items"))
-    items = saved(items, "url-items")
+    rows = labelled.where("url IS NOT NULL AND bad IS NOT NULL")
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), url_tokens().alias("tokens"), "bad")
+    items = saved(rows, "url-items")
     n = items.count()
-    shape = "rule_id string, tokens array<string>, anchor string, confidence double, support double"
-    if n == 0 or min_count > n:
+    shape = "rule_id string, tokens array<string>, anchor string, confidence double, support double, members array<array<string>>"
+    least = max(min_count, math.ceil(min_support * n))
+    if n == 0 or least > n:
         return spark.createDataFrame([], shape)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(items)
+    classes = saved(token_classes(items, least), "url-classes")
+    parts = items.select("row", F.explode("tokens").alias("token")).join(classes.select("token", "part").where("token = part"), "token")
+    parts = parts.groupBy("row").agg(F.collect_set("part").alias("parts"))
+    label = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    baskets = items.select("row", label.alias("label")).join(parts, "row", "left")
+    baskets = baskets.select(F.concat(F.coalesce("parts", F.array().cast("array<string>")), "label").alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=least / n, minConfidence=min_confidence).fit(saved(baskets, "url-baskets"))
     rules = model.associationRules.where((F.col("consequent")[0] == BAD) & (F.col("lift") > 1))
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     rules = rules.withColumn("rule_id", F.array_join("tokens", " "))
-    alone = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
-    rarest = rules.select("rule_id", F.explode("tokens").alias("token")).join(alone, "token")
-    rarest = rarest.groupBy("rule_id").agg(F.min(F.struct("freq", "token")).alias("least"))
-    rules = saved(rules.join(rarest, "rule_id").withColumn("anchor", F.col("least.token")).drop("least"), "url-rules")
-    shorter = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("as_sure"), F.explode("tokens").alias("anchor"))
+    alone = classes.where("token = part").select("token", "n")
+    members = classes.groupBy("part").agg(F.array_sort(F.collect_set("token")).alias("member"))
+    told = rules.select("rule_id", F.posexplode("tokens").alias("place", "token")).join(alone, "token").join(members, F.col("token") == F.col("part"))
+    told = told.groupBy("rule_id").agg(
+        F.min(F.struct("n", "token")).alias("least"), F.transform(F.array_sort(F.collect_list(F.struct("place", "member"))), lambda x: x["member"]).alias("members")
+    )
+    rules = saved(rules.join(told, "rule_id").withColumn("anchor", F.col("least.token")).drop("least"), "url-rules")
+    # A shorter rule's anchor is among the tokens of each rule that it covers.
+    shorter = rules.select(F.col("tokens").alias("covering"), F.col("confidence").alias("as_sure"), "anchor")
     tried = rules.select("rule_id", "tokens", "confidence", F.explode("tokens").alias("anchor"))
-    covers = (F.size("part") < F.size("tokens")) & (F.size(F.array_except("part", "tokens")) == 0) & (F.col("as_sure") >= F.col("confidence"))
+    covers = (F.size("covering") < F.size("tokens")) & (F.size(F.array_except("covering", "tokens")) == 0) & (F.col("as_sure") >= F.col("confidence"))
     needless = tried.join(shorter, "anchor").where(covers).select("rule_id").distinct()
-    return saved(rules.join(needless, "rule_id", "left_anti"), "url-rules").select("rule_id", "tokens", "anchor", "confidence", "support")
+    out = saved(rules.join(needless, "rule_id", "left_anti"), "url-rules")
+    return out.select(*[c.split()[0] for c in shape.split(", ")])
 
 
 def matching(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows (url, mined): the surest of ``rules`` that each distinct url fits, if any does."""
+    """Rows (url, mined): the surest of ``rules`` that each distinct url fits, if any does.
+
+    A rule fits a URL that has, for each of its tokens, that one or one that stands for it.
+    """
     tokens = urls.where("url IS NOT NULL").select("url").distinct().withColumn("tokens", url_tokens())
     tried = tokens.withColumn("anchor", F.explode("tokens"))
-    index = rules.select("anchor", F.col("tokens").alias("wanted"), "rule_id", "confidence")
+    at = F.array_position("tokens", F.col("anchor"))
+    anchors = rules.select(F.explode(F.get("members", (at - 1).cast("int"))).alias("anchor"), "members", "rule_id", "confidence")
     # The index is short; a token that most URLs have is read from the URLs' side only.
-    tried = tried.join(index, "anchor").where(F.size(F.array_except("wanted", "tokens")) == 0)
+    tried = tried.join(anchors, "anchor").where(F.forall("members", lambda m: F.arrays_overlap(m, F.col("tokens"))))
     surest = F.min(F.struct((-F.col("confidence")).alias("c"), "rule_id")).alias("best")
     return tried.groupBy("url").agg(surest).select("url", F.col("best.rule_id").alias("mined"))
 
