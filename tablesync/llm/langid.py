@@ -278,10 +278,12 @@ def identify(docs: DataFrame, model: list[tuple[str, str]]) -> DataFrame:
     columns of these names are replaced; every row is on its own, so repeated rows agree.
     """
     predict = F.pandas_udf(_predict(model), "lang_pred string, score double")
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    quoted = {c: F.col("`" + c.replace("`", "``") + "`").alias(c) for c in kept}
-    out = docs.select(F.struct(*quoted.values()).alias("row"), predict("text").alias("found"))
-    return out.select(*[F.col("row")[c].alias(c) for c in kept], F.col("found")["lang_pred"].alias("lang_pred"), F.col("found")["score"].alias("score"))
+    found = "found"
+    while found in docs.columns:
+        found += "_"
+    # Beside the given columns and not around them: the rows wait for Python, and a text is in them once.
+    out = docs.drop("lang_pred", "score").withColumn(found, predict("text"))
+    return out.withColumns({"lang_pred": F.col(found)["lang_pred"], "score": F.col(found)["score"]}).drop(found)
 
 
 def learn(docs: DataFrame, **bounds: int) -> list[tuple[str, str]]:
