@@ -277,7 +277,8 @@ def identify(docs: DataFrame, model: list[tuple[str, str]]) -> DataFrame:
     ``und`` and 0 where text is null or has no letter, or the model has no language. Input
     columns of these names are replaced; every row is on its own, so repeated rows agree.
     """
-    predict = F.pandas_udf(_predict(model), "lang_pred string, score double")
+    # Not to be moved or repeated: a filter on the prediction would else predict a second time.
+    predict = F.pandas_udf(_predict(model), "lang_pred string, score double").asNondeterministic()
     found = "found"
     while found in docs.columns:
         found += "_"
