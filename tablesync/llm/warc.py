@@ -6,8 +6,8 @@ batches, groups the continuation records of a segmented record by their origin's
 them in order by segment number, verifies the total length and decodes the chunked
 framing of the HTTP body.
 
-The files: gzip, one per write task and per ``records_per_file`` records, so that a reader
-task holds one bounded file at a time.
+The files: gzip, one per write task and per ``file_bytes`` of records (a record holds at
+most ``segment_bytes`` and its header), so that a reader task holds one bounded file at a time.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import join_spread, saved, shared_path, table
 
 CRLF = "\r\n"
+#: Room for a record's header in the bound of a file.
+HEADER_BYTES = 1024
 RECORD_END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 #: The base-32 digits of Spark's conv() and those of RFC 4648.
@@ -46,20 +48,35 @@ def payload_digest(payload: Column) -> Column:
 
 
 def with_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Adds payload (null html: empty), payload_bytes, payload_digest and refers_to.
+    """Adds payload (null html: empty), payload_bytes, payload_digest, refers_to, own_id and refers_id.
 
     Of the pages with one payload of at least ``min_bytes`` bytes, all but that with the
     largest page_id refer to it; rows that repeat that page_id are responses too. A null
     page_id is the smallest; if a payload has no other, its pages are responses.
+
+    own_id is the UUID of a response that others refer to, refers_id that of the response a
+    page refers to; both follow from payload and page_id, so nothing has to be looked up. If
+    several rows repeat the largest page_id, no id can name one of them: both are null.
     """
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     pages = pages.withColumns({"payload": payload, "payload_bytes": F.octet_length(payload).cast("long")})
     pages = pages.withColumn("payload_digest", payload_digest(F.col("payload")))
-    copies = pages.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest")
-    last = copies.agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    rows = pages.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    last = rows.groupBy("payload_digest").agg(F.max(F.struct("page_id", "n")).alias("last"), F.sum("n").alias("n"))
+    last = last.where("n > 1").select("payload_digest", F.col("last.page_id").alias("last"), (F.col("last.n") == 1).alias("alone"))
     pages = join_spread(pages, last, "payload_digest", "page_id")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("last")), F.col("last"))
-    return pages.withColumn("refers_to", F.when(F.col("payload_bytes") >= min_bytes, refers)).drop("last")
+    pages = pages.withColumn("refers_to", F.when(F.col("payload_bytes") >= min_bytes, refers))
+    named = F.when(F.col("alone") & (F.col("payload_bytes") >= min_bytes), _uuid_of(F.col("payload_digest"), F.col("last")))
+    ids = {"own_id": F.when(F.col("page_id") == F.col("last"), named), "refers_id": F.when(F.col("refers_to").isNotNull(), named)}
+    return pages.withColumns(ids).drop("last", "alone")
+
+
+def _uuid_of(*named: Column) -> Column:
+    """A name-based UUID (SHA-1, version 5 by its marks)."""
+    sha = F.sha1(F.concat_ws(":", *[c.cast("string") for c in named]))
+    parts = [F.substring(sha, 1, 8), F.substring(sha, 9, 4), F.concat(F.lit("5"), F.substring(sha, 14, 3))]
+    return F.concat_ws("-", *parts, F.concat(F.lit("8"), F.substring(sha, 18, 3)), F.substring(sha, 21, 12))
 
 
 def _text(data: Column) -> Column:
@@ -84,19 +101,23 @@ def chunked(data: Column, size: int) -> Column:
 
 
 def write_warc(
-    pages: DataFrame, path: str, segment_bytes: int = 16384, chunk_bytes: int = 4096, records_per_file: int = 20000
+    pages: DataFrame, path: str, segment_bytes: int = 16384, chunk_bytes: int = 4096, file_bytes: int = 256 << 20
 ) -> None:
     """Write a record per row of ``pages`` (page_id, url, html), see ``with_revisits``.
 
     A response longer than ``segment_bytes`` becomes a record and its continuations.
-    Record ids are random; each record and its segments are written by one task.
+    A record's id is random, but for responses that others refer to; each record and its
+    segments are written by one task, all with the time of the write as their date. A file
+    holds ``file_bytes`` before compression at most, taking 1,024 bytes for a header (what a
+    longer URL takes beyond them comes on top).
     """
     pages = with_revisits(pages.select("page_id", "url", "html"))
     revisit = F.col("refers_to").isNotNull()
     body = F.when(revisit, F.lit("")).otherwise(chunked(F.col("payload"), chunk_bytes))
-    pages = pages.withColumns({"id": F.uuid(), "block": F.concat(F.lit(HTTP_HEAD), body).cast("binary")})
+    pages = pages.withColumns({"id": F.coalesce("own_id", F.uuid()), "block": F.concat(F.lit(HTTP_HEAD), body).cast("binary")})
     pages = pages.withColumn("total", F.octet_length("block").cast("long"))
     pages = pages.select("*", F.posexplode(_pieces(F.col("block"), F.col("total"), segment_bytes)).alias("pos", "piece"))
+    pages = pages.withColumn("record", F.when(F.col("pos") == 0, F.col("id")).otherwise(F.uuid()))
 
     def header(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit(CRLF))
@@ -107,19 +128,25 @@ def write_warc(
     always, first, split = F.lit(True), F.col("pos") == 0, F.col("total") > segment_bytes
     ends = (F.col("pos") + 1) * segment_bytes >= F.col("total")
     kind = F.when(~first, F.lit("continuation")).when(revisit, F.lit("revisit")).otherwise(F.lit("response"))
-    own = F.concat(F.lit("<urn:uuid:"), F.col("id"), F.when(first, "").otherwise(F.concat(F.lit("-"), F.col("pos") + 1)), F.lit(">"))
+    utc = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+
+    def urn(uuid: str) -> Column:
+        return F.concat(F.lit("<urn:uuid:"), F.col(uuid), F.lit(">"))
+
     profile = F.lit("http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")
     record = F.concat(
         F.lit(f"WARC/1.0{CRLF}"),
         header("WARC-Type", kind),
-        header("WARC-Record-ID", own),
+        header("WARC-Record-ID", urn("record")),
+        header("WARC-Date", F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         when(first, "WARC-Target-URI", F.regexp_replace("url", r"[\r\n]", "")),
         when(always, "WARC-Page-ID", F.col("page_id")),
         when(first, "WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
         when(first & revisit, "WARC-Profile", profile),
+        when(first, "WARC-Refers-To", urn("refers_id")),
         when(first, "WARC-Refers-To-Page-ID", F.col("refers_to")),
         when(split, "WARC-Segment-Number", F.col("pos") + 1),
-        when(~first, "WARC-Segment-Origin-ID", F.concat(F.lit("<urn:uuid:"), F.col("id"), F.lit(">"))),
+        when(~first, "WARC-Segment-Origin-ID", urn("id")),
         when(split & ends, "WARC-Segment-Total-Length", F.col("total")),
         header("Content-Type", F.lit("application/http; msgtype=response")),
         header("Content-Length", F.octet_length("piece")),
@@ -127,7 +154,7 @@ def write_warc(
         _text(F.col("piece")),
     )
     out = pages.select(record.alias("value")).write.option("lineSep", RECORD_END).option("compression", "gzip")
-    out.option("maxRecordsPerFile", records_per_file).text(path)
+    out.option("maxRecordsPerFile", max(1, file_bytes // (segment_bytes + HEADER_BYTES))).text(path)
 
 
 # --------------------------------------------------------------------------------- reading

@@ -1,4 +1,5 @@
 import gzip
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,32 @@ def test_odd_pages(spark, tmp_path):
     assert same_as_sql(warc.op2_warc(spark, data), warc.OP2_SQL, con)
 
 
+def test_headers_of_the_format(spark, tmp_path):
+    rows = [(k, f"http://h/{k}", "same" if k < 40 else "tie" if k < 60 else "x" * k * 20) for k in range(100)]
+    rows += [(59, "http://h/again", "tie")]
+    path = tmp_path / "w"
+    warc.write_warc(spark.createDataFrame(rows, PAGES).coalesce(2), str(path), segment_bytes=512, file_bytes=8 << 10)
+    heads = []
+    for file in path.glob("*.gz"):
+        data = gzip.decompress(file.read_bytes())
+        assert len(data) <= 8 << 10
+        heads += [head for head, _ in warc.records(data)]
+    ids = [h["warc-record-id"] for h in heads]
+    assert len(set(ids)) == len(ids)
+    uuid = "[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+    assert all(re.fullmatch(f"<urn:uuid:{uuid}>", i) for i in ids)
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["warc-date"]) for h in heads)
+    by_id = dict(zip(ids, heads, strict=True))
+    origins = [by_id[h["warc-segment-origin-id"]] for h in heads if h["warc-type"] == "continuation"]
+    assert origins and all(h["warc-segment-number"] == "1" for h in origins)
+    revisits = {int(h["warc-page-id"]): h for h in heads if h["warc-type"] == "revisit"}
+    assert set(revisits) == {*range(39), *range(40, 59)}
+    for k in range(39):
+        assert by_id[revisits[k]["warc-refers-to"]]["warc-page-id"] == "39"
+    # Two rows have page 59: a revisit names the page, no record.
+    assert all("warc-refers-to" not in revisits[k] and revisits[k]["warc-refers-to-page-id"] == "59" for k in range(40, 59))
+
+
 def test_empty_table(spark, tmp_path):
     assert warc.op2_warc(spark, write_tables(spark, tmp_path)).count() == 0
 
