@@ -21,6 +21,9 @@ _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 # Fixed value: this table list means every table of the database.
 ALL_TABLES = "ALL"
 
+#: Partition folders whose files are listed at once.
+FOLDERS_PER_LISTING = 1000
+
 
 def list_tables(spark: SparkSession, database: str, tables: str | list[str]) -> list[str]:
     """The configured names, or every table of ``database`` for ``ALL``."""
@@ -130,19 +133,52 @@ def _nested(locations: set[str]) -> bool:
     return any(b.startswith(a) for a, b in zip(ordered, ordered[1:]))
 
 
+def _bytes_under(spark: SparkSession, folders: list[str]) -> int:
+    """Bytes of the files under these folders, of which some may be missing."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+        return files.agg(F.sum("length")).first()[0] or 0
+    except AnalysisException as exc:
+        if len(folders) == 1:  # no folder: the partition has no size
+            log.info("no files at %s: %s", folders[0], exc)
+            return 0
+    half = len(folders) // 2
+    return _bytes_under(spark, folders[:half]) + _bytes_under(spark, folders[half:])
+
+
+def partitioned_size(spark: SparkSession, table: str, location: str) -> int:
+    """S8 for one partitioned table: bytes of the partitions that the catalog has, in their folders
+    below ``location``.
+
+    The files of ``FOLDERS_PER_LISTING`` folders are listed and added up at a time (in a
+    distributed job), so the driver holds the partitions' names and one batch's files, never
+    those of the whole table. A partition kept elsewhere does not count, as none of its
+    files lie below ``location``.
+    """
+    total, batch = 0, []
+    for row in spark.sql(f"SHOW PARTITIONS {quote_ident(table)}").toLocalIterator():
+        batch.append(f"{location.rstrip('/')}/{row['partition']}")
+        if len(batch) == FOLDERS_PER_LISTING:
+            total += _bytes_under(spark, batch)
+            batch = []
+    return total + (_bytes_under(spark, batch) if batch else 0)
+
+
 def catalog_sizes(spark: SparkSession, database: str, tables: str | list[str]) -> DataFrame:
     """S7 + S8 on catalog tables: ``table_name string, bytes long``, a row per table with a size.
 
     One ``SHOW TABLE EXTENDED`` call reads every table's location and, where the catalog
-    has it, its size; only the files of tables without a recorded size are listed. Names
-    match as the catalog matches them, in any case; an unknown one is an error. The result
-    of that call has one entry per table (metadata).
+    has it, its size; only the files of tables without a recorded size are listed, those of a
+    partitioned table by batches of its partitions' folders, unless the folders of tables
+    nest. Names match as the catalog matches them, in any case; an unknown one is an error.
+    The result of that call has one entry per table (metadata).
     """
     info = spark.sql(f"SHOW TABLE EXTENDED IN {quote_ident(database)} LIKE '*'").where(~F.col("isTemporary"))
     found = info.select(
         "tableName",
         F.regexp_extract("information", r"(?m)^Location: (.*)$", 1).alias("location"),
         F.regexp_extract("information", r"(?m)^Statistics: ([0-9]+) bytes", 1).alias("bytes"),
+        F.col("information").rlike(r"(?m)^Partition Provider: Catalog$").alias("partitioned"),
     )
     known = {r["tableName"].lower(): r for r in found.collect()}
     names = list(dict.fromkeys(t.lower() for t in list_tables(spark, database, tables)))
@@ -152,5 +188,10 @@ def catalog_sizes(spark: SparkSession, database: str, tables: str | list[str]) -
     chosen = [known[t] for t in names]
     recorded = [(r["tableName"], int(r["bytes"])) for r in chosen if r["bytes"]]
     listed = {r["tableName"]: r["location"] for r in chosen if not r["bytes"] and r["location"]}
+    if not _nested({_bare(r["location"]) for r in known.values() if r["location"]}):
+        for r in chosen:
+            if r["partitioned"] and r["tableName"] in listed:
+                found_bytes = partitioned_size(spark, f"{database}.{r['tableName']}", listed.pop(r["tableName"]))
+                recorded += [(r["tableName"], found_bytes)] if found_bytes else []
     sizes = spark.createDataFrame(recorded, "table_name string, bytes long")
     return sizes.unionByName(file_sizes(spark, listed)) if listed else sizes

@@ -330,6 +330,29 @@ def test_sizes_of_named_tables(spark):
         catalog_size_report(spark, db, "ORDERS,part,nosuch")
 
 
+def test_sizes_of_partitions_by_batches(spark, monkeypatch):
+    """The files of a partitioned table without statistics are listed a batch of folders at a time."""
+    from tablesync import catalog_size_report
+    from tablesync.sources import catalog
+
+    db = fresh_database(spark)
+    days = spark.range(60).selectExpr("id", "CAST(id % 20 AS INT) AS cda_year", "concat('a:b c', id % 3) AS region")
+    days.write.partitionBy("cda_year", "region").saveAsTable(f"{db}.parts")
+    spark.range(7).write.saveAsTable(f"{db}.plain")
+    elsewhere = f"{shared_root(spark)}/elsewhere/{db}"
+    spark.sql(f"ALTER TABLE {db}.parts ADD PARTITION (cda_year = 99, region = 'x') LOCATION '{elsewhere}'")
+    location = catalog.describe_table(spark, f"{db}.parts").location
+    want = catalog.file_sizes(spark, {"parts": location}).first().bytes
+    plain = catalog.file_sizes(spark, {"plain": catalog.describe_table(spark, f"{db}.plain").location}).first().bytes
+
+    seen, real = [], catalog._bytes_under
+    monkeypatch.setattr(catalog, "FOLDERS_PER_LISTING", 7)
+    monkeypatch.setattr(catalog, "_bytes_under", lambda s, folders: (seen.append(len(folders)), real(s, folders))[1])
+    rows = {r.table_name: r.bytes for r in catalog_size_report(spark, db, "ALL").collect()}
+    assert rows == {"parts": want, "plain": plain}
+    assert len(seen) >= 9 and max(seen) == 7
+
+
 def test_raw_relay_keeps_blanks(spark):
     root = f"{shared_root(spark)}/blanks/{fresh_database(spark)}"
     rows = [("  x  ", " z"), ("y", "\tq "), ("007", "FALSE")]
