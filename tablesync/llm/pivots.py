@@ -21,28 +21,41 @@ from .common import components, join_spread, saved, table
 from .simhash import _unite
 from .vectors import in_blocks, matrix, usable
 
-#: Reference points, how many describe a vector, in how many lists it is entered, and how
-#: many a pair must share.
-PIVOTS, DESCRIBED_BY, ENTERED_IN, SHARED = 128, 12, 5, 4
+#: The fewest and the most reference points.
+PIVOTS, MOST_PIVOTS = 128, 2048
+#: How many of ``PIVOTS`` describe a vector, in how many lists it is entered, how many a pair must share.
+DESCRIBED_BY, ENTERED_IN, SHARED = 12, 5, 4
 #: No two reference points have a cosine of this or more; candidates for them, and components of those in all.
 APART, CANDIDATES, COMPONENTS = 0.8, 4096, 1 << 20
 BLOCK_ROWS = 2048
 SIMILARITY = 0.93
 
 
+def pivots_for(entries: int) -> int:
+    """About four times the square root of the number of entries, a power of two.
+
+    A list then holds about the square root of the entries, so pairs that meet are a falling
+    share of all pairs, and describing a vector costs as much as comparing it.
+    """
+    wanted = 4 * max(1, entries) ** 0.5
+    return min(MOST_PIVOTS, max(PIVOTS, 1 << round(np.log2(wanted))))
+
+
 def choose_pivots(entries: DataFrame, pivots: int) -> dict[int, np.ndarray]:
     """Reference points per vector length: entries in hashed order, less those near an earlier one; bounded.
 
     A dense group gets one or a few of them whatever its share of the entries: among many
     that are almost equally near, noise would rank them and true pairs would share too few.
-    With fewer than ``pivots`` points that far apart, there are fewer.
+    With fewer than ``pivots`` points that far apart, there are fewer; so there are beyond
+    ``PIVOTS`` of them if they had more than ``COMPONENTS`` components in all.
     """
     found = {}
     for dim in [r[0] for r in entries.select("dim").distinct().collect()]:
-        most = max(pivots, min(CANDIDATES, COMPONENTS // dim))
+        few = min(pivots, max(PIVOTS, COMPONENTS // dim))
+        most = max(few, min(CANDIDATES, COMPONENTS // dim))
         rows = entries.where(F.col("dim") == dim).orderBy(F.xxhash64(F.lit(5), "node"), "node").limit(most)
         points = np.array([r["vector"] for r in rows.select("vector").collect()], dtype=np.float64)
-        found[dim] = _apart(points / np.linalg.norm(points, axis=1)[:, None], pivots)
+        found[dim] = _apart(points / np.linalg.norm(points, axis=1)[:, None], few)
     return found
 
 
@@ -67,8 +80,11 @@ def _described(pivots: dict[int, np.ndarray], described_by: int):
         for dim, points in pivots.items():
             at = np.flatnonzero(sizes == dim)
             if len(at):
-                near = matrix(vectors.iloc[at]) @ points.T
-                for k, row in zip(at, np.argsort(-near, axis=1, kind="stable")[:, :described_by], strict=True):
+                away = -(matrix(vectors.iloc[at]) @ points.T)
+                most = min(described_by, len(points))
+                first = np.sort(np.argpartition(away, most - 1, axis=1)[:, :most], axis=1)
+                order = np.argsort(np.take_along_axis(away, first, axis=1), axis=1, kind="stable")
+                for k, row in zip(at, np.take_along_axis(first, order, axis=1), strict=True):
                     out[k] = row.astype(np.int32)
         return pd.Series(out)
 
@@ -83,16 +99,16 @@ def _compare(similarity: float, entered_in: int, shared: int, pivots: int):
         v = matrix(rows["vector"])
         v /= np.linalg.norm(v, axis=1)[:, None]
         near = np.stack(rows["near"].to_list())
-        every, lists = _sets(near, pivots), _sets(near[:, :entered_in], pivots)
-        before = _sets(np.arange(rows["pivot"].iloc[0])[None, :], pivots)[0]
+        every, lists = _inverted(near, pivots), _inverted(near[:, :entered_in], pivots)
+        least, pivot = min(shared, near.shape[1]), rows["pivot"].iloc[0]
         links, root = np.zeros(n, np.int64), np.arange(n)
         # Rows are sorted by block: a row of the first block meets the second one, or those behind it.
         for i in range(n if one == two else int((own == one).sum())):
             begin = i + 1 if one == two else int((own == one).sum())
-            others = slice(begin, n)
-            earlier = ((lists[others] & lists[i] & before) != 0).any(axis=1)
-            common = np.bitwise_count(every[others] & every[i]).sum(axis=1)
-            j = begin + np.flatnonzero(~earlier & (common >= min(shared, near.shape[1])))
+            common = every[near[i], begin:].sum(axis=0, dtype=np.uint8)
+            j = begin + np.flatnonzero(common >= least)
+            earlier = near[i, :entered_in][near[i, :entered_in] < pivot]
+            j = j[~lists[np.ix_(earlier, j)].any(axis=0)]
             j = j[np.einsum("ij,j->i", v[j], v[i]) >= similarity]
             if len(j):
                 links[i] += copies[j].sum()
@@ -104,21 +120,19 @@ def _compare(similarity: float, entered_in: int, shared: int, pivots: int):
     return run
 
 
-def _sets(numbers: np.ndarray, size: int) -> np.ndarray:
-    """Rows of numbers below ``size`` as sets of bits in 64-bit words."""
-    out = np.zeros((len(numbers), size), np.uint8)
-    if numbers.shape[1]:
-        np.put_along_axis(out, numbers.astype(np.int64), 1, axis=1)
-    words = np.packbits(np.pad(out, ((0, 0), (0, -size % 64))), axis=1, bitorder="little")
-    return words.view(np.uint64)
+def _inverted(near: np.ndarray, pivots: int) -> np.ndarray:
+    """A row per pivot: 1 where the vector of that column has the pivot among its own."""
+    out = np.zeros((pivots, len(near)), np.uint8)
+    out[near.T, np.arange(len(near))] = 1
+    return out
 
 
 def near_vectors(
     rows: DataFrame,
     similarity: float = SIMILARITY,
-    pivots: int = PIVOTS,
-    described_by: int = DESCRIBED_BY,
-    entered_in: int = ENTERED_IN,
+    pivots: int | None = None,
+    described_by: int | None = None,
+    entered_in: int | None = None,
     shared: int = SHARED,
 ) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one for each row of ``rows`` (vec_id, embedding, label).
@@ -130,6 +144,9 @@ def near_vectors(
     nothing. Rows that repeat are rows of their own and link. A null vec_id is never a
     component_id unless all of its component are null; such rows are not kept. An empty
     table gives an empty result. Other columns are not used.
+
+    ``pivots`` follows the number of different vectors if it is not given, and the other two
+    grow a little with each doubling of it, as a vector's order of many pivots is less stable.
     """
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
     fit = usable("embedding") & F.col("label").isNotNull()
@@ -138,6 +155,10 @@ def near_vectors(
         F.first("label").alias("label"), F.first("embedding").alias("vector"), F.count(F.lit(1)).alias("copies")
     )
     entries = saved(entries.withColumn("dim", F.size("vector")), "pivot-entries")
+    pivots = pivots or pivots_for(entries.count())
+    doubled = max(0, round(np.log2(pivots / PIVOTS)))
+    described_by = described_by or DESCRIBED_BY + 2 * doubled
+    entered_in = entered_in or ENTERED_IN + (doubled + 1) // 2
     describe = _described(choose_pivots(entries, pivots), described_by)
     entered = entries.withColumn("near", describe("vector"))
     entered = entered.withColumn("pivot", F.explode(F.slice("near", 1, entered_in)))

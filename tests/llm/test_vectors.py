@@ -156,6 +156,23 @@ def test_a_third_of_the_vectors_in_one_dense_group(spark):
     assert (got <= want).all() and got.sum() >= 0.99 * want.sum() > 0
 
 
+def test_pivots_follow_the_rows(spark):
+    """More reference points make shorter lists and lose no more links."""
+    assert [pivots.pivots_for(n) for n in (0, 1, 1000, 4096, 1 << 16, 1 << 18, 10**12)] == [128, 128, 128, 256, 1024, 2048, 2048]
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=(3000, 64))
+    v[1500:] = v[:1500] + 0.36 * rng.normal(size=(1500, 64))  # cosines around the threshold
+    v = v.astype("f4")
+    unit = v.astype(float) / np.linalg.norm(v.astype(float), axis=1)[:, None]
+    want = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    df = spark.createDataFrame([(i, x.tolist(), 0) for i, x in enumerate(v)], ROWS).cache()
+    for count in (512, 2048):
+        links = {r.vec_id: r.n_links for r in pivots.near_vectors(df, pivots=count).collect()}
+        got = np.array([links[i] for i in range(3000)])
+        assert (got <= want).all() and got.sum() >= 0.98 * want.sum() > 500
+    df.unpersist()
+
+
 def test_whole_table(spark):
     got = sorted(map(tuple, pivots.op10_pivots(spark, SF).collect()))
     assert got == brute_links(given(), 0.93)
