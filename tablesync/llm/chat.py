@@ -4,7 +4,8 @@ Each turn is rendered as ``<|im_start|>role`` newline ``text<|im_end|>`` newline
 string inside a text gets a backslash behind its first character (one more if it has some
 already), so no text can end a turn and unescaping gives the text back.
 
-Prefix sums of the turns' tokens cut a conversation into spans of whole turns. A span's
+Prefix sums of the turns' tokens cut a conversation into stretches of some windows' length;
+in a stretch whole turns go into a span until the next one would not fit. A span's
 window opens with the system turn and with as many turns from the end of the span before
 as the history allows; both are repeated, so they are not learnt again: the loss mask
 covers each assistant text in the one window where it is new.
@@ -26,6 +27,8 @@ ESCAPED = rf"(<|\[)\\(\\*)(?={CONTROL_TAILS})"
 #: Tokens of a turn besides its words: its markers and role.
 TURN_TOKENS = 4
 BUDGET, HISTORY = 1024, 128
+#: Windows' worth of tokens in a stretch, which is filled in one row.
+STRETCH = 16
 
 
 def escape(text: Column) -> Column:
@@ -43,8 +46,9 @@ def format_chats(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY)
     points of ``formatted``), n_repeated (turns at its head that an earlier window has)
     and tokens (words and ``TURN_TOKENS`` a turn).
 
-    A window keeps to ``budget`` tokens as long as no turn is longer than half of what the
-    system turn and the history leave; turns are never cut. The system turn is a first turn
+    A window keeps to ``budget`` tokens as long as no turn is longer than what the system
+    turn and the history leave; turns are never cut. A span ends where the next turn would
+    not fit, or with its stretch (``STRETCH`` windows of tokens). The system turn is a first turn
     of role system. Turns go by turn (null first), ties by role and text; rows that repeat
     are turns of their own. A null text or role is empty, and rows of a null conv_id are
     one conversation. An empty table gives no windows. Other columns are not used.
@@ -63,11 +67,31 @@ def format_chats(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY)
     system = (F.col("place") == 1) & (F.col("role") == "system")
     turns = turns.withColumns({"system": system, "ends": F.sum("tokens").over(so_far)})
     turns = turns.withColumn("first_tokens", F.coalesce(F.max(F.when(F.col("system"), F.col("tokens"))).over(whole), F.lit(0)))
-    span = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.col("first_tokens")) / 2))
-    begins = F.greatest(F.lit(0), F.col("ends") - F.col("tokens") - F.col("first_tokens"))
-    turns = turns.withColumns({"span": F.floor(begins / span), "begins": F.col("ends") - F.col("tokens")})
-    new_span = F.col("span") != F.lag("span", 1).over(order)
-    turns = turns.withColumn("window", F.sum(F.when(new_span, 1).otherwise(0)).over(so_far))
+    room = F.greatest(F.lit(1), F.lit(budget - history) - F.col("first_tokens"))
+    behind_system = F.greatest(F.lit(0), F.col("ends") - F.col("tokens") - F.col("first_tokens"))
+    turns = turns.withColumn("stretch", F.floor(behind_system / (room * STRETCH)))
+    each = F.struct("place", "role", "text", "tokens", "system", "ends")
+    stretches = turns.groupBy("conv_id", "stretch").agg(
+        F.max("first_tokens").alias("first_tokens"), F.array_sort(F.collect_list(each)).alias("all")
+    )
+
+    def fill(state: Column, t: Column) -> Column:
+        size = F.when(t["system"], 0).otherwise(t["tokens"])
+        first = (F.col("stretch") == 0) & (F.size(state["starts"]) == 0)  # no history goes before it
+        limit = F.when(first, F.lit(budget) - F.col("first_tokens")).otherwise(room)
+        full = (state["used"] > 0) & (state["used"] + size > limit)
+        used = F.when(full, size).otherwise(state["used"] + size)
+        starts = F.when(full, F.concat(state["starts"], F.array(t["place"]))).otherwise(state["starts"])
+        return F.struct(used.alias("used"), starts.alias("starts"))
+
+    nothing = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("starts"))
+    opens = F.when(F.col("stretch") > 0, F.slice(F.transform("all", lambda t: t["place"]), 1, 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.concat(opens, F.aggregate("all", nothing, fill, lambda s: s["starts"]))
+    turns = stretches.select("conv_id", starts.alias("starts"), "all").select("conv_id", "starts", F.inline("all"))
+    order = W.partitionBy("conv_id").orderBy("place")
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    new_span = F.array_contains("starts", F.col("place")).cast("long")
+    turns = turns.withColumns({"window": F.sum(new_span).over(so_far), "begins": F.col("ends") - F.col("tokens")}).drop("starts")
     turns = turns.withColumns(
         {"last": F.max("window").over(whole), "behind": F.max("ends").over(W.partitionBy("conv_id", "window"))}
     )
@@ -176,16 +200,21 @@ def op6_chat(spark, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = rf"""
-WITH c AS (SELECT conv_id, turn, role, text FROM conversations
+WITH RECURSIVE c AS (SELECT conv_id, turn, role, text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}'),
 t AS (SELECT conv_id, role, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + {TURN_TOKENS} AS tokens,
     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
   FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM c)),
 e AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY place) AS ends, place = 1 AND role = 'system' AS system,
     coalesce(max(CASE WHEN place = 1 AND role = 'system' THEN tokens END) OVER (PARTITION BY conv_id), 0) AS ft FROM t),
-s AS (SELECT *, greatest(0, ends - tokens - ft) // greatest(1, floor(({BUDGET} - {HISTORY} - ft) / 2)::BIGINT) AS span FROM e),
-f AS (SELECT *, coalesce(span <> lag(span) OVER (PARTITION BY conv_id ORDER BY place), false)::INT AS fresh FROM s),
-w AS (SELECT *, sum(fresh) OVER (PARTITION BY conv_id ORDER BY place) AS win FROM f),
+s AS (SELECT *, CASE WHEN system THEN 0 ELSE tokens END AS fresh, greatest(1, {BUDGET} - {HISTORY} - ft) AS room,
+    greatest(0, ends - tokens - ft) // (greatest(1, {BUDGET} - {HISTORY} - ft) * {STRETCH}) AS stretch FROM e),
+g(conv_id, place, stretch, used, win) AS (SELECT conv_id, place, stretch, fresh::HUGEINT, 0 FROM s WHERE place = 1
+  UNION ALL SELECT n.conv_id, n.place, n.stretch, CASE WHEN n.full THEN n.fresh ELSE n.used + n.fresh END, n.win + n.full::INT
+  FROM (SELECT s.*, g.used, g.win, s.stretch <> g.stretch
+      OR (g.used > 0 AND g.used + s.fresh > CASE WHEN g.win = 0 THEN {BUDGET} - s.ft ELSE s.room END) AS full
+    FROM g JOIN s ON s.conv_id IS NOT DISTINCT FROM g.conv_id AND s.place = g.place + 1) n),
+w AS (SELECT s.*, g.win FROM s JOIN g ON s.conv_id IS NOT DISTINCT FROM g.conv_id AND s.place = g.place),
 b AS (SELECT *, max(win) OVER (PARTITION BY conv_id) AS last, max(ends) OVER (PARTITION BY conv_id, win) AS behind FROM w),
 r AS (SELECT *, CASE WHEN system THEN 1 + last - win
     WHEN win < last AND behind - (ends - tokens) <= {HISTORY} THEN 2 ELSE 1 END AS times FROM b)

@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,6 +64,44 @@ def test_windows(spark):
         assert [t for w in sorted(learnt[conv]) for t in learnt[conv][w]] == [t for role, t in mine if role == "assistant"]
 
 
+def _greedy(sizes, budget, history):
+    """Window of each turn: (first, size) pairs in order, filled one after the other."""
+    lead = sizes[0][1] if sizes[0][0] else 0
+    room, at, used, window, before, out = max(1, budget - history - lead), 0, 0, 0, 0, []
+    for is_lead, size in sizes:
+        mine = 0 if is_lead else size
+        stretch = at // (room * chat.STRETCH)
+        limit = budget - lead if window == 0 else room
+        if stretch != before or (used > 0 and used + mine > limit):
+            window, used = window + 1, 0
+        used, at, before = used + mine, at + mine, stretch
+        out.append(window)
+    return out
+
+
+def test_spans_are_filled(spark):
+    """Windows equal those filled one turn at a time; a conversation of many windows fills them."""
+    rng = random.Random(5)
+    rows = []
+    for conv in range(12):
+        n = rng.choice([(1, 5), (40, 30), (700, 12), (60, 130)])
+        rows += [(conv, 0, "system", "w " * rng.choice([0, 7, 90, 120]))] if conv % 3 else []
+        rows += [(conv, i, "user" if i % 2 else "assistant", "w " * rng.randrange(n[1])) for i in range(1, n[0] + 1)]
+    rows += [(99, i, "user", "w " * 6) for i in range(900)]
+    windows = chat.format_chats(spark.createDataFrame(rows, TURNS), budget=100, history=20)
+    got, full = {}, []
+    for r in chat.read_back(windows).collect():
+        got.setdefault(r.conv_id, {})[r.window] = len(r.turns)
+    for w in windows.where("conv_id = 99").collect():
+        full.append(w.tokens)
+    for conv in {r[0] for r in rows}:
+        mine = sorted(r for r in rows if r[0] == conv)
+        sizes = [(i == 0 and r[2] == "system", len(r[3].split()) + chat.TURN_TOKENS) for i, r in enumerate(mine)]
+        want = _greedy(sizes, 100, 20)
+        assert got[conv] == {w: want.count(w) for w in set(want)}
+    assert max(full) <= 100 and sum(full) / len(full) > 85
+
+
 def test_plan_has_no_python(spark):
     plan = chat.op6_chat(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
