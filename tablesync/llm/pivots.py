@@ -28,11 +28,13 @@ DESCRIBED_BY, ENTERED_IN, SHARED = 12, 5, 4
 #: No two reference points have a cosine of this or more; candidates for them, and components of those in all.
 APART, CANDIDATES, COMPONENTS = 0.8, 4096, 1 << 20
 BLOCK_ROWS = 2048
+#: Cells of the arrays that rows of a list are compared with, at a time.
+BATCH = 1 << 20
 SIMILARITY = 0.93
 
 
 def pivots_for(entries: int) -> int:
-    """About four times the square root of the number of entries, a power of two.
+    """About four times the square root of the number of a label's entries, a power of two.
 
     A list then holds about the square root of the entries, so pairs that meet are a falling
     share of all pairs, and describing a vector costs as much as comparing it.
@@ -103,23 +105,37 @@ def _compare(similarity: float, entered_in: int, shared: int, pivots: int):
         least, pivot = min(shared, near.shape[1]), rows["pivot"].iloc[0]
         links, root = np.zeros(n, np.int64), np.arange(n)
         # Rows are sorted by block: a row of the first block meets the second one, or those behind it.
-        for i in range(n if one == two else int((own == one).sum())):
-            begin = i + 1 if one == two else int((own == one).sum())
-            common = every[near[i], begin:].sum(axis=0, dtype=np.uint8)
-            j = begin + np.flatnonzero(common >= least)
-            earlier = near[i, :entered_in][near[i, :entered_in] < pivot]
-            j = j[~lists[np.ix_(earlier, j)].any(axis=0)]
-            j = j[np.einsum("ij,j->i", v[j], v[i]) >= similarity]
-            if len(j):
-                links[i] += copies[j].sum()
-                links[j] += copies[i]
-                _unite(root, np.full(len(j), i), j)
+        firsts = n if one == two else int((own == one).sum())
+        many = max(1, BATCH // (n * near.shape[1]))
+        for at in range(0, firsts, many):
+            mine = np.arange(at, min(at + many, firsts))
+            begin = at + 1 if one == two else firsts
+            common = every[near[mine], begin:].sum(axis=1, dtype=np.uint8)
+            i, j = np.nonzero(common >= least)
+            i, j = mine[i], begin + j
+            i, j = i[j > i], j[j > i]
+            lists_of = near[i, :entered_in]
+            met = ((lists_of < pivot) & (lists[lists_of, j[:, None]] > 0)).any(axis=1)
+            i, j = i[~met], j[~met]
+            links_here = _cosines(v, i, j) >= similarity
+            i, j = i[links_here], j[links_here]
+            np.add.at(links, i, copies[j])
+            np.add.at(links, j, copies[i])
+            _unite(root, i, j)
         some = np.flatnonzero(links)
         return pd.DataFrame({"a": node[some], "b": node[root[some]], "links": links[some]})
 
     return run
 
 
+def _cosines(v: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Inner products of the rows i and j, some at a time."""
+    out, some = np.empty(len(i)), max(1, BATCH // v.shape[1])
+    for k in range(0, len(i), some):
+        out[k : k + some] = np.einsum("ij,ij->i", v[i[k : k + some]], v[j[k : k + some]])
+    return out
+
+
 def _inverted(near: np.ndarray, pivots: int) -> np.ndarray:
     """A row per pivot: 1 where the vector of that column has the pivot among its own."""
     out = np.zeros((pivots, len(near)), np.uint8)
@@ -145,7 +161,7 @@ def near_vectors(
     component_id unless all of its component are null; such rows are not kept. An empty
     table gives an empty result. Other columns are not used.
 
-    ``pivots`` follows the number of different vectors if it is not given, and the other two
+    ``pivots`` follows the number of different vectors of the largest label if it is not given, and the other two
     grow a little with each doubling of it, as a vector's order of many pivots is less stable.
     """
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding")
@@ -155,7 +171,8 @@ def near_vectors(
         F.first("label").alias("label"), F.first("embedding").alias("vector"), F.count(F.lit(1)).alias("copies")
     )
     entries = saved(entries.withColumn("dim", F.size("vector")), "pivot-entries")
-    pivots = pivots or pivots_for(entries.count())
+    if pivots is None:
+        pivots = pivots_for(entries.groupBy("label", "dim").count().agg(F.max("count")).first()[0] or 0)
     doubled = max(0, round(np.log2(pivots / PIVOTS)))
     described_by = described_by or DESCRIBED_BY + 2 * doubled
     entered_in = entered_in or ENTERED_IN + (doubled + 1) // 2
