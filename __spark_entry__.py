@@ -559,11 +559,21 @@ def q_csv_relay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _relay(spark, sf_dir, infer=False)
 
 
+#: Files in a folder of documents; a task writes one folder.
+_FOLDER_DOCUMENTS = 1000
+#: Where the shared folder is on a disk, Hadoop starts a process to set the mode of each file,
+#: and one more for a checksum file beside it: without checksums, one a document.
+_PLAIN_LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_root(spark)}/documents/{fresh_database(spark)}"
     c = _read(spark, sf_dir, "customer")
     doc = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal")).alias("value")
-    c.select(doc).write.option("maxRecordsPerFile", 1).text(path)
+    folders = max(1, -(-c.count() // _FOLDER_DOCUMENTS))
+    # A folder for each task: the commit moves folders, and they are listed side by side.
+    docs = c.select(doc).repartition(folders).withColumn("folder", F.spark_partition_id())
+    docs.write.partitionBy("folder").option("maxRecordsPerFile", 1).options(**_PLAIN_LOCAL_FILES).text(path)
     return read_json_documents(spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 

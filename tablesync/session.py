@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 OVERWRITE_MODE_KEY = "spark.sql.sources.partitionOverwriteMode"
+OPEN_COST_KEY = "spark.sql.files.openCostInBytes"
+ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bytes that opening a small file counts as: a task of 16 MB holds a thousand files at most.
+SMALL_FILE_COST = 16 << 10
 
 
 def _context(spark: SparkSession):
@@ -62,11 +67,46 @@ def fresh_database(spark: SparkSession, prefix: str = "tsync") -> str:
 
 def dynamic_session(spark: SparkSession) -> SparkSession:
     """A session like ``spark`` whose overwrites of partitioned tables are dynamic."""
+    return _session_with(spark, OVERWRITE_MODE_KEY, "dynamic")
+
+
+def small_files_session(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` whose tasks read many small files each.
+
+    A file counts as its bytes and the cost of opening it. Spark's 4 MB for the latter
+    makes a task of every few files; with ``SMALL_FILE_COST`` a task's size is bytes.
+    """
+    cost = spark.conf.get(OPEN_COST_KEY)
+    number = re.fullmatch(r"(\d+)b?", cost, re.IGNORECASE)
+    if number and int(number[1]) <= SMALL_FILE_COST:
+        return spark
+    return _session_with(spark, OPEN_COST_KEY, str(SMALL_FILE_COST))
+
+
+def small_batches_session(spark: SparkSession, rows: int) -> SparkSession:
+    """A session like ``spark`` whose rows go to Python at most ``rows`` at a time."""
+    now = int(spark.conf.get(ARROW_ROWS_KEY))
+    return spark if 0 < now <= rows else _session_with(spark, ARROW_ROWS_KEY, str(rows))
+
+
+def in_session(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A frame of another session as one of ``spark``; its files stay dealt out as there."""
+    if df.sparkSession is spark:
+        return df
+    name = f"frame_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        return spark.table(f"{spark.conf.get('spark.sql.globalTempDatabase')}.{name}")
+    finally:
+        spark.catalog.dropGlobalTempView(name)
+
+
+def _session_with(spark: SparkSession, key: str, value: str) -> SparkSession:
     session = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if spark.conf.isModifiable(key):
-            session.conf.set(key, value)
-    session.conf.set(OVERWRITE_MODE_KEY, "dynamic")
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            session.conf.set(k, v)
+    session.conf.set(key, value)
     return session
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablesync.session import in_session, small_files_session
+
 # Control characters inside strings are accepted, like a non-strict JSON parser.
 _JSON_OPTIONS = {"allowUnquotedControlChars": "true"}
 
@@ -19,16 +21,15 @@ def read_json_documents(
 ) -> DataFrame:
     """Each file is read whole and parsed as one JSON document.
 
-    Files are spread over tasks; each document is parsed on an executor, so no
-    file content passes through the driver. With ``mode="PERMISSIVE"`` a file
+    Files are spread over tasks, many small ones to each; each document is parsed on
+    an executor, so no file content passes through the driver. With ``mode="PERMISSIVE"`` a file
     that does not parse gives a row of NULLs; ``mode="FAILFAST"`` fails the read
     instead, as a strict parser would.
     """
-    raw = spark.read.text(path, wholetext=True)
-    doc = F.from_json(F.col("value"), schema, {**_JSON_OPTIONS, "mode": mode}).alias("doc")
-    cols = [doc]
+    cols = ["value"]
     if keep_path:
         cols.append(F.col("_metadata.file_path").alias("file_path"))
-    out = raw.select(*cols)
+    raw = in_session(spark, small_files_session(spark).read.text(path, wholetext=True).select(*cols))
+    doc = F.from_json(F.col("value"), schema, {**_JSON_OPTIONS, "mode": mode}).alias("doc")
     rest = ["file_path"] if keep_path else []
-    return out.select("doc.*", *rest)
+    return raw.select(doc, *rest).select("doc.*", *rest)

@@ -210,6 +210,38 @@ def test_json_documents(spark):
     assert with_path[1].endswith("/a.json") and with_path[2].endswith("/b.json")
 
 
+def test_json_documents_many_small_files(spark):
+    """A task reads many small files, however few of Spark's 4 MB for opening one fit a task's bytes."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    path = f"{shared_root(spark)}/documents/{fresh_database(spark)}"
+    docs = spark.range(400).selectExpr("to_json(struct(id AS k)) AS value").coalesce(2)
+    docs.write.option("maxRecordsPerFile", 1).text(path)
+    got = read_json_documents(session, path, "k long", keep_path=True)
+    assert got.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted(r.k for r in got.collect()) == list(range(400)) and got.select("file_path").distinct().count() == 400
+    assert got.sparkSession is session and session.conf.get("spark.sql.files.openCostInBytes") == spark.conf.get("spark.sql.files.openCostInBytes")
+
+
+def test_json_documents_query(spark, tmp_path, monkeypatch):
+    """One file for each customer, in a folder for each task; null, repeated and no rows."""
+    import glob
+
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "_FOLDER_DOCUMENTS", 5)
+    monkeypatch.setattr(entry, "fresh_database", lambda spark: monkeypatch.name)
+    rows = [(k, f"name {k}", k / 4) for k in range(20)] + [(None, "a\nb", None), (None, None, None), (3, "name 3", 0.75)]
+    for name, these, folders in (("some", rows, 5), ("none", [], 0)):
+        monkeypatch.name = f"test_{fresh_database(spark)}"
+        spark.createDataFrame(these, "c_custkey long, c_name string, c_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/{name}/customer.parquet")
+        got = sorted(map(repr, map(tuple, entry.q_json_documents(spark, f"{tmp_path}/{name}").collect())))
+        assert got == sorted(map(repr, these))
+        path = f"{shared_root(spark)}/documents/{monkeypatch.name}".replace("file:", "")
+        files = glob.glob(f"{path}/**/part-*", recursive=True)
+        assert len(files) == len(these) and len({os.path.dirname(f) for f in files}) == folders
+
+
 def test_parallel_tables_match_sequential(spark):
     """Several tables at once give the same report and targets as one after another."""
     ev = _events(spark)
