@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablesync.session import in_session, small_batches_session
+
 from .common import saved, scattered, table, worker_keeps
 
 LENGTH = 2048
@@ -33,6 +35,9 @@ MAX_VOCABULARY_BYTES = 64 << 20
 #: Entries that a worker keeps, in two generations: a full young table becomes the old one.
 MAX_STRINGS, MAX_WORDS = 160_000, 300_000
 
+#: Rows that a worker gets, and encodes, at a time.
+BATCH_ROWS = 256
+
 #: Marks that pre-tokenisation takes as one further piece behind a word's letters.
 MARKS = ".,;:!?$%&#*"
 #: White space to Python but not to the tokenizer's pattern.
@@ -147,7 +152,7 @@ def _cut(file, length: int, end_id: int, with_ids: bool, special_as_text: bool):
     return run
 
 
-def _parts(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, rows: int = BATCH_ROWS, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in parts of few rows, and of one row where the texts are long."""
     step = max(1, min(rows, len(batch) * size // max(1, batch["text"].nbytes)))
     for at in range(0, len(batch), step):
@@ -220,8 +225,10 @@ def pack(
     # Groups go through pandas, where a null would make a column's ids inexact.
     has_id = F.col("doc_id").isNotNull().alias("has_id")
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), has_id, "text")
+    # Ten thousand long texts at a time, Spark's default, would lie in the executor's memory and in the worker's.
+    rows = in_session(small_batches_session(spark, BATCH_ROWS), rows)
     pieces = rows.mapInArrow(_cut(spark.sparkContext.broadcast(file), length, end_id, with_ids, special_as_text), shape)
-    pieces = saved(pieces, "pieces")
+    pieces = in_session(spark, saved(pieces, "pieces"))
     n = pieces.where("start = 0").count()
     pieces = pieces.withColumn("group", scattered("doc_id", "has_id", "row", parts=max(1, -(-n // group_docs))))
     packed = ", ".join(x for x in shape.split(", ") if x != "row long") + ", sequence_id long, offset long"

@@ -123,5 +123,26 @@ def test_odd_rows(spark):
     assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in few)
 
 
+def test_few_rows_at_a_time(spark, monkeypatch):
+    """A worker gets 256 rows at most, whatever the session's batches are; these stay as they are."""
+    cut, key = packing._cut, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def checked(*args):
+        run = cut(*args)
+
+        def few(batches):
+            for batch in batches:
+                assert len(batch) <= 256
+                yield batch
+
+        return lambda batches: run(few(batches))
+
+    monkeypatch.setattr(packing, "_cut", checked)
+    before = spark.conf.get(key)
+    docs = spark.range(1000).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(1)
+    packed = packing.pack(docs, packing.public_vocabulary())
+    assert packed.count() == 1000 and packed.sparkSession is docs.sparkSession and spark.conf.get(key) == before
+
+
 def test_empty_table(spark, tmp_path):
     assert packing.op3_packing(spark, write_tables(spark, tmp_path)).count() == 0
