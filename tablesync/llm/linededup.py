@@ -1,9 +1,9 @@
 """Line dedup: lines that many documents share go, whole corpus, whole texts.
 
 Every text is split into lines; a line's key is hashed (128 bits); each document gives
-its distinct hashes once, which are counted per hash. Hashes over the threshold are joined
-back to the documents that have them, and each document is put together again from the
-lines that stay, in their order.
+its distinct hashes once, which are counted per hash. Hashes over the threshold are sent to
+every task if they are few, else joined back to the documents that have them, and each
+document is put together again from the lines that stay, in their order.
 """
 
 from __future__ import annotations
@@ -15,14 +15,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, scattered, table, worker_keeps
+from tablesync.session import in_session, small_batches_session
+
+from .common import saved, scattered, shuffle_partitions, table, worker_keeps
 
 #: ASCII white space, stripped at both ends of a line.
 BLANK = b" \t\n\x0b\x0c\r"
+#: Bytes of a line's hash.
+HASH_BYTES = 16
 #: Frequent lines, of 16 bytes each, that are few enough to broadcast.
 BROADCAST_LINES = 200_000
+#: Texts that a worker gets at a time to count their lines.
+BATCH_ROWS = 256
 #: Rows of a batch that Python emits at a time.
 EMIT = 100_000
+#: Code points of text that Python emits at a time, but for a longer text.
+EMIT_CHARS = 4 << 20
 
 
 def line_key(line: bytes) -> bytes:
@@ -53,8 +61,8 @@ def _keys_of(min_chars: int):
         worker_keeps()  # nothing of an earlier stage
         for batch in batches:
             at, lines = [], []
-            for k, text in enumerate(batch["text"].to_pylist()):
-                found = {h for h in _hashes(text_lines(text), min_chars) if h}
+            for k, text in enumerate(batch["text"]):
+                found = {h for h in _hashes(text_lines(text.as_py()), min_chars) if h}
                 at += [k] * len(found)
                 lines += found
                 if len(lines) >= EMIT or k + 1 == len(batch):
@@ -65,47 +73,58 @@ def _keys_of(min_chars: int):
     return run
 
 
-def _cut(min_chars: int):
-    """Column text without the lines whose hashes are in column drop; adds the two counts."""
+def _cut(min_chars: int, often=None):
+    """Column text without the lines whose hashes are in ``often``; adds the two counts.
+
+    ``often`` is a broadcast of hashes, one behind the other; without it, each row has its
+    own in column drop. A batch leaves in parts of bounded size.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_keeps()  # nothing of an earlier stage
+        every = often and frozenset(often.value[i : i + HASH_BYTES] for i in range(0, len(often.value), HASH_BYTES))
         for batch in batches:
-            texts, n_lines, n_dropped = [], [], []
-            for text, drop in zip(batch["text"], batch["drop"], strict=True):
-                text, drop = text.as_py(), drop.as_py()
+            start, size, texts, n_lines, n_dropped = 0, 0, [], [], []
+            names = [c for c in batch.schema.names if c not in ("text", "drop")]
+            for k, text in enumerate(batch["text"]):
+                text = text.as_py() or ""
+                drop = set(batch["drop"][k].as_py() or ()) if every is None else every
                 lines = text_lines(text)
                 n_lines.append(len(lines))
                 if drop:
-                    drop = set(drop)
                     kept = [x for x, h in zip(lines, _hashes(lines, min_chars), strict=True) if h not in drop]
-                    texts.append(b"\n".join(kept).decode("utf-8"))
                     n_dropped.append(len(lines) - len(kept))
+                    if n_dropped[-1]:
+                        text = b"\n".join(kept).decode("utf-8")
                 else:
-                    texts.append(text or "")
                     n_dropped.append(0)
-            names = [c for c in batch.schema.names if c not in ("text", "drop")]
-            arrays = [batch[c] for c in names] + [pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "text", "n_lines", "n_dropped"])
+                texts.append(text)
+                size += len(text)
+                if size >= EMIT_CHARS or k + 1 == len(batch):
+                    part = batch.slice(start, k + 1 - start)
+                    arrays = [part[c] for c in names] + [pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=[*names, "text", "n_lines", "n_dropped"])
+                    start, size, texts, n_lines, n_dropped = k + 1, 0, [], [], []
 
     return run
 
 
+def _keys(docs: DataFrame, min_chars: int) -> DataFrame:
+    return docs.select("doc_id", "text_hash", "text").mapInArrow(_keys_of(min_chars), "doc_id long, text_hash long, line binary")
+
+
 def frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """Rows (doc_id, text_hash, line): the frequent line hashes of each document that has any.
+    """The line hashes that ``min_docs`` rows or more have, once each, as column line.
 
     ``docs`` has doc_id, text_hash and text.
     """
-    keys = docs.select("doc_id", "text_hash", "text").mapInArrow(_keys_of(min_chars), "doc_id long, text_hash long, line binary")
+    spark = docs.sparkSession
+    # Ten thousand long texts at a time, Spark's default, would lie in the executor's memory and in the worker's.
+    keys = _keys(in_session(small_batches_session(spark, BATCH_ROWS), docs), min_chars)
     often = keys.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
-    # A line may be in any part of all documents: unless its hashes are few enough to be
-    # sent to every task, its rows are dealt out over more tasks.
-    often = saved(often.select("line"), "frequent-lines")
-    if often.count() <= BROADCAST_LINES:
-        return keys.join(F.broadcast(often), "line", "left_semi").select("doc_id", "text_hash", "line")
-    often = often.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(15)))).hint("merge")
-    keys = keys.withColumn("_part", scattered("doc_id", "text_hash", parts=16))
-    return keys.join(often, ["line", "_part"], "left_semi").select("doc_id", "text_hash", "line")
+    # Of the lines that were counted these are few, so they are written to fewer files.
+    often = often.select("line").repartition(max(1, shuffle_partitions(spark) // 4))
+    return in_session(spark, saved(often, "frequent-lines"))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -125,10 +144,19 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> Data
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
     )
-    drops = frequent_lines(rows, min_docs, min_chars).groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("drop"))
-    joined = rows.join(drops, ["doc_id", "text_hash"], "left").select("rest", "text", "drop")
-    rest = joined.schema["rest"].dataType.simpleString()
-    out = joined.mapInArrow(_cut(min_chars), f"rest {rest}, text string, n_lines long, n_dropped long")
+    often = frequent_lines(rows, min_docs, min_chars)
+    if often.count() <= BROADCAST_LINES:
+        # Few enough to be sent to every task; no text is shuffled then.
+        hashes = b"".join(often.toArrow()["line"].to_pylist())
+        cut, rows = _cut(min_chars, docs.sparkSession.sparkContext.broadcast(hashes)), rows.select("rest", "text")
+    else:
+        # A line may be in any part of all documents: its rows are dealt out over more tasks.
+        often = often.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(15)))).hint("merge")
+        keys = _keys(rows, min_chars).withColumn("_part", scattered("doc_id", "text_hash", parts=16))
+        drops = keys.join(often, ["line", "_part"], "left_semi").groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("drop"))
+        cut, rows = _cut(min_chars), rows.join(drops, ["doc_id", "text_hash"], "left").select("rest", "text", "drop")
+    rest = rows.schema["rest"].dataType.simpleString()
+    out = rows.mapInArrow(cut, f"rest {rest}, text string, n_lines long, n_dropped long")
     return out.select(*["text" if c == "text" else f"rest.{c}" for c in docs.columns], "n_lines", "n_dropped")
 
 
