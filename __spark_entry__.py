@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime as dt
 import importlib
 import os
+import shutil
 import sys
 from collections.abc import Callable
 
@@ -55,7 +56,7 @@ from tablesync.functions.runtime import runtime_text  # noqa: E402
 from tablesync.functions.text import split_list_col  # noqa: E402
 from tablesync.operators.report import REPORT_SCHEMA, append_process_report, process_rows  # noqa: E402
 from tablesync.plans.notify import lookup_all  # noqa: E402
-from tablesync.session import fresh_database, shared_root  # noqa: E402
+from tablesync.session import disk_path, fresh_database, shared_root  # noqa: E402
 from tablesync.sources.documents import read_json_documents  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -559,11 +560,8 @@ def q_csv_relay_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _relay(spark, sf_dir, infer=False)
 
 
-#: Files in a folder of documents; a task writes one folder.
-_FOLDER_DOCUMENTS = 1000
-#: Where the shared folder is on a disk, Hadoop starts a process to set the mode of each file,
-#: and one more for a checksum file beside it: without checksums, one a document.
-_PLAIN_LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+#: Files in a folder of documents, and folders that a task writes where there are tasks enough.
+_FOLDER_DOCUMENTS, _TASK_FOLDERS = 1000, 10
 
 
 def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -571,12 +569,50 @@ def q_json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     doc = F.to_json(F.struct("c_custkey", "c_name", "c_acctbal")).alias("value")
     folders = max(1, -(-c.count() // _FOLDER_DOCUMENTS))
-    # A folder for each task: the commit moves folders, and they are listed side by side.
-    docs = c.select(doc).repartition(folders).withColumn("folder", F.spark_partition_id())
-    docs.write.partitionBy("folder").option("maxRecordsPerFile", 1).options(**_PLAIN_LOCAL_FILES).text(path)
+    docs = c.select(doc)
+    if disk := disk_path(spark, path):
+        tasks = max(4 * spark.sparkContext.defaultParallelism, -(-folders // _TASK_FOLDERS))
+        _write_on_disk(docs.repartition(min(folders, tasks)), disk, _FOLDER_DOCUMENTS)
+    else:
+        # A folder for each task: the commit moves folders, and they are listed side by side.
+        docs = docs.repartition(folders).withColumn("folder", F.spark_partition_id())
+        docs.write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
     return read_json_documents(spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
+def _write_on_disk(docs: DataFrame, path: str, folder_documents: int) -> None:
+    """A file for each value, as the text writer makes them, in folders of so many.
+
+    For a file on a disk Hadoop starts a process that sets its mode, which takes far longer than
+    writing it. Each try of a task has folders of its own; those of the tries that count are moved.
+    """
+    tries = f"{path}/_temporary"
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+
+        folders, n = [], 0
+        for batch in batches:
+            for value in batch.column(0).to_pylist():
+                if n % folder_documents == 0:
+                    folders.append(f"{tries}/{uuid.uuid4().hex}")
+                    os.mkdir(folders[-1])
+                with open(f"{folders[-1]}/part-{n:05}.txt", "xb") as f:
+                    f.write(value + b"\n")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array(folders, pa.string())], names=["folder"])
+
+    os.makedirs(tries)
+    try:
+        written = docs.select(F.col("value").cast("binary")).mapInArrow(write, "folder string").collect()
+        for k, (folder,) in enumerate(written):
+            os.rename(folder, f"{path}/folder={k}")
+    finally:
+        shutil.rmtree(tries, ignore_errors=True)
+
+
 #: A text column of each given table; as lines of a text table its size is known.
 _LINES = {
     "region": "r_name", "nation": "n_name", "customer": "c_name", "supplier": "s_name", "part": "p_name", "orders": "o_orderpriority",

@@ -57,6 +57,17 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def disk_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` in the machines' own file tree, None where it is in another store."""
+    sc = _context(spark)
+    if sc is None:
+        return None
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    uri = fs.makeQualified(at).toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def fresh_database(spark: SparkSession, prefix: str = "tsync") -> str:
     """Create a uniquely named database located under the shared root."""
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"

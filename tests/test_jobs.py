@@ -1,8 +1,10 @@
 """Composite jobs: replicate (C2), notify (C3), failure isolation (C4), relay (C5), sizes."""
 
 import datetime as dt
+import gzip
 import json
 import os
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -242,6 +244,87 @@ def test_json_documents_query(spark, tmp_path, monkeypatch):
         assert len(files) == len(these) and len({os.path.dirname(f) for f in files}) == folders
 
 
+def _tree(spark, files):
+    path = f"{shared_root(spark)}/documents/{fresh_database(spark)}"
+    for name, content in files.items():
+        file = f"{path.replace('file:', '')}/{name}"
+        os.makedirs(os.path.dirname(file), exist_ok=True)
+        with open(file, "wb") as f:
+            f.write(content)
+    return path
+
+
+def _as_spark_reads(spark, path):
+    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("p"))
+    doc = F.from_json("value", "k long, s string", {"allowUnquotedControlChars": "true"})
+    return sorted(map(repr, raw.select(doc.alias("d"), "p").select("d.k", "d.s", "p").collect()))
+
+
+_DOCS = {
+    "a b.json": b'{"k": 1}', "p%20q.json": b'\xef\xbb\xbf{"k": 2}', "\u00e9\u00a0#?[x]{y}^`|+&,;'\"@~<>.json": b'{"k": 3, "s": "\xff\xc3\xa9"}\n', "bad.json": b'{"k":', "empty.json": b"",
+    "_SUCCESS": b"{}", ".hidden.json": b'{"k": 4}', "late.json._COPYING_": b'{"k": 5}', "_temporary/0/t.json": b'{"k": 6}', "._SUCCESS.crc": b"crc",
+}
+
+
+@pytest.mark.parametrize("top", [[""], ["kind=a b/", "kind=b/"], ["x=1/y=%41/", "x=1/y=2/"]])
+def test_json_documents_listed_on_executors(spark, top):
+    """The files that Spark's reader takes, but the driver lists none of them."""
+    path = _tree(spark, {f"{folder}{name}": content for folder in top for name, content in _DOCS.items()})
+    got = read_json_documents(spark, path, "k long, s string", keep_path=True)
+    assert got.inputFiles() == []
+    rows = sorted(map(repr, got.withColumnRenamed("file_path", "p").collect()))
+    assert rows == _as_spark_reads(spark, path) and len(rows) == 4 * len(top)
+
+
+@pytest.mark.parametrize(
+    "files",
+    [
+        {"a.json": b'{"k": 1}', "b.json.gz": gzip.compress(b'{"k": 2}')},
+        {"a.json": b'{"k": 1}', "below/b.json": b'{"k": 2}'},
+        {"x=1/a.json": b'{"k": 1}', "x=1/below/b.json": b'{"k": 2}'},
+        {"value=1/a.json": b'{"k": 1}', "value=2/b.json": b'{"k": 2}'},
+        {"a.json": b""},
+        {"a.json": b'{"k": 1}', ".a.json.crc": b"crc\0\0\0\2\0" + zlib.crc32(b'{"k": 1}').to_bytes(4, "big")},
+    ],
+)
+def test_json_documents_left_to_spark(spark, files):
+    path = _tree(spark, files)
+
+    def outcome(rows):
+        try:
+            return rows()
+        except Exception as e:
+            return type(e).__name__
+
+    got = outcome(lambda: sorted(map(repr, read_json_documents(spark, path, "k long, s string", keep_path=True).withColumnRenamed("file_path", "p").collect())))
+    assert got == outcome(lambda: _as_spark_reads(spark, path))
+
+
+def test_json_documents_checksum_is_verified(spark):
+    path = _tree(spark, {"a.json": b'{"k": 1}', ".a.json.crc": b"crc\0\0\0\2\0" + bytes(4)})
+    with pytest.raises(Exception, match="(?i)checksum"):
+        read_json_documents(spark, path, "k long").collect()
+
+
+def test_json_documents_query_writes_without_hadoop(spark, tmp_path, monkeypatch):
+    """Hadoop's local files cost a process each; a task that fails leaves no documents."""
+    import __spark_entry__ as entry
+
+    def written():
+        return sum(s.getBytesWritten() for s in spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics() if s.getScheme() == "file")
+
+    rows = [(k, f"name {k}", k / 4) for k in range(23)]
+    spark.createDataFrame(rows, "c_custkey long, c_name string, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(entry, "_FOLDER_DOCUMENTS", 2)
+    before = written()
+    assert sorted(map(tuple, entry.q_json_documents(spark, str(tmp_path)).collect())) == rows
+    assert written() == before
+    bad = spark.range(9, numPartitions=1).select(F.when(F.col("id") < 8, "{}").otherwise(F.raise_error(F.lit("no"))).alias("value"))
+    with pytest.raises(Exception):
+        entry._write_on_disk(bad, f"{tmp_path}/bad", 2)
+    assert os.listdir(f"{tmp_path}/bad") == []
+
+
 def test_parallel_tables_match_sequential(spark):
     """Several tables at once give the same report and targets as one after another."""
     ev = _events(spark)
